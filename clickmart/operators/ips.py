@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from clickmart.functions import ip as I
-from clickmart.operators.crawl_log import filled_counts
+from clickmart.operators.crawl_log import filled_counts, status_counts  # noqa: F401
 from clickmart.operators.events import candidates, flagged_candidates, product_events, with_ip
 from clickmart.operators.pages import OK, utc_now
 from clickmart.operators.ranges import attach_v4_ranges, attach_v6_ranges

@@ -1,9 +1,22 @@
 """Sinks."""
 
+import json
+import time
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# The writer would trim values unless told otherwise.
+CSV_OPTIONS = {
+    "header": "true",
+    "emptyValue": "",
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+
+
 def _flat(df):
     """CSV has no nested values: they are written as JSON text."""
     columns = []
@@ -20,7 +33,7 @@ def _flat(df):
 def write_csv(df, path, fields=None, mode="overwrite"):
     """Header, columns in the order of ``fields``, nothing written for null or empty text."""
     rows = _flat(df.select(*fields) if fields else df)
-    rows.write.mode(mode).options(header="true", emptyValue="", escape='"').csv(path)
+    rows.write.mode(mode).options(**CSV_OPTIONS).csv(path)
 
 
 def write_jsonl(df, path, fields=None, mode="overwrite"):
@@ -43,6 +56,10 @@ def write_table(df, table, keep=False):
     df.write.mode("append" if keep else "overwrite").saveAsTable(table)
 
 
-def write_summary(df, path):
-    """A run summary: one row, one JSON file."""
-    df.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+def finish_summary(spark, summary, started, path):
+    """Adds the elapsed time to the counts of a run and writes them where a path is given."""
+    summary["elapsed_seconds"] = round(time.monotonic() - started, 3)
+    if path:
+        line = json.dumps(summary, default=str, ensure_ascii=False)
+        spark.createDataFrame([(line,)], "value STRING").coalesce(1).write.mode("overwrite").text(path)
+    return summary
