@@ -4,8 +4,12 @@ Each table is a list of (column, expression) over one parquet table. Expressions
 and run in Spark and in DuckDB; where the two need other words, ``<name>`` marks the place.
 """
 
+from functools import wraps
+
 from pyspark.sql import functions as F
 
+from clickmart.session import stored_path
+
 DIALECTS = {
     "spark": {
         "k": "cast(get_json_object(props, '$.k') as bigint)",
@@ -196,6 +200,28 @@ def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_STORED = {}
+
+
+def kept(build):
+    """Writes a derived table once per application to the shared scratch folder.
+
+    The operators then scan a stored table, as they would in use, and not the derivation.
+    """
+
+    @wraps(build)
+    def read(spark, sf_dir):
+        key = (spark.sparkContext.applicationId, sf_dir, build.__name__)
+        if key not in _STORED:
+            rows = build(spark, sf_dir)
+            _STORED[key] = (stored_path(rows, build.__name__), rows.schema)
+        path, schema = _STORED[key]
+        return spark.read.schema(schema).parquet(path)
+
+    return read
+
+
+@kept
 def event_records(spark, sf_dir):
     return table(spark, sf_dir, "events").selectExpr(*expressions(EVENT_RECORDS, "spark"))
 
@@ -210,6 +236,7 @@ def part_targets(spark, sf_dir):
     return table(spark, sf_dir, "part").selectExpr(*expressions(PART_TARGETS, "spark"))
 
 
+@kept
 def page_snapshot(spark, sf_dir):
     part = table(spark, sf_dir, "part")
     snapshot = None
@@ -219,6 +246,7 @@ def page_snapshot(spark, sf_dir):
     return snapshot
 
 
+@kept
 def crawl_log(spark, sf_dir):
     """The log with its nested columns as values."""
     rows = table(spark, sf_dir, "orders").selectExpr(*expressions(CRAWL_LOG, "spark"))

@@ -8,7 +8,6 @@ from clickmart.functions.text import clean_text, first_filled, strip
 
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 _V4 = rf"{_OCTET}(?:\.{_OCTET}){{3}}"
-V4_PATTERN = rf"^{_V4}$"
 V4_TAIL = rf":({_V4})$"
 _GROUP = "[0-9A-Fa-f]{1,4}"
 V6_PATTERN = rf"^(?:{_GROUP}(?::{_GROUP})*)?(?:::(?:{_GROUP}(?::{_GROUP})*)?)?$"
@@ -40,17 +39,21 @@ def distinct_key(column):
     return first_filled(normalize_ip(column), column)
 
 
-def is_v4(ip):
-    return F.coalesce(ip.rlike(V4_PATTERN), F.lit(False))
+def v4_number(parts):
+    """BIGINT of a dotted address, given the array of its parts; null for everything else.
 
-
-def v4_number(ip):
-    """BIGINT of a dotted address, null for everything else."""
-    number = F.lit(0).cast("bigint")
+    A part counts when writing its number gives the same text: no signs, spaces or leading zeros.
+    """
+    number, valid = F.lit(0).cast("bigint"), F.size(parts) == 4
     for place in range(4):
-        octet = F.split_part(ip, F.lit("."), F.lit(place + 1)).try_cast("bigint")
+        octet = F.get(parts, F.lit(place)).try_cast("int")
         number = number + octet * F.lit(256 ** (3 - place)).cast("bigint")
-    return F.when(is_v4(ip), number)
+        valid = valid & octet.between(0, 255) & (octet.cast("string") == F.get(parts, F.lit(place)))
+    return F.when(valid, number)
+
+
+def octets(ip):
+    return F.split(ip, "\\.")
 
 
 def _expanded_v6(df, ip, name):
@@ -80,7 +83,8 @@ def _expanded_v6(df, ip, name):
     return (
         df.withColumn("_bare", F.when(colon, F.lower(F.split_part(ip, F.lit("%"), F.lit(1)))))
         .withColumn("_tail", F.regexp_extract(bare, V4_TAIL, 1))
-        .withColumn("_tail_number", v4_number(tail))
+        .withColumn("_tail_parts", octets(tail))
+        .withColumn("_tail_number", v4_number(F.col("_tail_parts")))
         .withColumn(
             "_groups",
             F.when(tail == "", bare).otherwise(
@@ -94,41 +98,37 @@ def _expanded_v6(df, ip, name):
                 shape_ok & size_ok, F.concat(digits(head), F.repeat(F.lit("0000"), 8 - count), digits(rest))
             ),
         )
-        .drop("_bare", "_tail", "_tail_number", "_groups", "_head", "_rest")
+        .drop("_bare", "_tail", "_tail_parts", "_tail_number", "_groups", "_head", "_rest")
     )
 
 
-def _v4_inside(number, blocks):
-    inside = F.lit(False)
-    for block in map(ipaddress.ip_network, blocks):
-        low, high = int(block.network_address), int(block.broadcast_address)
-        inside = inside | number.between(F.lit(low).cast("bigint"), F.lit(high).cast("bigint"))
-    return inside
+def _inside(column, blocks, literal):
+    """SQL condition that a column lies in one of the blocks."""
+    ends = [(int(net.network_address), int(net.broadcast_address)) for net in map(ipaddress.ip_network, blocks)]
+    return " OR ".join(f"{column} BETWEEN {literal(low)} AND {literal(high)}" for low, high in ends)
 
 
-def _v6_inside(digits, blocks):
-    inside = F.lit(False)
-    for block in map(ipaddress.ip_network, blocks):
-        low, high = int(block.network_address), int(block.broadcast_address)
-        inside = inside | digits.between(F.lit(f"{low:032x}"), F.lit(f"{high:032x}"))
-    return inside
+def _global_condition(column, blocks, exceptions, literal):
+    return f"(NOT ({_inside(column, blocks, literal)}) OR ({_inside(column, exceptions, literal)}))"
 
 
-def is_global_v4(number):
-    return ~_v4_inside(number, V4_NOT_GLOBAL) | _v4_inside(number, V4_GLOBAL_AFTER_ALL)
+def is_global_v4(column):
+    """Condition on the name of a column of IPv4 numbers."""
+    return _global_condition(column, V4_NOT_GLOBAL, V4_GLOBAL_AFTER_ALL, lambda number: f"{number}L")
 
 
-def is_global_v6(digits, mapped):
-    """``mapped`` is the number of the IPv4 address that a mapped address stands for, else null."""
-    return F.when(mapped.isNotNull(), is_global_v4(mapped)).otherwise(
-        ~_v6_inside(digits, V6_NOT_GLOBAL) | _v6_inside(digits, V6_GLOBAL_AFTER_ALL)
-    )
+def is_global_v6(column):
+    """Condition on the name of a column of 32 hex digits."""
+    return _global_condition(column, V6_NOT_GLOBAL, V6_GLOBAL_AFTER_ALL, lambda number: f"'{number:032x}'")
 
 
 def with_address(df, column):
     """Adds the normalised text ``address``, and its number: ``v4`` as BIGINT or ``v6`` as hex digits."""
-    numbered = df.withColumn("address", normalize_ip(F.col(column))).withColumn(
-        "v4", v4_number(F.col("address"))
+    numbered = (
+        df.withColumn("address", normalize_ip(F.col(column)))
+        .withColumn("_parts", octets(F.col("address")))
+        .withColumn("v4", v4_number(F.col("_parts")))
+        .drop("_parts")
     )
     return _expanded_v6(numbered, F.col("address"), "v6")
 
@@ -142,8 +142,11 @@ def with_validity(df, column, allow_private=False, name="valid"):
     mapped = F.when(
         F.left(v6, F.lit(24)) == V4_MAPPED, F.conv(F.substring(v6, 25, 8), 16, 10).try_cast("bigint")
     )
-    valid = F.when(v4.isNotNull(), is_global_v4(v4)).when(v6.isNotNull(), is_global_v6(v6, F.col("_mapped")))
-    return known.withColumn("_mapped", mapped).withColumn(name, F.coalesce(valid, F.lit(False))).drop("_mapped")
+    valid = F.expr(
+        f"CASE WHEN v4 IS NOT NULL THEN {is_global_v4('v4')} WHEN _mapped IS NOT NULL THEN "
+        f"{is_global_v4('_mapped')} WHEN v6 IS NOT NULL THEN {is_global_v6('v6')} ELSE false END"
+    )
+    return known.withColumn("_mapped", mapped).withColumn(name, valid).drop("_mapped")
 
 
 def clean_geo_text(column):

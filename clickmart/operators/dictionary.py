@@ -66,13 +66,16 @@ def _leaf_text(path, data_type):
     return column.try_cast("string")
 
 
-def _filled(text):
+def _filled(text, data_type=None):
+    """Whether a value is more than white space, which only text can fail."""
+    if data_type is not None and type_name(data_type) in ("integer", "float", "boolean"):
+        return text.isNotNull()
     return strip(text) != ""
 
 
 def _count_columns(place, path, data_type):
     """Aggregates per observed type: (type name, number of values, number of filled values)."""
-    column, filled = _leaf(path), _filled(_leaf_text(path, data_type))
+    column, filled = _leaf(path), _filled(_leaf_text(path, data_type), data_type)
     if isinstance(data_type, T.VariantType):
         kind = F.coalesce(value_type(column), F.lit("null"))
         kinds = ["array", "boolean", "float", "integer", "null", "object", "string"]
@@ -137,7 +140,7 @@ def profile(df, sample_size=3):
     for step in range(max(1, sample_size)):
         wanted = []
         for place, text in enumerate(texts):
-            rest = _filled(text)
+            rest = _filled(text, leaves[place][1])
             if step:
                 rest = rest & (text > F.lit(last[place]))
             wanted.append(F.min(F.when(rest, text)).alias(f"s{place}"))
@@ -206,7 +209,8 @@ def variant_cells(records, column, max_depth=8):
 
 
 def _members(value, prefix):
-    entries = F.map_entries(value.try_cast("map<string,variant>"))
+    is_object = F.schema_of_variant(value).startswith("OBJECT")
+    entries = F.map_entries(F.when(is_object, value.try_cast("map<string,variant>")))
     return F.transform(
         entries,
         lambda entry: F.struct(

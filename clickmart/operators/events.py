@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from clickmart import schemas
-from clickmart.functions.text import clean_text, coalesce_clean, coalesce_raw, present
+from clickmart.functions.text import coalesce_clean, coalesce_raw, present
 
 # Events whose own page is the product page.
 CURRENT_URL_EVENTS = (
@@ -83,7 +83,13 @@ def flagged_candidates(events, mode="raw", keep=()):
 
 def candidates(events, mode="raw", keep=()):
     """The events that name a product and its URL, in five columns."""
-    return flagged_candidates(events, mode, keep).filter("is_candidate").drop("is_candidate")
+    flagged = flagged_candidates(events, mode, keep)
+    if mode == "clean":
+        # Spark would move the filter below the cleaning and so clean every value twice. A column
+        # that is no function of the row keeps the filter where it is.
+        flagged = flagged.withColumn("_line", F.monotonically_increasing_id())
+        return flagged.filter((F.col("_line") >= 0) & F.col("is_candidate")).drop("is_candidate", "_line")
+    return flagged.filter("is_candidate").drop("is_candidate")
 
 
 def candidate_groups(candidate_rows):
@@ -105,8 +111,3 @@ def grouped_events(events, mode="raw"):
 
 def event_count(events):
     return events.agg(F.count(F.lit(1)).alias("event_count"))
-
-
-def cleaned(events, names):
-    """The named columns of the events, each cleaned."""
-    return [clean_text(F.col(name)).alias(name) for name in names]

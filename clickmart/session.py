@@ -28,9 +28,13 @@ def scratch_path(spark, name):
     return f"{root}/clickmart/{name}-{uuid.uuid4().hex}"
 
 
+def stored_path(df, name):
+    """Writes ``df`` to scratch space and returns the path."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return path
+
+
 def stored(df, name):
     """Write ``df`` to scratch space and read it back: fixes its values and cuts its lineage."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(stored_path(df, name))
