@@ -1,0 +1,139 @@
+from pyspark.sql import functions as F
+
+from clickmart.functions import payload as P
+from clickmart.functions.urls import Stores, country_store, url_host
+from clickmart.operators import pages
+
+STORES = Stores.of_brand("shop")
+
+
+def page(spark, html, **more):
+    row = {"requested_product_id": "113650", "source_url": "https://www.shop.com.au/p", "html": html, **more}
+    schema = ", ".join(f"{name} {'INT' if name == 'status_code' else 'STRING'}" for name in row)
+    return pages.classify_pages(spark.createDataFrame([tuple(row.values())], schema), STORES)
+
+
+PRODUCT = """<script>var react_data = {"product_id": 113650, "name": "Women's Bangle Seema", "sku": "T-B",
+ "store_code": "au", "price": 5, "currency_code": "EUR", "extra": {"a": "}{"}}; var other = {"x": 1};</script>"""
+
+
+def test_brand_stores():
+    assert STORES.fallback_domains[0] == "www.shop.com.au" and len(STORES.fallback_domains) == 10
+    assert STORES.english_domains[-1] == "www.shop.ie"
+
+
+def test_matching_page_is_active(spark):
+    row = page(spark, PRODUCT).first()
+    assert (row.active, row.status, row.failure_reason) == (True, "ok", None)
+    assert (row.name, row.sku, row.store_code, row.currency) == ("Women's Bangle Seema", "T-B", "au", "EUR")
+    assert (row.product_id, row.original_url, row.country_store) == ("113650", "https://www.shop.com.au/p", "com.au")
+    assert set(row.react_data_basic.toPython()) == {"product_id", "name", "sku", "store_code", "price"}
+    assert row.react_data.toPython()["extra"] == {"a": "}{"}
+
+
+def test_reasons(spark):
+    assert page(spark, PRODUCT, status_code=404).first().failure_reason == "http_404"
+    nothing = page(spark, "<TITLE lang=x> A \n B </TITLE>").first()
+    assert (nothing.status, nothing.failure_reason, nothing.product_name) == ("http_200", "react_data_not_found", "A B")
+    assert page(spark, PRODUCT, requested_product_id="1").first().failure_reason == "product_id_mismatch"
+    useless = 'react_data = {"product_id": "113650", "name": "", "sku": 0, "store_code": []}'
+    assert page(spark, useless).first().failure_reason == "missing_basic_product_fields"
+    assert page(spark, 'react_data = {"product_id": " 113650 ", "sku": "0"}').first().active
+
+
+def payload(spark, html):
+    row = spark.createDataFrame([(html,)], "html STRING").select(P.page_payload(F.col("html")).alias("p")).first()
+    return row.p.toPython() if row.p is not None else None
+
+
+def test_payload(spark):
+    assert payload(spark, 'react_data\n=\n {"a": [1, {"b": 2}]} trailing }') == {"a": [1, {"b": 2}]}
+    assert payload(spark, 'react_data = null; x = {"a": 1}') == {"a": 1}
+    assert payload(spark, 'react_data = {"a": 1, "a": 2}') == {"a": 2}
+    assert payload(spark, "react_data = {broken}") is None
+    assert payload(spark, "no data {}") is None
+    assert payload(spark, "react_data = []") is None
+
+
+def test_truth_of_values(spark):
+    cases = {"1": True, "0": False, "0.0": False, '"0"': True, '""': False, "[]": False, "[0]": True, "{}": False,
+             "false": False, "true": True, "null": False, '" "': True, '{"a":1}': True, '"false"': True, '"[]"': True}
+    rows = spark.createDataFrame([(text,) for text in cases], "t STRING").select(
+        "t", P.has_value(F.parse_json(F.concat(F.lit('{"k":'), F.col("t"), F.lit("}"))), "k").alias("got")
+    )
+    assert {row.t: row.got for row in rows.collect()} == cases
+
+
+def test_hosts_and_stores(spark):
+    cases = {
+        "https://www.shop.co.uk/x": ("www.shop.co.uk", "co.uk"), "https://SHOP.de?x": ("shop.de", "de"),
+        "//other.example:80/a": ("other.example:80", "other.example:80"), "no url": ("", None), "http:/x": ("", None),
+        "https://u@www.shop.ie#f": ("u@www.shop.ie", "u@www.shop.ie"), " https://www.shop.fr": ("www.shop.fr", "fr"),
+    }
+    rows = spark.createDataFrame([(url,) for url in cases], "url STRING")
+    found = rows.select("url", url_host(F.col("url")).alias("h"), country_store(F.col("url"), STORES).alias("s"))
+    assert {row.url: (row.h, row.s) for row in found.collect()} == cases
+
+
+def attempts(spark, url, *domains):
+    stores = Stores("shop", domains, STORES.english_domains)
+    rows = pages.exploded_attempts(spark.createDataFrame([("7", url)], "product_id STRING, candidate_url STRING"), stores)
+    return [(row.attempt_no, row.url) for row in rows.orderBy("attempt_no").collect()]
+
+
+def test_attempt_order(spark):
+    def catalog(domain):
+        return f"https://{domain}/catalog/product/view/id/7"
+
+    english = attempts(spark, "https://www.shop.com.au/old", "www.shop.com.au", "www.shop.com")
+    assert english == [(1, "https://www.shop.com.au/old"), (2, catalog("www.shop.com.au")), (3, catalog("www.shop.com"))]
+    german = attempts(spark, "https://www.shop.de/old", "www.shop.com.au", "www.shop.com")
+    assert [url for _, url in german[1:]] == [catalog(d) for d in ("www.shop.com.au", "www.shop.com", "www.shop.de")]
+    same = attempts(spark, catalog("www.shop.com"), "www.shop.com")
+    assert same == [(1, catalog("www.shop.com"))]
+
+
+def test_resolution(spark):
+    targets = spark.createDataFrame(
+        [("113650", "https://www.shop.de/p"), ("2", "https://x.example/2"), ("3", "https://[bad/3")],
+        "product_id STRING, candidate_url STRING",
+    )
+    collected = spark.createDataFrame(
+        [
+            ("https://www.shop.de/p", None, 404, PRODUCT),
+            ("https://www.shop.com.au/catalog/product/view/id/113650", "https://www.shop.ie/real", 200, PRODUCT),
+            ("https://www.shop.com/catalog/product/view/id/113650", None, 200, PRODUCT),
+        ],
+        "url STRING, resolved_url STRING, status_code INT, html STRING",
+    )
+    stores = Stores("shop", ("www.shop.com.au", "www.shop.com"), STORES.english_domains)
+    found = {r.requested_product_id: r for r in pages.resolve_products(targets, collected, stores).collect()}
+    hit = found["113650"]
+    assert (hit.status, hit.source_url, hit.original_url) == (
+        "ok", "https://www.shop.com.au/catalog/product/view/id/113650", "https://www.shop.de/p",
+    )
+    assert (hit.resolved_url, hit.country_store) == ("https://www.shop.ie/real", "ie")
+    assert [(a.status_code, a.product_id_matches) for a in hit.attempts] == [(404, True), (200, True)]
+    assert hit.error_message is None and hit.react_data.toPython()["sku"] == "T-B"
+    miss = found["2"]
+    assert (miss.status, miss.failure_reason, miss.source_url) == (
+        "not_found_in_configured_stores", "not_found_in_configured_stores", "https://x.example/2",
+    )
+    assert {a.status for a in miss.attempts} == {"request_failed"} and len(miss.attempts) == 4
+    assert miss.error_message == "page not collected" and miss.country_store is None
+    broken = found["3"]
+    assert (broken.status, broken.attempts, broken.error_message) == ("crawl_failed", [], "Invalid IPv6 URL")
+
+
+def test_own_attempt_strategy(spark):
+    def one_url(product_id, source_url, host, stores):
+        return F.array(F.struct(F.concat(F.lit("own:"), product_id).alias("url"), F.lit("own").alias("strategy")))
+
+    rows = spark.createDataFrame([("7", "u")], "product_id STRING, candidate_url STRING")
+    found = pages.exploded_attempts(rows, STORES, one_url).first()
+    assert (found.url, found.strategy, found.attempt_no) == ("own:7", "own", 1)
+
+
+def test_latest_copy_of_a_page(spark):
+    rows = spark.createDataFrame([("u", 1, "old"), ("u", 2, "new")], "url STRING, at INT, html STRING")
+    assert pages.latest_pages(rows, [F.col("at")]).first().html == "new"
