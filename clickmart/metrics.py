@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 def counted(df, name, **more):
     """The same rows, and an observation that holds ``rows`` once they were written.
 
-    ``more`` adds further named aggregate columns.
+    ``more`` adds further named aggregate columns. Has to be the last step before the write: a sort
+    above it reads its input twice, and the counts with it.
     """
     observation = Observation(name)
     extra = [column.alias(label) for label, column in more.items()]

@@ -16,6 +16,10 @@ def _status():
     return F.coalesce(F.col("status"), F.lit(NO_STATUS))
 
 
+def _is_bad_line(log):
+    return F.col(BAD_LINE).isNotNull() if BAD_LINE in log.columns else F.lit(False)
+
+
 def logged(log, targets=None):
     """Readable log rows that name a product; only those of ``targets`` where given."""
     rows = log.filter(F.col("requested_product_id").isNotNull())
@@ -35,12 +39,12 @@ def checkpoint_summary(log, targets=None):
 
     Counted per product first, so no task has to hold all product ids.
     """
-    bad = F.col(BAD_LINE).isNotNull() if BAD_LINE in log.columns else F.lit(False)
     named = F.col("requested_product_id").isNotNull()
+    bad = ~named & _is_bad_line(log)
     per_product = log.filter(named | bad).groupBy("requested_product_id").agg(
-        F.count_if(~bad).alias("rows"),
-        F.count_if(~bad & (F.col("status") == OK)).alias("ok"),
-        F.count_if(~bad & F.col("active")).alias("active"),
+        F.count_if(named).alias("rows"),
+        F.count_if(named & (F.col("status") == OK)).alias("ok"),
+        F.count_if(named & F.col("active")).alias("active"),
         F.count_if(bad).alias("bad"),
     )
     if targets is not None:
@@ -63,10 +67,6 @@ def checkpoint_summary(log, targets=None):
     )
 
 
-def invalid_lines(log):
-    return log.agg(F.count_if(F.col(BAD_LINE).isNotNull()).alias("invalid_line_count"))
-
-
 def status_counts(log):
     return log.groupBy(_status().alias("status")).agg(F.count(F.lit(1)).alias("rows"))
 

@@ -30,8 +30,9 @@ def run(
     started = time.monotonic()
     # The groups are a small part of the events. Stored once, ranking and counting read only them.
     groups = stored(candidate_groups(candidates(limited_product_events(events, limit, order_key), mode)), "groups")
-    targets, written = counted(ranked_targets(groups, include_all, keep), "product_targets_written")
-    write(targets.orderBy("product_id", "url_rank"), output_path, TARGETS.fieldNames())
+    ordered = ranked_targets(groups, include_all, keep).orderBy("product_id", "url_rank")
+    targets, written = counted(ordered, "product_targets_written")
+    write(targets, output_path, TARGETS.fieldNames())
     counts = group_stats(groups, include_all).first().asDict()
     counts["target_rows"] = rows_of(written)["rows"]
     scanned = event_count(product_events(events)).first()["event_count"]
