@@ -91,16 +91,18 @@ def classify_pages(pages, stores, stamp=True):
     return shaped(rows, PRODUCT_INFO)
 
 
-def page_features(pages):
+def page_features(pages, order=None):
     """What resolving needs to know of each page, read from the HTML where the page is scanned.
 
-    The HTML stays behind: only a page that can be a hit carries its payload into the shuffle.
+    The HTML stays behind: only a page that can be a hit carries its payload into the shuffle. With
+    ``order`` only the last copy of each URL is kept, chosen before and after the shuffle.
     """
-    read = pages.select("url", "resolved_url", "status_code", "html").withColumns(
+    kept = ["url", "resolved_url", "status_code"] + ([order] if order else [])
+    read = pages.select(*kept, "html").withColumns(
         {"_payload": P.page_payload(F.col("html")), "_title": P.page_title(F.col("html"))}
     )
-    can_hit = (F.col("status_code") == 200) & P.is_useful(F.col("_payload"))
-    return read.select(
+    can_hit = F.coalesce((F.col("status_code") == 200) & P.is_useful(F.col("_payload")), F.lit(False))
+    features = read.select(
         "url",
         blank_to_null(F.col("resolved_url")).alias("resolved_url"),
         "status_code",
@@ -109,12 +111,9 @@ def page_features(pages):
         can_hit.alias("can_hit"),
         F.when(can_hit, F.col("_payload")).alias("payload"),
         F.when(can_hit, F.col("_title")).alias("title"),
+        *([order] if order else []),
     )
-
-
-def latest_pages(pages, order):
-    """One page per URL where the page table keeps several copies: the last by ``order``."""
-    return best_per_group(pages, ["url"], [column.desc() for column in order])
+    return best_per_group(features, ["url"], [F.col(order).desc()]).drop(order) if order else features
 
 
 def target_attempts(targets, stores, strategy=None):
@@ -129,91 +128,90 @@ def target_attempts(targets, stores, strategy=None):
     return chosen.select("product_id", "candidate_url", first_of_each_url(F.col("_choices")).alias("attempts"))
 
 
+def _exploded(planned):
+    return planned.select(
+        "product_id", "candidate_url", F.posexplode("attempts").alias("place", "attempt")
+    ).select(
+        "product_id",
+        "candidate_url",
+        (F.col("place") + 1).alias("attempt_no"),
+        F.col("attempt.url").alias("url"),
+        F.col("attempt.strategy").alias("strategy"),
+    )
+
+
 def exploded_attempts(targets, stores, strategy=None):
     """One row per target and URL to try, numbered from 1."""
-    return (
-        target_attempts(targets, stores, strategy)
-        .select("product_id", "candidate_url", F.posexplode_outer("attempts").alias("place", "attempt"))
-        .select(
-            "product_id",
-            "candidate_url",
-            (F.col("place") + 1).alias("attempt_no"),
-            F.col("attempt.url").alias("url"),
-            F.col("attempt.strategy").alias("strategy"),
-        )
+    return _exploded(target_attempts(targets, stores, strategy))
+
+
+def _step(**known):
+    """An entry of the attempts column; fields that are not given are null."""
+    return F.struct(
+        *[
+            known.get(field.name, F.lit(None)).cast(field.dataType).alias(field.name)
+            for field in ATTEMPT
+        ]
     )
 
 
-def resolve_products(targets, pages, stores, strategy=None, stamp=True):
+def resolve_products(targets, pages, stores, strategy=None, stamp=True, page_order=None):
     """For each target the first attempted page that is the product, or the reason for none.
 
-    Each target is one row here (best URL per product), so a product never has more rows than the
-    attempt list has entries. A URL shared by many targets is a skewed key of the page join, which
-    the adaptive skew join splits.
+    A target is one row per product (its best URL), a page one row per URL; where the page table
+    holds several copies of a URL, ``page_order`` names the column whose largest value counts.
+
+    Pages and attempts meet in an inner join, so that Spark may send a short list of attempts to the
+    pages, or drop pages nobody asks for before they are shuffled. What was not met is known from
+    the attempt list itself. A URL that many targets share is a skewed key of that join, which the
+    adaptive skew join splits; per product there are never more rows than entries in the list.
     """
-    tries = exploded_attempts(targets, stores, strategy)
-    joined = tries.join(page_features(pages), "url", "left")
-    failed = F.col("status_code").isNull()
-    same = F.coalesce(F.col("found"), F.lit(False)) & P.is_requested(F.col("found_id"), F.col("product_id"))
-    hit = F.coalesce(F.col("can_hit"), F.lit(False)) & same
-    attempt = F.when(
-        failed,
-        F.struct(
-            F.col("url"),
-            F.lit(None).cast("string").alias("resolved_url"),
-            F.col("strategy"),
-            F.lit(None).cast("int").alias("status_code"),
-            F.lit(None).cast("boolean").alias("react_data_found"),
-            F.lit(None).cast("boolean").alias("product_id_matches"),
-            F.lit(REQUEST_FAILED).alias("status"),
-            F.lit(NOT_COLLECTED).alias("error_message"),
-        ),
-    ).otherwise(
-        F.struct(
-            F.col("url"),
-            F.coalesce("resolved_url", "url").alias("resolved_url"),
-            F.col("strategy"),
-            F.col("status_code").cast("int").alias("status_code"),
-            F.col("found").alias("react_data_found"),
-            same.alias("product_id_matches"),
-            F.lit(None).cast("string").alias("status"),
-            F.lit(None).cast("string").alias("error_message"),
-        )
-    )
-    tried = joined.select(
-        "product_id",
-        "candidate_url",
-        "attempt_no",
-        F.when(hit, F.col("attempt_no")).alias("hit_no"),
-        F.when(F.col("url").isNotNull(), F.struct("attempt_no", attempt.alias("attempt"))).alias("step"),
-        F.when(
-            hit,
-            F.struct(
-                F.col("url"),
-                F.coalesce("resolved_url", "url").alias("resolved_url"),
-                "strategy",
-                "payload",
-                "title",
-            ),
-        ).alias("page"),
-    )
-    outcome = tried.groupBy("product_id", "candidate_url").agg(
-        F.min("hit_no").alias("hit_no"),
-        F.min_by("page", "hit_no").alias("page"),
-        F.sort_array(F.collect_list("step")).alias("steps"),
-        F.count("step").alias("tries"),
+    planned = target_attempts(targets, stores, strategy)
+    met = _exploded(planned).join(page_features(pages, page_order), "url")
+    same = F.col("found") & P.is_requested(F.col("found_id"), F.col("product_id"))
+    hit_no = F.when(F.col("can_hit") & same, F.col("attempt_no"))
+    final_url = F.coalesce("resolved_url", "url")
+    step = _step(
+        url=F.col("url"),
+        resolved_url=final_url,
+        strategy=F.col("strategy"),
+        status_code=F.col("status_code"),
+        react_data_found=F.col("found"),
+        product_id_matches=same,
     )
-    upto_hit = F.filter(
-        "steps", lambda step: F.col("hit_no").isNull() | (step["attempt_no"] <= F.col("hit_no"))
+    page = F.struct("url", final_url.alias("resolved_url"), "strategy", "payload", "title")
+    seen = (
+        met.select(
+            "product_id",
+            F.struct("attempt_no", step.alias("step")).alias("entry"),
+            hit_no.alias("hit_no"),
+            F.when(hit_no.isNotNull(), page).alias("page"),
+        )
+        .groupBy("product_id")
+        .agg(
+            F.min("hit_no").alias("hit_no"),
+            F.min_by("page", "hit_no").alias("page"),
+            F.map_from_entries(F.collect_list("entry")).alias("steps"),
+        )
     )
-    attempts = F.transform(upto_hit, lambda step: step["attempt"]).cast(T.ArrayType(ATTEMPT))
-    found = F.col("hit_no").isNotNull()
-    broken = F.col("tries") == 0
+    outcome = planned.withColumnRenamed("attempts", "plan").join(seen, "product_id", "left")
+    tried = F.slice("plan", 1, F.coalesce("hit_no", F.size("plan")))
+
+    def outcome_of(attempt, place):
+        missed = _step(
+            url=attempt["url"],
+            strategy=attempt["strategy"],
+            status=F.lit(REQUEST_FAILED),
+            error_message=F.lit(NOT_COLLECTED),
+        )
+        return F.coalesce(F.try_element_at("steps", place + 1), missed)
+
+    found, broken = F.col("hit_no").isNotNull(), F.col("plan").isNull()
     miss = F.when(broken, CRAWL_FAILED).otherwise(NOT_FOUND)
-    last_error = F.element_at(
-        F.filter(F.col("attempts"), lambda step: step["error_message"].isNotNull()), -1
-    )["error_message"]
-    rows = outcome.withColumn("attempts", attempts).withColumns(
+    no_steps = F.array().cast(T.ArrayType(ATTEMPT))
+    failures = F.filter("attempts", lambda step: step["error_message"].isNotNull())
+    last_error = F.try_element_at(failures, F.lit(-1))["error_message"]
+    rows = outcome.withColumn("attempts", F.coalesce(F.transform(tried, outcome_of), no_steps)).withColumns(
         {
             "requested_product_id": F.col("product_id"),
             "source_url": F.when(found, F.col("page.url")).otherwise(F.col("candidate_url")),
@@ -225,19 +223,15 @@ def resolve_products(targets, pages, stores, strategy=None, stamp=True):
             "scraped_at": utc_now() if stamp else F.lit(None).cast("string"),
             "status": F.when(found, OK).otherwise(miss),
             "failure_reason": F.when(~found, miss),
-            "error_message": F.when(broken, BROKEN_URL).when(
-                ~found & F.exists("attempts", lambda step: step["error_message"].isNotNull()), last_error
-            ),
+            "error_message": F.when(broken, BROKEN_URL).when(~found, last_error),
             **_payload_columns(F.col("page.payload"), F.col("page.title")),
         }
     )
     no_payload = F.parse_json(F.lit("{}"))
     rows = rows.withColumns(
         {
-            "react_data_basic": F.coalesce("react_data_basic", no_payload),
+            "react_data_basic": F.when(found, F.col("react_data_basic")).otherwise(no_payload),
             "react_data": F.coalesce("react_data", no_payload),
         }
     )
     return shaped(rows, PRODUCT_INFO)
-
-

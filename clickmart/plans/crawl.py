@@ -2,6 +2,9 @@
 
 import time
 
+from pyspark.sql import functions as F
+
+from clickmart.metrics import counted, rows_of
 from clickmart.operators import crawl_log as log_ops
 from clickmart.operators.pages import resolve_products
 from clickmart.operators.targets import best_targets_first
@@ -22,7 +25,13 @@ def read_log(spark, path):
     An appended run writes further files, whose names do not follow the order of the runs.
     """
     rows = with_file_order(read_jsonl_tolerant(spark, path, PRODUCT_INFO), "_place")
-    return rows.selectExpr("*", "struct(scraped_at, _place) AS seq").drop("_place")
+    return rows.withColumn("seq", F.struct("scraped_at", "_place")).drop("_place")
+
+
+def stored_log(spark, path):
+    """The log without its payloads, parsed once and kept for the counts and the report."""
+    payloads = ["react_data_basic", "react_data", "category", "price"]
+    return stored(read_log(spark, path).drop(*payloads), "log")
 
 
 def run(
@@ -34,6 +43,7 @@ def run(
     limit=None,
     resume=False,
     strategy=None,
+    page_order=None,
     summary_path=None,
 ):
     """Resolves the targets, adds them to the log at ``output_path`` and returns the run summary.
@@ -48,21 +58,24 @@ def run(
     done = None
     pending = wanted
     if resuming:
-        log = read_log(spark, output_path)
+        log = stored_log(spark, output_path)
         before = log_ops.checkpoint_summary(log).first().asDict()
         done = stored(
             log_ops.logged(log).selectExpr("requested_product_id AS product_id").distinct(), "done"
         )
         pending = wanted.join(done, "product_id", "left_anti")
-    found = resolve_products(pending, pages, stores, strategy)
+    found = resolve_products(pending, pages, stores, strategy, page_order=page_order)
     write_jsonl(found, output_path, mode="append" if resuming else "overwrite")
 
-    log = read_log(spark, output_path)
+    log = stored_log(spark, output_path)
     totals = log_ops.crawl_totals(log, wanted, done).first().asDict()
     failed = log_ops.failed_targets(log, wanted)
     if failed_path:
-        # The write numbers the report; reading it again for the count would cost another join.
-        write_csv(failed.orderBy("product_id"), failed_path, FAILED_TARGET_FIELDS)
+        report, written = counted(failed.orderBy("product_id"), "failed_targets")
+        write_csv(report, failed_path, FAILED_TARGET_FIELDS)
+        failed_count = rows_of(written)["rows"]
+    else:
+        failed_count = failed.count()
     summary = {
         "stage": "crawl_products",
         "resume": resume,
@@ -72,7 +85,7 @@ def run(
         "checkpoint_row_count": before["row_count"],
         "checkpoint_invalid_line_count": before["invalid_line_count"],
         "processed_this_run_count": totals["processed_count"] - before["row_count"],
-        "failed_target_count": failed.count(),
+        "failed_target_count": failed_count,
         # One row per status and per configured store: both lists are short by nature.
         "status_counts": {row["status"]: row["rows"] for row in log_ops.status_counts(log_ops.logged(log)).collect()},
         "country_store_counts": {

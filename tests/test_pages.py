@@ -134,6 +134,32 @@ def test_own_attempt_strategy(spark):
     assert (found.url, found.strategy, found.attempt_no) == ("own:7", "own", 1)
 
 
-def test_latest_copy_of_a_page(spark):
-    rows = spark.createDataFrame([("u", 1, "old"), ("u", 2, "new")], "url STRING, at INT, html STRING")
-    assert pages.latest_pages(rows, [F.col("at")]).first().html == "new"
+def test_last_copy_of_a_page_counts(spark):
+    url = "https://www.shop.com/catalog/product/view/id/113650"
+    targets = spark.createDataFrame([("113650", url)], "product_id STRING, candidate_url STRING")
+    copies = spark.createDataFrame(
+        [(url, None, 404, PRODUCT, 1), (url, None, 200, PRODUCT, 3), (url, None, 500, PRODUCT, 2)],
+        "url STRING, resolved_url STRING, status_code INT, html STRING, at INT",
+    )
+    stores = Stores("shop", (), ())
+    row = pages.resolve_products(targets, copies, stores, page_order="at").first()
+    assert (row.status, [a.status_code for a in row.attempts]) == ("ok", [200])
+    assert pages.resolve_products(targets, copies.filter("at = 1"), stores).first().status == pages.NOT_FOUND
+
+
+def test_one_url_for_most_targets(spark):
+    """A third and more of the attempts share one URL; the join splits it and loses nothing."""
+    hot = "https://www.shop.com/home"
+    targets = spark.range(3000).select(
+        F.col("id").cast("string").alias("product_id"),
+        F.when(F.col("id") % 3 > 0, hot).otherwise(F.concat(F.lit("https://x.example/"), "id")).alias("candidate_url"),
+    )
+    collected = spark.createDataFrame(
+        [(hot, None, 200, 'react_data = {"product_id": 7, "sku": "K"}')],
+        "url STRING, resolved_url STRING, status_code INT, html STRING",
+    )
+    rows = pages.resolve_products(targets, collected, Stores("shop", (), ()))
+    assert {(r.status, r["count"]) for r in rows.groupBy("status").count().collect()} == {
+        ("ok", 1), (pages.NOT_FOUND, 2999),
+    }
+    assert rows.filter("attempts[0].status_code = 200").count() == 2000
