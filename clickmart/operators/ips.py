@@ -94,9 +94,16 @@ def ip_record_count(events, ip_field="ip"):
     return with_ip(events, ip_field).agg(F.count(F.lit(1)).alias("ip_record_count"))
 
 
-def locate(ips, ranges=None, v6_ranges=None, allow_private=False, stamp=True):
+# Parts of an address block when its addresses are not distinct.
+REPEATED_SALTS = 32
+
+
+def locate(ips, ranges=None, v6_ranges=None, allow_private=False, stamp=True, distinct=True):
     """Location and status of each address in column ``ip``.
 
+    ``distinct`` says that each address comes once, as the scan discovery gives them. Stored values
+    may repeat an address in many spellings; then address blocks are split by the stored value.
+
     ``ranges`` has BIGINT ``ip_from`` and ``ip_to`` (inclusive) with country, region, city, latitude
     and longitude; ``v6_ranges`` the same with both ends as 32 hex digits. A valid address outside
     every range is ``ok`` with empty fields. Without ranges a valid address is not looked up.
@@ -106,14 +113,16 @@ def locate(ips, ranges=None, v6_ranges=None, allow_private=False, stamp=True):
         "valid",
         F.when(F.col("valid"), F.col("v4")).alias("number"),
         F.when(F.col("valid"), F.col("v6")).alias("digits"),
+        F.pmod(F.xxhash64("ip"), F.lit(REPEATED_SALTS)).alias("salt"),
     )
+    split = {} if distinct else {"salt": F.col("salt"), "salts": REPEATED_SALTS}
     configured = ranges is not None or v6_ranges is not None
     fields = ["country", "region", "city", "latitude", "longitude"]
     located = checked
     if ranges is not None:
-        located = attach_v4_ranges(located, ranges.select("ip_from", "ip_to", *fields), F.col("number"), "v4")
+        located = attach_v4_ranges(located, ranges.select("ip_from", "ip_to", *fields), F.col("number"), "v4", **split)
     if v6_ranges is not None:
-        located = attach_v6_ranges(located, v6_ranges.select("ip_from", "ip_to", *fields), F.col("digits"), "v6")
+        located = attach_v6_ranges(located, v6_ranges.select("ip_from", "ip_to", *fields), F.col("digits"), "v6", **split)
 
     sources = [name for name in ("v4", "v6") if name in located.columns]
 

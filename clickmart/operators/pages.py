@@ -14,6 +14,7 @@ from clickmart.functions.urls import (
 )
 from clickmart.operators.ranking import best_per_group
 from clickmart.schemas import ATTEMPT, PRODUCT_INFO, shaped
+from clickmart.session import stored
 
 # Crawl outcomes.
 OK = "ok"
@@ -113,7 +114,10 @@ def page_features(pages, order=None):
         F.when(can_hit, F.col("_title")).alias("title"),
         *([order] if order else []),
     )
-    return best_per_group(features, ["url"], [F.col(order).desc()]).drop(order) if order else features
+    if not order:
+        return features
+    # Stored, so that a join by URL reads it through a shuffle of its own and can split hot URLs.
+    return stored(best_per_group(features, ["url"], [F.col(order).desc()]).drop(order), "pages")
 
 
 def target_attempts(targets, stores, strategy=None):
@@ -129,9 +133,10 @@ def target_attempts(targets, stores, strategy=None):
 
 
 def _exploded(planned):
+    # The outer form, as Spark would otherwise build the list once more to filter on its size.
     return planned.select(
-        "product_id", "candidate_url", F.posexplode("attempts").alias("place", "attempt")
-    ).select(
+        "product_id", "candidate_url", F.posexplode_outer("attempts").alias("place", "attempt")
+    ).filter("attempt.url IS NOT NULL").select(
         "product_id",
         "candidate_url",
         (F.col("place") + 1).alias("attempt_no"),
@@ -168,9 +173,13 @@ def resolve_products(targets, pages, stores, strategy=None, stamp=True, page_ord
     """
     planned = target_attempts(targets, stores, strategy)
     met = _exploded(planned).join(page_features(pages, page_order), "url")
-    same = F.col("found") & P.is_requested(F.col("found_id"), F.col("product_id"))
-    hit_no = F.when(F.col("can_hit") & same, F.col("attempt_no"))
-    final_url = F.coalesce("resolved_url", "url")
+    same, hit_no, final_url = F.col("same"), F.col("hit_no"), F.col("final_url")
+    met = met.withColumns(
+        {
+            "same": F.col("found") & P.is_requested(F.col("found_id"), F.col("product_id")),
+            "final_url": F.coalesce("resolved_url", "url"),
+        }
+    ).withColumn("hit_no", F.when(F.col("can_hit") & same, F.col("attempt_no")))
     step = _step(
         url=F.col("url"),
         resolved_url=final_url,
@@ -184,7 +193,7 @@ def resolve_products(targets, pages, stores, strategy=None, stamp=True, page_ord
         met.select(
             "product_id",
             F.struct("attempt_no", step.alias("step")).alias("entry"),
-            hit_no.alias("hit_no"),
+            hit_no,
             F.when(hit_no.isNotNull(), page).alias("page"),
         )
         .groupBy("product_id")

@@ -4,72 +4,82 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 
-def attach_v4_ranges(points, ranges, number, name="range"):
+# Blocks that points without a number are spread over.
+_SPREAD = 65536
+
+
+def _salted(block, salt, salts, columns):
+    """The block of a point with its salt; a block of its own kind for points without a number."""
+    spread = -1 - F.pmod(F.xxhash64(*columns), F.lit(_SPREAD))
+    return F.coalesce(block * salts + salt, spread)
+
+
+def _pieces(ranges, name, first, last, start_of, salts):
+    """Each range cut at block borders and repeated for each salt."""
+    fields = [field for field in ranges.columns if field not in ("ip_from", "ip_to")]
+    cut = ranges.select(
+        "ip_from",
+        F.struct(F.col("ip_to").alias("_to"), F.struct(*fields).alias(name)).alias("_range"),
+        F.explode(F.sequence(first, last)).alias("_cut"),
+    )
+    repeated = cut.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return repeated.select(
+        (F.col("_cut") * salts + F.col("_salt")).alias("_block"),
+        F.greatest("ip_from", start_of(F.col("_cut"))).alias("_at"),
+        F.lit(0).alias("_kind"),
+        "_range",
+    )
+
+
+def attach_v4_ranges(points, ranges, number, name="range", salt=None, salts=1):
     """Adds to each point the range its IPv4 number falls into, as a struct, or null.
 
     Points and range starts are sorted together inside each /16 block, and each point takes the last
     range that started. Ranges that cross a block border are cut there. With distinct addresses a
     block has at most 65,536 points and as many range pieces, so no task can get more, however the
-    addresses are spread. Ranges must not overlap. Points without a number are spread over blocks of
-    their own and come back with null.
+    addresses are spread. Where addresses repeat, ``salt`` (0 to ``salts`` - 1) splits each block and
+    the ranges are repeated for each part. Ranges must not overlap. Points without a number are
+    spread over blocks of their own and come back with null.
     """
-    fields = [field for field in ranges.columns if field not in ("ip_from", "ip_to")]
-    spread = -1 - F.pmod(F.xxhash64(*points.columns), F.lit(65536))
-    block = F.coalesce(F.shiftright(number, 16), spread)
+    salt = F.lit(0) if salt is None else salt
+    block = _salted(F.shiftright(number, 16), salt, salts, points.columns)
     low, high = F.col("ip_from").cast("bigint"), F.col("ip_to").cast("bigint")
-    pieces = ranges.select(
-        low.alias("_from"),
-        high.alias("_to"),
-        F.struct(*fields).alias(name),
-        F.explode(F.sequence(F.shiftright(low, 16), F.shiftright(high, 16))).alias("_block"),
-    ).select(
-        "_block",
-        F.greatest("_from", F.shiftleft("_block", 16)).alias("_at"),
-        F.lit(0).alias("_kind"),
-        F.struct("_to", name).alias("_range"),
+    pieces = _pieces(
+        ranges, name, F.shiftright(low, 16), F.shiftright(high, 16), lambda cut: F.shiftleft(cut, 16), salts
     )
-    placed = points.select(
-        block.alias("_block"), number.alias("_at"), F.lit(1).alias("_kind"), F.struct(*points.columns).alias("_point")
-    )
-    return _last_started(placed, pieces, name)
+    return _last_started(points, block, number, pieces, name)
 
 
-def attach_v6_ranges(points, ranges, digits, name="range", salts=16):
+def attach_v6_ranges(points, ranges, digits, name="range", salt=None, salts=16):
     """The same for IPv6, where addresses and range ends are 32 hex digits.
 
-    A /16 block may hold any number of IPv6 addresses, so each block is split by a hash into
-    ``salts`` parts and the ranges of the block are repeated for each part.
+    A /16 block may hold any number of IPv6 addresses, so it is always split: by ``salt``, or by a
+    hash of the address.
     """
-    fields = [field for field in ranges.columns if field not in ("ip_from", "ip_to")]
 
     def block_of(text):
         return F.conv(F.left(text, F.lit(4)), 16, 10).cast("bigint")
 
-    spread = -1 - F.pmod(F.xxhash64(*points.columns), F.lit(65536))
-    salt = F.pmod(F.xxhash64(digits), F.lit(salts))
-    block = F.coalesce(block_of(digits) * salts + salt, spread)
-    pieces = (
-        ranges.select(
-            F.col("ip_from").alias("_from"),
-            F.col("ip_to").alias("_to"),
-            F.struct(*fields).alias(name),
-            F.explode(F.sequence(block_of(F.col("ip_from")), block_of(F.col("ip_to")))).alias("_cut"),
-        )
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        .select(
-            (F.col("_cut") * salts + F.col("_salt")).alias("_block"),
-            F.greatest("_from", F.rpad(F.lpad(F.lower(F.hex("_cut")), 4, "0"), 32, "0")).alias("_at"),
-            F.lit(0).alias("_kind"),
-            F.struct("_to", name).alias("_range"),
-        )
+    salt = F.pmod(F.xxhash64(digits), F.lit(salts)) if salt is None else salt
+    block = _salted(block_of(digits), salt, salts, points.columns)
+    pieces = _pieces(
+        ranges,
+        name,
+        block_of(F.col("ip_from")),
+        block_of(F.col("ip_to")),
+        lambda cut: F.rpad(F.lpad(F.lower(F.hex(cut)), 4, "0"), 32, "0"),
+        salts,
     )
-    placed = points.select(
-        block.alias("_block"), digits.alias("_at"), F.lit(1).alias("_kind"), F.struct(*points.columns).alias("_point")
-    )
-    return _last_started(placed, pieces, name)
+    return _last_started(points, block, digits, pieces, name)
 
 
-def _last_started(placed, pieces, name):
+def _last_started(points, block, position, pieces, name):
+    placed = points.select(
+        block.alias("_block"),
+        position.alias("_at"),
+        F.lit(1).alias("_kind"),
+        F.struct(*points.columns).alias("_point"),
+    )
     both = placed.unionByName(pieces, allowMissingColumns=True)
     running = (
         Window.partitionBy("_block")

@@ -39,7 +39,8 @@ def run(
     else:
         scope |= ip_ops.ip_record_count(events, ip_field).first().asDict()
         found = ip_ops.distinct_ips(events, order_key, ip_field, limit, discovery_mode)
-    located = ip_ops.locate(found, ranges, v6_ranges, allow_private)
+    once = target_ids is not None or discovery_mode == "scan"
+    located = ip_ops.locate(found, ranges, v6_ranges, allow_private, distinct=once)
     # Stored once; the outputs and the counts read this small result.
     located = stored(located, "locations")
     rows, written = counted(located, "ip_locations_written")

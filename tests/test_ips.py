@@ -145,6 +145,14 @@ def test_range_lookup_equals_brute_force(spark):
         assert found[point] == (wanted[0] if wanted else None)
 
 
+def test_address_in_very_many_spellings(spark):
+    """One address is most of the rows; its block is split and every row keeps its range."""
+    rows = spark.range(4000).select(F.concat(F.lit("8.8.8.8, 10.0.0."), "id").alias("ip"))
+    ranges = spark.createDataFrame([(number("8.0.0.0"), number("8.255.255.255"), "A", None, None, None, None)], GEO)
+    found = ips.locate(rows, ranges, distinct=False)
+    assert [tuple(r) for r in found.groupBy("ip", "country").count().collect()] == [("8.8.8.8", "A", 4000)]
+
+
 def test_v6_ranges_equal_brute_force(spark):
     generator = random.Random(11)
     base = 0x2A02 << 112
