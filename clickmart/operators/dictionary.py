@@ -190,21 +190,25 @@ def _report(counts, samples, total_records, sample_size):
 def variant_cells(records, column, max_depth=8):
     """The same for VARIANT records, whose fields differ from row to row.
 
-    Each step replaces an object by its members in place, so the records are read once. An object
-    deeper than ``max_depth`` is reported as one value of type object.
+    Each step replaces the objects in a record's list of values by their members, so the records are
+    read once and become rows at the end. An object deeper than ``max_depth`` is reported as one
+    value of type object.
     """
-    level = records.select(
-        F.explode(_members(F.col(column), F.lit(None).cast("string"))).alias("cell")
-    ).select("cell.*")
+    found = _members(F.col(column), F.lit(None).cast("string"))
     for _ in range(max_depth - 1):
-        members = F.coalesce(
-            _members(F.col("value"), F.col("field_name")), F.array(F.struct("field_name", "value"))
+        found = F.flatten(
+            F.transform(
+                found, lambda cell: F.coalesce(_members(cell["value"], cell["field_name"]), F.array(cell))
+            )
+        )
+    return (
+        records.select(F.explode_outer(found).alias("cell"))
+        .filter("cell IS NOT NULL")
+        .select(
+            "cell.field_name",
+            F.coalesce(value_type(F.col("cell.value")), F.lit("null")).alias("value_type"),
+            F.try_variant_get("cell.value", "$", "string").alias("text"),
         )
-        level = level.select(F.explode(members).alias("cell")).select("cell.*")
-    return level.select(
-        "field_name",
-        F.coalesce(value_type(F.col("value")), F.lit("null")).alias("value_type"),
-        F.try_variant_get("value", "$", "string").alias("text"),
     )
 
 
