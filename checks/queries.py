@@ -268,7 +268,8 @@ def ip_upsert(spark, sf_dir):
 def ip_upsert_stream(spark, sf_dir):
     """The same addresses as ``ip_locations``, through micro-batches."""
     schema = D.table(spark, sf_dir, "events").schema
-    raw = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    # As a pattern the path may be one file or a folder of files.
+    raw = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
     records = raw.selectExpr(*D.expressions(D.EVENT_RECORDS, "spark"))
     path, checkpoint = scratch_path(spark, "locations"), scratch_path(spark, "stream")
     stream = location_stream(records, "event_id", path, checkpoint, D.geo_ranges(spark, sf_dir))
