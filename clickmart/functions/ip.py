@@ -130,7 +130,13 @@ def with_address(df, column):
         .withColumn("v4", v4_number(F.col("_parts")))
         .drop("_parts")
     )
-    return _expanded_v6(numbered, F.col("address"), "v6")
+    # A filter on the results would be moved below all steps and repeat them inside one another. A
+    # column that is no function of the row keeps it above.
+    lined = _expanded_v6(numbered, F.col("address"), "v6").withColumn("_line", F.monotonically_increasing_id())
+    seen = F.col("_line") >= 0
+    return lined.withColumns(
+        {"v4": F.when(seen, F.col("v4")), "v6": F.when(seen, F.col("v6")), "address": F.when(seen, F.col("address"))}
+    ).drop("_line")
 
 
 def with_validity(df, column, allow_private=False, name="valid"):

@@ -192,3 +192,14 @@ def test_job(spark, tmp_path, target_events):
     assert spark.read.json(str(tmp_path / "summary")).first()["unique_location_count"] == 1
     everything = job.run(target_events, str(tmp_path / "all"), "n", discovery_mode="aggregate")
     assert (everything["ip_record_count"], everything["ip_count"]) == (6, 5)
+
+
+def test_filters_on_results_stay_cheap(spark):
+    """Filters above the address steps must not be pushed into them, which would stall the optimizer."""
+    rows = texts(spark, ["8.8.8.8", "10.0.0.1", "2606:4700::1", "zz", ", 1"])
+    assert I.with_validity(rows, "ip").filter("valid").count() == 2
+    assert I.with_validity(rows, "ip").filter("v6 IS NOT NULL").count() == 1
+    ranges = spark.createDataFrame([(0, 2**32 - 1, "A", None, None, None, None)], GEO)
+    located = ips.locate(rows, ranges)
+    assert located.filter("ip <> ''").count() == 4
+    assert located.filter("status = 'ok' AND country = 'A'").count() == 1
