@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from clickmart.llm import substring_dedup
+from clickmart.llm import packing, substring_dedup, wavelet
+from clickmart.llm.tokens import shared_tokenizer
 from clickmart.session import prepare_session
 
 QUERIES = {}
@@ -16,6 +17,13 @@ def query(function):
     return function
 
 
+def tokenizer_path(name):
+    """A file of the installed public tokenizers."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -25,3 +33,18 @@ def op10_substring_dedup(spark, sf_dir):
     found = substring_dedup.repeated_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
     digest = F.sha2(F.coalesce("kept_text", F.lit("")), 256)
     return found.select("doc_id", "n_words", "n_removed", digest.alias("kept_sha256"))
+
+
+@query
+def op9_best_fit_packing(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    tokenizer = shared_tokenizer(spark, tokenizer_path("word_bpe_49k.json"), keeps_blanks=False)
+    return packing.pack(packing.pieces(docs, tokenizer))
+
+
+@query
+def op8_wavelet_shards(spark, sf_dir):
+    tokenizer = shared_tokenizer(spark, tokenizer_path("byte_bpe_50k.json"), keeps_blanks=True)
+    folder = wavelet.new_folder(spark)
+    shards = wavelet.write_shards(table(spark, sf_dir, "documents"), folder, tokenizer)
+    return wavelet.read_shards(spark, folder, shards)
