@@ -21,3 +21,34 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n, 0) AS n_remove
     list_select(words, list_filter(range(1, len(words) + 1), lambda p: NOT list_contains(places, p))) END, ' ')) AS kept_sha256
 FROM texts LEFT JOIN gone USING (row_id)
 """
+
+_PLAIN = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+ORACLE["op6_decontamination"] = rf"""
+WITH texts AS (
+  SELECT row_number() OVER () AS row_id, doc_id, {_PLAIN} AS words FROM documents
+), items AS (
+  SELECT item_id, words, least(13, len(words)) AS size FROM (SELECT item_id, {_PLAIN} AS words FROM benchmark)
+  WHERE len(words) > 0
+), item_windows AS (
+  SELECT DISTINCT item_id, size, array_to_string(list_slice(words, place, place + size - 1), ' ') AS run
+  FROM (SELECT item_id, words, size, unnest(range(1, len(words) - size + 2)) AS place FROM items)
+), sizes AS (
+  SELECT DISTINCT size FROM item_windows
+), windows AS (
+  SELECT row_id, size, place, array_to_string(list_slice(words, place, place + size - 1), ' ') AS run
+  FROM (SELECT row_id, words, size, unnest(range(1, len(words) - size + 2)) AS place FROM texts, sizes
+        WHERE len(words) >= size)
+), found AS (
+  SELECT row_id, size, place, item_id FROM windows JOIN item_windows USING (size, run)
+), hits AS (
+  SELECT row_id, count(*) AS n FROM (SELECT DISTINCT row_id, unnest(range(place, place + size)) FROM found) GROUP BY row_id
+), named AS (
+  SELECT row_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT row_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY row_id
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n, 0) > 0 AND 20 * coalesce(n, 0) >= len(words) AS contaminated
+FROM texts LEFT JOIN hits USING (row_id) LEFT JOIN named USING (row_id)
+"""

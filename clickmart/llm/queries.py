@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from clickmart.llm import packing, substring_dedup, wavelet
+from clickmart.llm import decontaminate, imatch, katz, packing, substring_dedup, wavelet
 from clickmart.llm.tokens import shared_tokenizer
 from clickmart.session import prepare_session
 
@@ -48,3 +48,29 @@ def op8_wavelet_shards(spark, sf_dir):
     folder = wavelet.new_folder(spark)
     shards = wavelet.write_shards(table(spark, sf_dir, "documents"), folder, tokenizer)
     return wavelet.read_shards(spark, folder, shards)
+
+
+@query
+def op5_imatch(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return imatch.compare_edits(docs, imatch.lexicon(docs))
+
+
+@query
+def op6_decontamination(spark, sf_dir):
+    found = decontaminate.benchmark_hits(
+        table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")
+    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        decontaminate.contaminated().alias("contaminated"),
+    )
+
+
+@query
+def op7_katz_backoff(spark, sf_dir):
+    return katz.score(table(spark, sf_dir, "documents"))
