@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from clickmart.llm import decontaminate, imatch, katz, packing, substring_dedup, wavelet
+from clickmart.llm import decontaminate, imatch, jaccard_join, katz, packing, substring_dedup, wavelet
 from clickmart.llm.tokens import shared_tokenizer
 from clickmart.session import prepare_session
 
@@ -74,3 +74,8 @@ def op6_decontamination(spark, sf_dir):
 @query
 def op7_katz_backoff(spark, sf_dir):
     return katz.score(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_jaccard_join(spark, sf_dir):
+    return jaccard_join.near_duplicate_classes(table(spark, sf_dir, "documents"))
