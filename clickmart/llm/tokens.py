@@ -6,6 +6,7 @@ import numpy as np
 
 PIECES = 700_000
 _TAIL = ".,;:!?"
+_RUN = 100
 
 
 def shared_tokenizer(spark, path, keeps_blanks):
@@ -41,36 +42,80 @@ class PieceEncoder:
         self._forget()
 
     def _forget(self):
-        self._known, self._new = _Known(self), []
+        self._known, self._new, self._offset, self._tails = _Known(self), [], 0, {}
         self._flat, self._starts, self._sizes = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
 
     def _many(self, texts):
         return [found.ids for found in self._tokenizer.encode_batch(texts, add_special_tokens=False)]
 
+    def _separate(self, pieces):
+        """Ids of pieces that begin with the tokenizer's blank, many to a call, with a NUL character between them."""
+        between = f" \0{' ' if not self._blank else ''}"
+        one = self._many([f"{self._blank}a", f"{self._blank}a{between}{self._blank}a"])
+        mark = one[1][len(one[0]) : -len(one[0])]
+        plain = [piece for piece in pieces if "\0" not in piece]
+        runs = [plain[n : n + _RUN] for n in range(0, len(plain), _RUN)]
+        found = {}
+        for run, ids in zip(runs, self._many([between.join(run) for run in runs]), strict=True):
+            ids = np.array(ids, np.uint32)
+            ends = np.append(np.flatnonzero(ids == mark[-1]) + 1 - len(mark), len(ids))
+            starts = np.concatenate(([0], ends[:-1] + len(mark)))
+            if len(ends) == len(run):
+                found.update(zip(run, (ids[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)), strict=True))
+        rest = [piece for piece in pieces if piece not in found]
+        found.update(zip(rest, (np.array(ids, np.uint32) for ids in self._many(rest)), strict=True))
+        return [found[piece] for piece in pieces]
+
+    def _add(self, entries, rows):
+        """Appends the ids of entries to the bank."""
+        sizes = np.fromiter(map(len, rows), np.int64, len(rows))
+        self._starts[entries] = len(self._flat) + np.cumsum(sizes) - sizes
+        self._sizes[entries] = sizes
+        self._flat = np.concatenate([self._flat, *rows])
+
+    def _gather(self, starts, sizes):
+        """The bank's ids from each start, one after the other."""
+        places = np.concatenate(([0], np.cumsum(sizes)))
+        return self._flat[np.repeat(starts - places[:-1], sizes) + np.arange(places[-1])]
+
     def _learn(self):
-        """Ids of the new pieces. Letters and the punctuation after them never share a token, so both are looked up."""
-        if not self._new:
+        """Ids of the new pieces. Letters and the punctuation after them never share a token, so each is looked up."""
+        new, self._new = self._new, []
+        if not new:
             return
-        split, parts = [], {}
-        for key in self._new:
-            piece = key[0] if isinstance(key, tuple) else self._blank + key
-            core = piece.rstrip(_TAIL)
-            if not (core and core[-1].isalpha()):
-                core = piece
-            split.append((core, piece[len(core) :]))
-            parts.setdefault(core)
-            parts.setdefault(piece[len(core) :])
-        parts.pop("", None)
-        for part, ids in zip(parts, self._many(list(parts)), strict=True):
-            parts[part] = ids
-        parts[""] = []
-        rows = [parts[core] + parts[tail] for core, tail in split]
-        sizes = np.fromiter(map(len, rows), np.int64, len(rows))
-        ends = len(self._flat) + np.cumsum(sizes)
-        self._flat = np.concatenate([self._flat, np.array([i for row in rows for i in row], np.uint32)])
-        self._starts = np.concatenate([self._starts, ends - sizes])
-        self._sizes = np.concatenate([self._sizes, sizes])
-        self._new = []
+        first, whole, cores, tails, parted = [], [], [], [], []
+        number, self._offset = len(self._starts), len(new)
+        for entry, key in enumerate(new, number):
+            if isinstance(key, tuple):
+                first.append((entry, key[0]))
+                continue
+            core = key.rstrip(_TAIL)
+            if len(core) < len(key) and core and core[-1].isalpha():
+                parted.append(entry)
+                cores.append(self._known[core])
+                tails.append(key[len(core) :])
+            else:
+                whole.append((entry, self._blank + key))
+        whole += [(number + len(new) + n, self._blank + key) for n, key in enumerate(self._new)]
+        size = number + len(new) + len(self._new)
+        self._new, self._offset = [], 0
+        self._starts, self._sizes = (np.concatenate([x, np.zeros(size - number, np.int64)]) for x in (self._starts, self._sizes))
+        if first:
+            self._add([e for e, _ in first], [np.array(x, np.uint32) for x in self._many([k for _, k in first])])
+        if whole:
+            self._add([e for e, _ in whole], self._separate([k for _, k in whole]))
+        if parted:
+            for tail in set(tails) - self._tails.keys():
+                ids = np.array(self._many([tail])[0], np.uint32)
+                self._tails[tail] = len(self._flat), len(ids)
+                self._flat = np.concatenate([self._flat, ids])
+            starts, sizes = np.empty(2 * len(parted), np.int64), np.empty(2 * len(parted), np.int64)
+            starts[::2], sizes[::2] = self._starts[cores], self._sizes[cores]
+            starts[1::2], sizes[1::2] = np.array([self._tails[tail] for tail in tails]).T
+            both = sizes[::2] + sizes[1::2]
+            self._starts[parted] = len(self._flat) + np.cumsum(both) - both
+            self._sizes[parted] = both
+            self._flat = np.concatenate([self._flat, self._gather(starts, sizes)])
 
     def encode(self, texts, end=None):
         """All ids of ``texts`` (None counts as empty) in one array and the number per text; ``end`` closes each text."""
@@ -93,7 +138,7 @@ class PieceEncoder:
             whole[np.searchsorted(edges, np.flatnonzero(at < 0), "right") - 1] = True
         sizes = np.where(at < 0, 0, self._sizes[at]) if len(self._sizes) else np.zeros(len(at), np.int64)
         places = np.concatenate(([0], np.cumsum(sizes)))
-        flat = self._flat[np.repeat(self._starts[at] - places[:-1], sizes) + np.arange(places[-1])] if places[-1] else self._flat[:0]
+        flat = self._gather(self._starts[at], sizes) if places[-1] else self._flat[:0]
         lengths = places[edges[1:]] - places[edges[:-1]]
         if end is None and not whole.any():
             return flat, lengths
@@ -116,8 +161,9 @@ class _Known(dict):
         piece = key[0] if isinstance(key, tuple) else key
         apart = isinstance(key, tuple) and not piece  # a text that begins with a blank
         if not piece or apart or piece[-1].isspace() or (piece[0].isspace() and not isinstance(key, tuple)):
-            self[key] = -1
+            entry = -1
         else:
-            self[key] = len(self._owner._starts) + len(self._owner._new)
+            entry = len(self._owner._starts) + self._owner._offset + len(self._owner._new)
             self._owner._new.append(key)
-        return self[key]
+        self[key] = entry
+        return entry
