@@ -37,10 +37,12 @@ def write_matrix(ids, doc_ids, lengths):
     ]
     ones = []
     for bit in range(bits - 1, -1, -1):
-        plane = (level >> bit) & 1 == 1
-        blocks = np.add.reduceat(plane, np.arange(0, len(plane), BLOCK), dtype=np.int64) if len(plane) else np.zeros(0, np.int64)
-        sections += [np.packbits(plane).tobytes(), np.cumsum(np.concatenate(([0], blocks)), dtype="<u4").tobytes()]
-        ones.append(int(plane.sum()))
+        plane = (level & level.dtype.type(1 << bit)).astype(bool)
+        packed = np.packbits(plane)
+        padded = np.concatenate([packed, np.zeros(-len(packed) % (BLOCK // 8), np.uint8)])
+        blocks = np.bitwise_count(padded).reshape(-1, BLOCK // 8).sum(axis=1, dtype=np.int64)
+        sections += [packed.tobytes(), np.cumsum(np.concatenate(([0], blocks)), dtype="<u4").tobytes()]
+        ones.append(int(blocks.sum()))
         level = np.concatenate([level[~plane], level[plane]])
     press = zstandard.ZstdCompressor(level=1)
     sections = [press.compress(x) for x in sections]
