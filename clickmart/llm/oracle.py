@@ -1,5 +1,7 @@
 """SQL of the queries that DuckDB can express."""
 
+from clickmart.llm import licenses
+
 ORACLE = {}
 
 ORACLE["op10_substring_dedup"] = r"""
@@ -52,3 +54,64 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n, 0) AS n_hit, c
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n, 0) > 0 AND 20 * coalesce(n, 0) >= len(words) AS contaminated
 FROM texts LEFT JOIN hits USING (row_id) LEFT JOIN named USING (row_id)
 """
+
+ORACLE["op4_warc_archives"] = r"""
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS payload FROM pages
+), digests AS (
+  SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes, sha1(payload) AS hex,
+    max(page_id) OVER (PARTITION BY payload) AS largest
+  FROM payloads
+), bits AS (
+  SELECT *, array_to_string(list_transform(string_split(hex, ''),
+    lambda c: lpad(bin(instr('0123456789abcdef', c) - 1), 4, '0')), '') AS bits
+  FROM digests
+)
+SELECT page_id, payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1
+    + 16 * CAST(substr(bits, 5 * i + 1, 1) AS INT) + 8 * CAST(substr(bits, 5 * i + 2, 1) AS INT)
+    + 4 * CAST(substr(bits, 5 * i + 3, 1) AS INT) + 2 * CAST(substr(bits, 5 * i + 4, 1) AS INT)
+    + CAST(substr(bits, 5 * i + 5, 1) AS INT) AS BIGINT), 1)), '') AS payload_digest,
+  CASE WHEN page_id = largest THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = largest THEN NULL ELSE largest END AS refers_to
+FROM bits
+"""
+
+
+def _quoted(text):
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _licence_sql():
+    cut = f"regexp_replace(text, {_quoted(licenses.FULL_STOP)}, '\\1' || chr(1), 'g')"
+    cut = f"regexp_replace({cut}, {_quoted(licenses.EMPTY_LINE)}, chr(1), 'g')"
+    cut = f"regexp_replace({cut}, {_quoted(licenses.OPENER)}, chr(1) || '\\1', 'g')"
+    keyword = _quoted(licenses.KEYWORD)
+    plain = f"translate(s, {_quoted(licenses._UPPER + licenses.QUOTES)}, '{licenses._LOWER}')"
+    plain = f"regexp_replace(regexp_replace({plain}, '[^a-z0-9.,+/()-]+', ' ', 'g'), '^[ .,/+-]+|[ .,/+-]+$', '', 'g')"
+    cases = " ".join(f"WHEN regexp_full_match(s, {_quoted(p)}) THEN {_quoted(n)}" for n, p in licenses.SENTENCES)
+    names = {}
+    for licence, ids in licenses.RULES:
+        names.setdefault("".join(f"<{name}>" for name in ids), licence)
+    pattern = _quoted("|".join(run.replace(".", r"\.") for run in names))
+    licence = " ".join(f"WHEN {_quoted(run)} THEN {_quoted(name)}" for run, name in names.items())
+    return f"""
+WITH cut AS (
+  SELECT row_number() OVER () AS row_id, doc_id,
+    list_filter(string_split({cut}, chr(1)), lambda s: regexp_matches(s, {keyword})) AS sentences
+  FROM documents
+), ids AS (
+  SELECT row_id, doc_id, array_to_string(list_filter(list_transform(list_transform(coalesce(sentences, []),
+    lambda s: {plain}), lambda s: CASE {cases} END), lambda i: i IS NOT NULL), ' ') AS sentence_ids
+  FROM cut
+), runs AS (
+  SELECT row_id, doc_id, sentence_ids, list_transform(regexp_extract_all(regexp_replace(regexp_replace(sentence_ids,
+    '([^ ]+) ?', '<\\1>', 'g'), '(<Copyright>)+(<[^A])', '\\2', 'g'), {pattern}), lambda r: CASE r {licence} END) AS found
+  FROM ids
+)
+SELECT doc_id, sentence_ids, array_to_string(list_filter(found, lambda x, i: list_position(found, x) = i), ' ') AS licences
+FROM runs
+"""
+
+
+ORACLE["op2_licence_scan"] = _licence_sql()

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from clickmart.llm import decontaminate, imatch, jaccard_join, katz, packing, substring_dedup, wavelet
+from clickmart.llm import decontaminate, imatch, jaccard_join, katz, licenses, ordinal, packing, substring_dedup, warc, wavelet
 from clickmart.llm.tokens import shared_tokenizer
 from clickmart.session import prepare_session
 
@@ -79,3 +79,22 @@ def op7_katz_backoff(spark, sf_dir):
 @query
 def op3_jaccard_join(spark, sf_dir):
     return jaccard_join.near_duplicate_classes(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_ordinal_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = ordinal.fit_sample(docs, table(spark, sf_dir, "labels"))
+    return ordinal.rate(docs.select("doc_id", "text"), model).drop("text")
+
+
+@query
+def op2_licence_scan(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
+@query
+def op4_warc_archives(spark, sf_dir):
+    folder = warc.new_folder(spark)
+    warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    return warc.read_archives(spark, folder).drop("url")
