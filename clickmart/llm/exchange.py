@@ -87,13 +87,13 @@ def row_groups(batches, text, limit_bytes):
 
 
 def document_batches(docs, text="text", limit_bytes=6 * BATCH_WORDS):
-    """(batch, rows): the rows of ``docs`` in batches, all columns kept, as compressed Arrow bytes."""
+    """(batch, size, rows): the rows of ``docs`` in batches, all columns kept, as compressed Arrow bytes."""
 
     def pack(batches):
         for table in row_groups(batches, text, limit_bytes):
-            yield pa.RecordBatch.from_pydict({"batch": [new_batch()], "rows": [table_bytes(table)]})
+            yield pa.RecordBatch.from_pydict({"batch": [new_batch()], "size": [len(table)], "rows": [table_bytes(table)]})
 
-    return docs.mapInArrow(pack, "batch long, rows binary")
+    return docs.mapInArrow(pack, "batch long, size long, rows binary")
 
 
 REQUEST = T.StructType(

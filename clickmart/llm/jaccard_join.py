@@ -25,6 +25,7 @@ SHINGLE = 5
 SHARE = 80  # of 100
 SKETCH_BITS = 20
 SLICES = 16
+MARK_BITS = 24
 BAND = float(np.log(100 / SHARE))
 BLOCK = 2_000
 
@@ -191,52 +192,97 @@ def _tiles(table: pa.Table) -> pa.Table:
     )
 
 
-def _fetch_sets(batches, nodes, wanted, text, size):
-    """``node, n, shingles, bits`` of the wanted nodes, from one document each."""
-    at = nodes.where("bits is not null").groupBy("node").agg(F.min(F.struct("batch", "place")).alias("at"))
-    places = wanted.join(at, "node").select("node", "at.batch", "at.place")
+def _one_of_each(nodes):
+    """``node, n, bits, batch, place``: one document of each node."""
+    first = nodes.where("bits is not null").groupBy("node").agg(F.min(F.struct("batch", "place", "n", "bits")).alias("at"))
+    return stored(first.select("node", "at.*"), "nodes")
 
-    def fetch(left: pa.Table, right: pa.Table) -> pa.Table:
-        found = []
-        if len(right):
-            rows = X.bytes_table(left.column("rows")[0].as_py()).take(right.column("place"))
-            sets = _sets(rows, text, WordHashes(), RunHashes(), size)
-            for node, shingles in zip(right.column("node").to_pylist(), sets, strict=True):
-                found.append((node, len(shingles), X.packed_sorted(shingles), bitmap(shingles)))
-        schema = pa.schema([("node", pa.int64()), ("n", pa.int64()), ("shingles", pa.binary()), ("bits", pa.binary())])
-        return pa.Table.from_batches([X.to_batch(found, schema)])
 
-    schema = "node long, n long, shingles binary, bits binary"
-    return batches.groupBy("batch").cogroup(places.groupBy("batch")).applyInArrow(fetch, schema)
+def _marks(places):
+    """A bit for each wanted (batch, place), hashed into a table of fixed size."""
+    width = 1 << MARK_BITS
 
+    def mark(records):
+        marks = np.zeros(width, bool)
+        for record in records:
+            marks[record.column(0).to_numpy()] = True
+        slices = np.packbits(marks).reshape(SLICES, -1)
+        yield pa.RecordBatch.from_pydict({"slice": list(range(SLICES)), "marks": [X.packed(part) for part in slices]})
 
-def _verified(pairs, batches, nodes, text, size, share):
-    """The pairs ``a, b`` that are links: bitmaps first, then exact intersection of the sorted sets."""
-    pairs = stored(pairs, "pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = stored(_fetch_sets(batches, nodes, wanted, text, size), "sets")
+    def either(table: pa.Table) -> pa.Table:
+        found = np.bitwise_or.reduce([X.unpacked(data, np.uint8) for data in table.column("marks").to_pylist()])
+        return pa.table({"slice": table.column("slice")[:1], "marks": pa.array([X.packed(found)], pa.binary())})
 
-    def check(rows):
-        for record in rows:
+    hashed = F.pmod(F.xxhash64("batch", "place"), F.lit(width)).alias("mark")
+    schema = "slice long, marks binary"
+    rows = places.select(hashed).mapInArrow(mark, schema).groupBy("slice").applyInArrow(either, schema).collect()
+    found = np.zeros((SLICES, width // 8 // SLICES), np.uint8)
+    for row in rows:
+        found[row["slice"]] = X.unpacked(bytes(row["marks"]), np.uint8)
+    return found.reshape(-1)
+
+
+def _verified(pairs, batches, one_of_each, text, size, share):
+    """The pairs ``a, b`` that are links: bitmaps first, then exact intersection of the sorted sets.
+
+    Sets are made again from the texts, for the documents of pairs that pass the bitmaps only: their places are hashed
+    into a bit table of fixed size, so that the other texts are not shuffled (when it fills up, more of them are, and the
+    join drops them). Shuffled shingles keep 48 bits.
+    """
+    one, two = (one_of_each.select(*[F.col(c).alias(f"{c}_{side}") for c in one_of_each.columns]) for side in "ab")
+
+    def bounded(records):
+        for record in records:
             keep = []
-            for n, m, bits_a, bits_b, one, two in zip(*[c.to_pylist() for c in record.columns[2:]], strict=True):
-                need = needed_overlap(n, m, share)
-                left, right = (np.frombuffer(x, np.uint64).reshape(1, -1) for x in (bits_a, bits_b))
+            for n, m, left, right in zip(*[record.column(c).to_pylist() for c in ("n_a", "n_b", "bits_a", "bits_b")], strict=True):
+                left, right = (np.frombuffer(x, np.uint64).reshape(1, -1) for x in (left, right))
                 width = min(left.shape[1], right.shape[1])
-                if min(n, m) < need or overlap_bounds(_folded(left, width), n, _folded(right, width), m)[0] < need:
-                    keep.append(False)
-                    continue
-                common = np.intersect1d(X.unpacked_sorted(one), X.unpacked_sorted(two), assume_unique=True)
-                keep.append(len(common) >= need)
-            yield record.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                need = needed_overlap(n, m, share)
+                keep.append(min(n, m) >= need and overlap_bounds(_folded(left, width), n, _folded(right, width), m)[0] >= need)
+            yield record.select(["a", "b", "batch_a", "place_a", "batch_b", "place_b"]).filter(pa.array(keep, pa.bool_()))
+
+    both = pairs.join(one, F.col("a") == F.col("node_a")).join(two, F.col("b") == F.col("node_b")).drop("node_a", "node_b")
+    schema = "a long, b long, batch_a long, place_a long, batch_b long, place_b long"
+    passed = stored(both.mapInArrow(bounded, schema), "pairs")
+    if passed.isEmpty():
+        return passed.select("a", "b")
+    sides = F.array(*[F.struct(F.col(f"batch_{x}").alias("batch"), F.col(f"place_{x}").alias("place")) for x in "ab"])
+    wanted = passed.select("a", "b", F.explode(sides).alias("at")).select("a", "b", "at.*")
+    shared = batches.sparkSession.sparkContext.broadcast(_marks(wanted))
+
+    def chosen(rows):
+        marks = np.unpackbits(shared.value).view(bool)
+        schema = pa.schema([("batch", pa.int64()), ("place", pa.int64()), ("shingles", pa.binary())])
+        words, runs = WordHashes(), RunHashes()
+        for record in rows:
+            for batch, data, mark in zip(record.column("batch").to_pylist(), record.column("rows"), record.column("marks").to_pylist(), strict=True):
+                places = np.flatnonzero(marks[mark])
+                if len(places):
+                    sets = _sets(X.bytes_table(data.as_py()).take(pa.array(places)), text, words, runs, size)
+                    found = [(batch, p, X.packed_sorted(x >> np.uint64(16))) for p, x in zip(places.tolist(), sets, strict=True)]
+                    yield X.to_batch(found, schema)
+
+    places = F.transform(F.sequence(F.lit(0), F.col("size") - 1), lambda p: F.pmod(F.xxhash64("batch", p.cast("long")), F.lit(1 << MARK_BITS)))
+    sets = batches.withColumn("marks", places).mapInArrow(chosen, "batch long, place long, shingles binary")
+    sides = wanted.join(sets, ["batch", "place"]).select("a", "b", "shingles")
+
+    def check(records):
+        held, a, b = None, [], []
+        for record in records:
+            for row in zip(*[c.to_pylist() for c in record.columns], strict=True):
+                if held is not None and held[:2] == row[:2]:
+                    one, two = (X.unpacked_sorted(x[2]) for x in (held, row))
+                    common = np.intersect1d(one, two, assume_unique=True)
+                    if len(common) >= needed_overlap(len(one), len(two), share):
+                        a.append(row[0])
+                        b.append(row[1])
+                held = row
+        yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    one, two = (sets.select(*[F.col(c).alias(f"{c}_{side}") for c in sets.columns]) for side in "ab")
-    both = pairs.join(one, F.col("a") == F.col("node_a")).join(two, F.col("b") == F.col("node_b"))
-    columns = ["a", "b", "n_a", "n_b", "bits_a", "bits_b", "shingles_a", "shingles_b"]
-    return stored(both.select(*columns).mapInArrow(check, "a long, b long"), "verified")
+    return stored(sides.repartition("a", "b").sortWithinPartitions("a", "b").mapInArrow(check, "a long, b long"), "verified")
 
 
-def _between(tiles, nodes, groups, share, block):
+def _between(tiles, one_of_each, groups, share, block):
     """Pairs of different components inside tiles whose bitmaps leave a link possible.
 
     A tile is cut by size bands: each band meets itself and the band below. Its own nodes are cut into blocks of
@@ -247,8 +293,7 @@ def _between(tiles, nodes, groups, share, block):
         known.groupBy("tile").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"))
         .where("low <> high").select("tile", "size")
     )
-    bits = nodes.where("bits is not null").groupBy("node").agg(F.first("bits").alias("bits"))
-    rows = known.join(open_tiles, "tile").join(bits, "node")
+    rows = known.join(open_tiles, "tile").join(one_of_each.select("node", "bits"), "node")
     band = F.floor(F.log(F.col("n").cast("double")) / BAND + 1e-9).cast("int")
     blocks = F.ceil(F.col("size") / block).cast("int")
     mine = F.pmod(F.xxhash64("node"), blocks).cast("int")
@@ -327,10 +372,11 @@ def _joined(docs, text, id_column, size, share, block):
     )
     tiles = stored(tiles, "tiles")
     near = tiles.where("before is not null").select(F.least("before", "node").alias("a"), F.greatest("before", "node").alias("b"))
-    links = _verified(near.distinct(), batches, nodes, text, size, share)
+    one_of_each = _one_of_each(nodes)
+    links = _verified(near.distinct(), batches, one_of_each, text, size, share)
     groups = stored(components(links), "groups")
     tiles = tiles.select("tile", "node", "n").distinct()
-    more = _verified(_between(tiles, nodes, groups, share, block), batches, nodes, text, size, share)
+    more = _verified(_between(tiles, one_of_each, groups, share, block), batches, one_of_each, text, size, share)
     if not more.isEmpty():
         groups = components(links.unionAll(more))
     rows = nodes.drop("bits").join(groups, "node", "left")
