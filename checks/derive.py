@@ -64,6 +64,14 @@ EVENT_RECORDS = [
         """CASE WHEN event_id % 8 = 0 THEN ''
             ELSE concat('https://www.shop.example/r/', cast(user_id % 40 as string)) END""",
     ),
+    # other names of the same values, on some of the rows that lack the first one and on some that have it
+    (
+        "productid",
+        """CASE WHEN event_id % 14 = 0 THEN concat('A', cast(<k> % 40 as string))
+            WHEN event_id % 3 = 0 THEN 'None' END""",
+    ),
+    ("url", "CASE WHEN event_id % 6 = 0 THEN concat('https://www.shop.example/u/', cast(<k> % 40 as string)) END"),
+    ("event_time", "CASE WHEN event_id % 31 = 0 THEN '2019-01-01' END"),
     ("time_stamp", "<epoch>"),
     (
         "ip",
@@ -104,7 +112,12 @@ def page_columns(place, domain):
     brand = "CASE WHEN p_partkey % 4 = 0 THEN '' ELSE p_brand END"
     return [
         ("part_id", "p_partkey"),
-        ("url", f"concat('https://{domain}/catalog/product/view/id/', cast(p_partkey as string))"),
+        (
+            "url",
+            # a quarter of the pages lie where no attempt looks for them
+            f"""concat('https://{domain}/', CASE WHEN (p_partkey * 3 + {place}) % 4 = 0 THEN 'moved/' ELSE
+                'catalog/product/view/id/' END, cast(p_partkey as string))""",
+        ),
         ("resolved_url", "cast(NULL as string)"),
         ("status_code", f"CASE WHEN (p_partkey + {place}) % 5 = 0 THEN 404 ELSE 200 END"),
         (
@@ -120,10 +133,6 @@ def page_columns(place, domain):
     ]
 
 
-def page_filter(place):
-    return f"(p_partkey * 3 + {place}) % 4 <> 0"
-
-
 CRAWL_LOG = [
     ("seq", "o_orderkey"),
     ("requested_product_id", "cast(o_custkey as string)"),
@@ -174,14 +183,14 @@ CRAWL_LOG = [
 ]
 
 CRAWL_TARGETS = [
-    ("product_id", "cast(c_custkey as string)"),
+    # a sixth of the targets was never crawled
+    ("product_id", "concat(CASE WHEN c_custkey % 6 = 0 THEN 'new-' ELSE '' END, cast(c_custkey as string))"),
     (
         "candidate_url",
         """CASE WHEN c_custkey % 8 = 0 THEN ''
             ELSE concat('https://www.shop.de/t-', cast(c_custkey as string)) END""",
     ),
 ]
-CRAWL_TARGETS_FILTER = "c_custkey % 6 <> 0"
 
 
 def expressions(columns, dialect):
@@ -209,15 +218,19 @@ def kept(build):
     The operators then scan a stored table, as they would in use, and not the derivation.
     """
 
-    @wraps(build)
-    def read(spark, sf_dir):
+    def place(spark, sf_dir):
         key = (spark.sparkContext.applicationId, sf_dir, build.__name__)
         if key not in _STORED:
             rows = build(spark, sf_dir)
             _STORED[key] = (stored_path(rows, build.__name__), rows.schema)
-        path, schema = _STORED[key]
+        return _STORED[key]
+
+    @wraps(build)
+    def read(spark, sf_dir):
+        path, schema = place(spark, sf_dir)
         return spark.read.schema(schema).parquet(path)
 
+    read.path = lambda spark, sf_dir: place(spark, sf_dir)[0]
     return read
 
 
@@ -241,7 +254,7 @@ def page_snapshot(spark, sf_dir):
     part = table(spark, sf_dir, "part")
     snapshot = None
     for place, domain in enumerate(SHOP_DOMAINS):
-        rows = part.filter(page_filter(place)).selectExpr(*expressions(page_columns(place, domain), "spark"))
+        rows = part.selectExpr(*expressions(page_columns(place, domain), "spark"))
         snapshot = rows if snapshot is None else snapshot.unionAll(rows)
     return snapshot
 
@@ -259,7 +272,7 @@ def crawl_log(spark, sf_dir):
 
 
 def crawl_targets(spark, sf_dir):
-    customer = table(spark, sf_dir, "customer").filter(CRAWL_TARGETS_FILTER)
+    customer = table(spark, sf_dir, "customer")
     return customer.selectExpr(*expressions(CRAWL_TARGETS, "spark"))
 
 
@@ -276,9 +289,9 @@ CTES = {
     "geo_ranges": _select(GEO_RANGES, "nation JOIN region ON n_regionkey = r_regionkey"),
     "part_targets": _select(PART_TARGETS, "part"),
     "page_snapshot": " UNION ALL ".join(
-        _select(page_columns(place, domain), "part", page_filter(place))
+        _select(page_columns(place, domain), "part")
         for place, domain in enumerate(SHOP_DOMAINS)
     ),
     "crawl_log": _select(CRAWL_LOG, "orders"),
-    "crawl_targets": _select(CRAWL_TARGETS, "customer", CRAWL_TARGETS_FILTER),
+    "crawl_targets": _select(CRAWL_TARGETS, "customer"),
 }

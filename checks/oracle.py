@@ -2,8 +2,9 @@
 
 import re
 
-from checks.derive import CTES, SHOP_DOMAINS
+from checks.derive import CTES, EVENT_RECORDS, SHOP_DOMAINS
 from checks.queries import IP_LIMIT, PRODUCT_LIMIT, RECORD_LIMIT, SAMPLE_SEED, SAMPLE_SIZE
+from clickmart.schemas import EVENTS
 
 PRODUCT_EVENTS = """('view_product_detail', 'select_product_option', 'select_product_option_quality',
     'add_to_cart_action', 'product_detail_recommendation_visible',
@@ -59,13 +60,14 @@ TEXTS = {
     "product_events": f"""SELECT * FROM event_records WHERE collection IN {PRODUCT_EVENTS}
         AND (current_url <> '' OR referrer_url <> '')""",
     "named_raw": """SELECT event_id, ip, lower(coalesce(event_type, collection)) AS t,
-        coalesce(product_id, viewing_product_id) AS own_id, viewing_product_id AS viewing_id,
-        current_url AS page, referrer_url AS referrer, cast(time_stamp as varchar) AS event_time
+        coalesce(product_id, productid, viewing_product_id) AS own_id, viewing_product_id AS viewing_id,
+        coalesce(current_url, url) AS page, referrer_url AS referrer,
+        coalesce(event_time, cast(time_stamp as varchar)) AS event_time
         FROM product_events""",
     "named_clean": f"""SELECT event_id, ip, lower(coalesce({clean('event_type')}, {clean('collection')})) AS t,
-        coalesce({clean('product_id')}, {clean('viewing_product_id')}) AS own_id,
-        {clean('viewing_product_id')} AS viewing_id, {clean('current_url')} AS page,
-        {clean('referrer_url')} AS referrer, cast(time_stamp as varchar) AS event_time
+        coalesce({clean('product_id')}, {clean('productid')}, {clean('viewing_product_id')}) AS own_id,
+        {clean('viewing_product_id')} AS viewing_id, coalesce({clean('current_url')}, {clean('url')}) AS page,
+        {clean('referrer_url')} AS referrer, coalesce({clean('event_time')}, cast(time_stamp as varchar)) AS event_time
         FROM product_events""",
 }
 for _mode in ("raw", "clean"):
@@ -222,7 +224,7 @@ HASH = f"cast(('0x' || substr(md5(concat(cast(event_id as varchar), ':{SAMPLE_SE
 HOST = "lower(regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)', 1))"
 
 QUERIES = {
-    "event_scan": "SELECT * FROM event_records",
+    "event_scan": f"SELECT {', '.join(name for name, _ in EVENT_RECORDS if name in EVENTS.fieldNames())} FROM event_records",
     "product_event_count": "SELECT count(*) AS event_count FROM product_events",
     "product_events": "SELECT event_id, collection, current_url, referrer_url FROM product_events",
     "clean_texts": "SELECT event_id, "
@@ -343,7 +345,7 @@ QUERIES = {
         FROM last_rows l JOIN crawl_targets t ON l.requested_product_id = t.product_id
         WHERE l.status <> 'ok'""",
     "pending_targets": """SELECT * FROM crawl_targets WHERE product_id NOT IN
-        (SELECT requested_product_id FROM crawl_log WHERE status = 'ok')""",
+        (SELECT requested_product_id FROM crawl_log)""",
     "strict_jsonl": "SELECT seq, requested_product_id, status, active, error_message FROM crawl_log",
     "corrupt_line_count": f"""SELECT {LOG_COUNTS},
         (SELECT count(*) FROM crawl_log WHERE status = 'crawl_failed') AS invalid_line_count

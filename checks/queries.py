@@ -10,7 +10,7 @@ from clickmart.functions.text import clean_text
 from clickmart.functions.urls import Stores, country_store, url_host
 from clickmart.operators import crawl_log, dictionary, events, export, ips, pages, sampling, targets
 from clickmart.plans import export as export_job
-from clickmart.schemas import TARGETS
+from clickmart.schemas import EVENTS, TARGETS
 from clickmart.session import prepare_session, scratch_path
 from clickmart.sources import readers, writers
 from clickmart.streaming.locations import current_locations, location_stream
@@ -40,7 +40,9 @@ def query(function):
 
 @query
 def event_scan(spark, sf_dir):
-    return D.event_records(spark, sf_dir)
+    """The stored events through the declared schema."""
+    found = readers.read_events(spark, D.event_records.path(spark, sf_dir))
+    return found.select(*[name for name, _ in D.EVENT_RECORDS if name in EVENTS.fieldNames()])
 
 
 @query
@@ -391,9 +393,7 @@ def failed_targets(spark, sf_dir):
 
 @query
 def pending_targets(spark, sf_dir):
-    """Targets of which no product was found yet: only ok rows count as done here."""
-    done = D.crawl_log(spark, sf_dir).filter("status = 'ok'")
-    return crawl_log.pending_targets(D.crawl_targets(spark, sf_dir), done)
+    return crawl_log.pending_targets(D.crawl_targets(spark, sf_dir), D.crawl_log(spark, sf_dir))
 
 
 LOG_FIELDS = T.StructType(

@@ -26,9 +26,12 @@ def page_title(html):
 def page_payload(html):
     """The object assigned to the payload variable as VARIANT, null where there is none.
 
-    The JSON reader stops at the end of the object, so the rest of the page needs no cutting.
+    The JSON reader stops at the end of the object, so the rest of the page needs no cutting. Text with the numbers
+    ``NaN`` or ``Infinity``, which the strict reader refuses, goes to the lenient one.
     """
-    return F.try_parse_json(F.nullif(F.regexp_extract(html, PAYLOAD, 1), F.lit("")))
+    text = F.nullif(F.regexp_extract(html, PAYLOAD, 1), F.lit(""))
+    lenient = F.when(text.rlike("NaN|Infinity"), F.from_json(text, "variant"))
+    return F.coalesce(F.try_parse_json(text), lenient)
 
 
 def text_of(payload, key):

@@ -184,23 +184,44 @@ def _report(counts, samples, total_records, sample_size):
         percentage(missing, total).alias("null_pct"),
         F.coalesce(texts[0], F.lit("")).alias("example"),
         F.concat_ws(" | ", *texts).alias("sample_values"),
-    )
+    ).orderBy("field_name")
 
 
-def variant_cells(records, column, max_depth=8):
-    """The same for VARIANT records, whose fields differ from row to row.
+# Levels of nesting read at first; more are read where records have them.
+FIRST_DEPTH = 4
 
-    Each step replaces the objects in a record's list of values by their members, so the records are
-    read once and become rows at the end. An object deeper than ``max_depth`` is reported as one
-    value of type object.
-    """
+
+def _cells(column, depth):
+    """The members of an object ``depth`` levels down, as an array of (field_name, value)."""
     found = _members(F.col(column), F.lit(None).cast("string"))
-    for _ in range(max_depth - 1):
+    for _ in range(depth - 1):
         found = F.flatten(
             F.transform(
                 found, lambda cell: F.coalesce(_members(cell["value"], cell["field_name"]), F.array(cell))
             )
         )
+    return found
+
+
+def nesting(records, column):
+    """(levels that ``variant_cells`` has to read, number of records). One scan unless records are nested deeply."""
+    depth, total = FIRST_DEPTH, None
+    while True:
+        left = F.exists(_cells(column, depth), lambda cell: F.schema_of_variant(cell["value"]).startswith("OBJECT<"))
+        deeper, count = records.agg(F.max(F.coalesce(left, F.lit(False))), F.count(F.lit(1))).first()
+        total = count if total is None else total
+        if not deeper:
+            return depth, total
+        depth *= 2
+
+
+def variant_cells(records, column, depth=None):
+    """The same for VARIANT records, whose fields differ from row to row.
+
+    Each step replaces the objects in a record's list of values by their members, so the records are
+    read once and become rows at the end. ``depth`` is what ``nesting`` says, found if not given.
+    """
+    found = _cells(column, depth or nesting(records, column)[0])
     return (
         records.select(F.explode_outer(found).alias("cell"))
         .filter("cell IS NOT NULL")
@@ -223,18 +244,14 @@ def _members(value, prefix):
     )
 
 
-# Up to this many fields the last sample value of each is sent to every task.
-MAX_BROADCAST_FIELDS = 20_000
-
-
-def profile_variants(records, column, sample_size=3, max_depth=8):
+def profile_variants(records, column, sample_size=3):
     """The data dictionary of VARIANT records. The small result of each pass is stored.
 
-    Fields are not known beforehand, so there may be many of them: the values to exceed are sent to
-    every task only up to a checked number of fields, and joined by field beyond it.
+    Fields are not known beforehand, so there may be many of them: the values to exceed are a stored table, which Spark
+    sends to every task only where its bytes are few, and joins by field otherwise, splitting fields with many values.
     """
-    rows = variant_cells(records, column, max_depth)
-    total = records.count()
+    depth, total = nesting(records, column)
+    rows = variant_cells(records, column, depth)
     filled = (F.col("value_type") != "null") & _filled(F.col("text"))
     counts = stored(
         rows.groupBy("field_name", "value_type").agg(
@@ -245,12 +262,11 @@ def profile_variants(records, column, sample_size=3, max_depth=8):
         "fields",
     )
     samples = counts.groupBy("field_name").agg(F.min("least").alias("s1"))
-    small = counts.count() <= MAX_BROADCAST_FIELDS
     for step in range(2, sample_size + 1):
         above = samples.select("field_name", F.col(f"s{step - 1}").alias("floor"))
         rest = (
             rows.filter(filled)
-            .join(F.broadcast(above) if small else above, "field_name")
+            .join(above, "field_name")
             .filter(F.col("text") > F.col("floor"))
         )
         found = rest.groupBy("field_name").agg(F.min("text").alias(f"s{step}"))

@@ -24,7 +24,7 @@ def distinct_raw_ips(events, ip_field="ip", limit=None):
 
 
 def distinct_normalized_ips(events, order_key, ip_field="ip", limit=None):
-    """One stored value per address: the first seen by a BIGINT key.
+    """One stored value per address: the first seen by a BIGINT key, null keys last, then by text.
 
     The first step shrinks the events to distinct values with a hash aggregate, which a hot address
     does not slow down. Only distinct values are then cleaned and compared as addresses.
@@ -35,10 +35,9 @@ def distinct_normalized_ips(events, order_key, ip_field="ip", limit=None):
         .agg(F.min(order_key).alias("first_at"))
         .withColumn("ip_key", I.distinct_key(F.col("ip")))
     )
-    firsts = spellings.groupBy("ip_key").agg(
-        F.min_by("ip", "first_at").alias("ip"), F.min("first_at").alias("first_at")
-    )
-    return smallest_rows(stored(firsts, "ips"), "first_at", limit) if limit else firsts
+    seen = F.struct(F.col("first_at").isNull().alias("never"), "first_at", "ip")
+    firsts = spellings.groupBy("ip_key").agg(F.min(seen).alias("seen")).select("ip_key", "seen.ip", "seen.first_at")
+    return smallest_rows(stored(firsts, "ips"), "first_at", limit, ties=("ip",)) if limit else firsts
 
 
 def distinct_ips(events, order_key=None, ip_field="ip", limit=None, discovery_mode="scan"):
@@ -179,6 +178,10 @@ def newest_per_key(rows, key, order):
 
 
 def upsert(old, new, key="ip"):
-    """Rows of ``new`` replace rows of ``old`` with the same key; rows without a key are left out."""
+    """Rows of ``new`` replace rows of ``old`` with the same key; rows without a key are left out.
+
+    Of several rows of one side the largest counts, by the other columns from left to right.
+    """
     both = old.withColumn("_batch", F.lit(0)).unionByName(new.withColumn("_batch", F.lit(1)))
-    return newest_per_key(both, key, "_batch").drop("_batch")
+    rest = [F.col(name).desc_nulls_last() for name in old.columns if name != key]
+    return best_per_group(both.filter(F.col(key) != ""), [key], [F.col("_batch").desc(), *rest]).drop("_batch")

@@ -117,7 +117,8 @@ def page_features(pages, order=None):
     if not order:
         return features
     # Stored, so that a join by URL reads it through a shuffle of its own and can split hot URLs.
-    return stored(best_per_group(features, ["url"], [F.col(order).desc()]).drop(order), "pages")
+    ties = [F.col("can_hit").desc(), F.col("found").desc(), "status_code", "resolved_url", "found_id", F.to_json("payload")]
+    return stored(best_per_group(features, ["url"], [F.col(order).desc(), *ties]).drop(order), "pages")
 
 
 def target_attempts(targets, stores, strategy=None):
@@ -163,14 +164,17 @@ def _step(**known):
 def resolve_products(targets, pages, stores, strategy=None, stamp=True, page_order=None):
     """For each target the first attempted page that is the product, or the reason for none.
 
-    A target is one row per product (its best URL), a page one row per URL; where the page table
-    holds several copies of a URL, ``page_order`` names the column whose largest value counts.
+    Of repeated targets the one with the first URL counts. Where the page table holds several copies of a URL,
+    ``page_order`` names the column whose largest value counts; without it, and for equal values, a copy that can be the
+    product goes first, then one with a payload, then the order of status code and addresses.
 
     Pages and attempts meet in an inner join, so that Spark may send a short list of attempts to the
     pages, or drop pages nobody asks for before they are shuffled. What was not met is known from
     the attempt list itself. A URL that many targets share is a skewed key of that join, which the
     adaptive skew join splits; per product there are never more rows than entries in the list.
     """
+    best = F.min(F.struct(F.coalesce("candidate_url", F.lit("")), "candidate_url")).alias("best")
+    targets = targets.groupBy("product_id").agg(best).select("product_id", "best.candidate_url")
     planned = target_attempts(targets, stores, strategy)
     met = _exploded(planned).join(page_features(pages, page_order), "url")
     same, hit_no, final_url = F.col("same"), F.col("hit_no"), F.col("final_url")
@@ -189,19 +193,21 @@ def resolve_products(targets, pages, stores, strategy=None, stamp=True, page_ord
         product_id_matches=same,
     )
     page = F.struct("url", final_url.alias("resolved_url"), "strategy", "payload", "title")
-    seen = (
-        met.select(
-            "product_id",
-            F.struct("attempt_no", step.alias("step")).alias("entry"),
-            hit_no,
-            F.when(hit_no.isNotNull(), page).alias("page"),
-        )
-        .groupBy("product_id")
-        .agg(
-            F.min("hit_no").alias("hit_no"),
-            F.min_by("page", "hit_no").alias("page"),
-            F.map_from_entries(F.collect_list("entry")).alias("steps"),
-        )
+    # One copy of each page: the first in the order of the copies, of which there are as many as the page table holds.
+    place = F.struct(
+        hit_no.isNull().alias("miss"), (~F.col("found")).alias("empty"), "status_code", "final_url", "found_id",
+        F.coalesce("title", F.lit("")).alias("title"), F.coalesce(F.to_json("payload"), F.lit("")).alias("payload"),
+    )
+    copies = met.select(
+        "product_id", "attempt_no", place.alias("place"), step.alias("step"), hit_no.alias("hit_no"),
+        F.when(hit_no.isNotNull(), page).alias("page"),
+    ).groupBy("product_id", "attempt_no").agg(
+        F.min_by("step", "place").alias("step"), F.min("hit_no").alias("hit_no"), F.min_by("page", "place").alias("page")
+    )
+    seen = copies.groupBy("product_id").agg(
+        F.min("hit_no").alias("hit_no"),
+        F.min_by("page", "hit_no").alias("page"),
+        F.map_from_entries(F.collect_list(F.struct("attempt_no", "step"))).alias("steps"),
     )
     outcome = planned.withColumnRenamed("attempts", "plan").join(seen, "product_id", "left")
     tried = F.slice("plan", 1, F.coalesce("hit_no", F.size("plan")))

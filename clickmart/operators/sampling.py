@@ -3,60 +3,78 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from clickmart.operators.ranking import first_rows
+
 _SPLITS = 1 << 20
-_SMALL = 1_000_000
 
 
-def smallest_rows(df, key, n, ties=()):
-    """Exactly the ``n`` rows with the smallest value of a BIGINT column.
+def _cut(keys, n):
+    """The ``n``-th smallest key and how many rows of that key are among the first ``n``.
 
-    The cut is found on the key column alone: counts per value prefix, at most 2^20 of them, show in
-    which prefix the n-th row lies; that prefix is split again until few rows are left in it. Only
-    those few rows are sorted. Nothing else is shuffled, and no task sees more than a prefix count
-    per row. ``key`` should be close to unique; ``ties`` orders equal keys.
+    ``keys`` has BIGINT ``_key``, no nulls, and more than ``n`` rows in all. Counts per key prefix, at most 2^20 of them,
+    show in which prefix the row lies; that prefix is split again until it is one key.
     """
-    keys = df.select(F.col(key).alias("_key")).filter("_key IS NOT NULL")
-    low, high, total = keys.agg(F.min("_key"), F.max("_key"), F.count(F.lit(1))).first()
-    if total <= n:
-        return df.filter(F.col(key).isNotNull())
-
+    low, high = keys.agg(F.min("_key"), F.max("_key")).first()
     shift = 0
     while (high >> shift) - (low >> shift) >= _SPLITS:
         shift += 1
-    left = n
-    inside = keys
     while True:
         prefix = F.shiftright("_key", shift)
-        counts = inside.groupBy(prefix.alias("_prefix")).agg(F.count(F.lit(1)).alias("_rows"))
+        counts = keys.groupBy(prefix.alias("_prefix")).agg(F.count(F.lit(1)).alias("_rows"))
         upto = F.sum("_rows").over(Window.orderBy("_prefix"))
         cut, rows, reached = (
-            counts.withColumn("_upto", upto)
-            .filter(F.col("_upto") >= left)
-            .orderBy("_prefix")
-            .first()
+            counts.withColumn("_upto", upto).filter(F.col("_upto") >= n).orderBy("_prefix").first()
         )
-        left -= reached - rows
-        if shift == 0 or rows <= _SMALL:
-            break
-        inside = inside.filter(prefix == cut)
+        n -= reached - rows
+        if shift == 0:
+            return cut, n, rows
+        keys = keys.filter(prefix == F.lit(cut).cast("bigint"))
         shift = max(0, shift - 20)
 
-    prefix = F.shiftright(F.col(key), shift)
-    below = df.filter(prefix < F.lit(cut).cast("bigint"))
-    edge = df.filter(prefix == F.lit(cut).cast("bigint"))
+
+def smallest_rows(df, key, n, ties=()):
+    """Exactly the ``n`` rows with the smallest value of a BIGINT column, null keys last; all of fewer rows.
+
+    The n-th key is found on the key column alone. Rows below it are a filter; of the rows with that very key some are
+    taken in the order of ``ties`` and then of all other columns. When the key decides, nothing is sorted or shuffled;
+    many equal keys are sorted by range over many tasks, so no task ever holds all of them.
+    """
+    column = F.col(key)
+    total, filled = df.agg(F.count(F.lit(1)), F.count(column)).first()
+    if total <= n:
+        return df
+    if n <= 0:
+        return df.limit(0)
+    if filled <= n:
+        below, edge, left, rows = df.filter(column.isNotNull()), df.filter(column.isNull()), n - filled, total - filled
+    else:
+        cut, left, rows = _cut(df.select(column.alias("_key")).filter("_key IS NOT NULL"), n)
+        cut = F.lit(cut).cast("bigint")
+        below, edge = df.filter(column < cut), df.filter(column == cut)
+    if left == 0:
+        return below
     if left == rows:
         return below.unionAll(edge)
-    return below.unionAll(edge.orderBy(key, *ties).limit(left))
+    return below.unionAll(_some_of(edge, left, ties))
+
+
+def _some_of(edge, n, ties):
+    """``n`` of rows with equal keys: the first in a total order, numbered by a sort over many tasks."""
+    plain = [name for name, kind in edge.dtypes if not kind.startswith(("map", "variant")) and "variant" not in kind]
+    return first_rows(edge, n, [*ties, *[name for name in plain if name not in ties]])
 
 
 def hash_key(column, seed):
     """A BIGINT that puts rows in a random but repeatable order."""
-    digest = F.md5(F.concat(column.cast("string"), F.lit(f":{seed}")))
+    digest = F.md5(F.concat(F.coalesce(column.cast("string"), F.lit("")), F.lit(f":{seed}")))
     return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
 
 
 def sample(df, n, key, mode="random", seed=0):
-    """``n`` rows: at random by a hash of a unique key, or the first by a BIGINT key."""
+    """``n`` rows: at random by a hash of a key, or the first by a BIGINT key.
+
+    Rows with a null key can be sampled too: they come last by key, and by chance like others with one hash.
+    """
     if mode == "first":
         return smallest_rows(df, key, n)
     if mode == "random":

@@ -116,7 +116,7 @@ def valid_targets(targets):
 
 
 def _number(name):
-    return F.col(name).try_cast("int")
+    return F.col(name).try_cast("bigint")
 
 
 def best_targets_first(targets, limit=None):

@@ -8,8 +8,21 @@ def strings(*names):
     return [T.StructField(name, T.StringType()) for name in names]
 
 
+# Alternative names under which an event may carry a value, best first.
+EVENT_TYPE_ALIASES = ("event_type", "event", "event_name", "collection", "action")
+PRODUCT_ID_ALIASES = ("product_id", "productid", "product")
+VIEWING_PRODUCT_ID_ALIASES = ("viewing_product_id", "viewingProductId")
+CURRENT_URL_ALIASES = ("current_url", "currentUrl", "url")
+REFERRER_URL_ALIASES = ("referrer_url", "referrerUrl", "referer_url", "referer")
+EVENT_TIME_ALIASES = ("event_time", "time_stamp", "timestamp", "created_at", "time", "datetime")
+ALIASES = (
+    *EVENT_TYPE_ALIASES, *PRODUCT_ID_ALIASES, *VIEWING_PRODUCT_ID_ALIASES,
+    *CURRENT_URL_ALIASES, *REFERRER_URL_ALIASES, *EVENT_TIME_ALIASES,
+)
+
+
 # Documented fields of an event document.
-EVENTS = T.StructType(
+DOCUMENTED_EVENT = T.StructType(
     strings(
         "_id", "api_version", "collect_id", "collection", "currency", "current_url", "device_id",
         "email_address", "ip", "local_time", "price", "product_id", "recommendation_product_id",
@@ -41,13 +54,10 @@ EVENTS = T.StructType(
     ]
 )
 
-# Alternative names under which an event may carry a value, best first.
-EVENT_TYPE_ALIASES = ("event_type", "event", "event_name", "collection", "action")
-PRODUCT_ID_ALIASES = ("product_id", "productid", "product")
-VIEWING_PRODUCT_ID_ALIASES = ("viewing_product_id", "viewingProductId")
-CURRENT_URL_ALIASES = ("current_url", "currentUrl", "url")
-REFERRER_URL_ALIASES = ("referrer_url", "referrerUrl", "referer_url", "referer")
-EVENT_TIME_ALIASES = ("event_time", "time_stamp", "timestamp", "created_at", "time", "datetime")
+# What a scan reads: the documented fields, and as text every other name that a value may have.
+EVENTS = T.StructType(
+    DOCUMENTED_EVENT.fields + strings(*[name for name in ALIASES if name not in DOCUMENTED_EVENT.fieldNames()])
+)
 
 TARGETS = T.StructType(
     strings("product_id", "candidate_url", "source_event_type", "url_source_field")

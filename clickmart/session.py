@@ -14,17 +14,23 @@ def prepare_session(spark):
     return spark
 
 
+_LOCAL_FOLDERS = {}
+
+
 def scratch_path(spark, name):
-    """A new path in the shared checkpoint folder of the cluster.
+    """A new path in the shared checkpoint folder of the cluster (``spark.checkpoint.dir``).
 
-    Only where no folder is configured (a local run) is one made on this machine.
+    A session on one machine that has no such folder gets one in the machine's temporary folder, one per application.
+    Elsewhere executors could not read each other's files there, so a missing setting is an error.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="clickmart-")
-        spark.sparkContext.setCheckpointDir(root)
+        context = spark.sparkContext
+        if context.master != "local" and not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = _LOCAL_FOLDERS.get(context.applicationId)
+        if not root:
+            root = _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="clickmart-")
     return f"{root}/clickmart/{name}-{uuid.uuid4().hex}"
 
 

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from clickmart.operators.ips import distinct_normalized_ips, locate, newest_per_key
+from clickmart.session import prepare_session
 
 
 def location_stream(events, order_key, output_path, checkpoint_path, ranges=None, v6_ranges=None):
@@ -13,6 +14,7 @@ def location_stream(events, order_key, output_path, checkpoint_path, ranges=None
     """
 
     def write(batch, batch_id):
+        prepare_session(batch.sparkSession)
         found = distinct_normalized_ips(batch, order_key).select("ip")
         rows = locate(found, ranges, v6_ranges).filter(F.col("ip") != "")
         rows.write.mode("overwrite").parquet(f"{output_path}/batch_id={batch_id}")

@@ -3,6 +3,7 @@
 from clickmart.operators.pages import resolve_products
 from clickmart.operators.targets import best_targets_first
 from clickmart.schemas import PRODUCT_INFO, TARGETS, as_strings
+from clickmart.session import prepare_session
 from clickmart.sources.readers import CSV_OPTIONS
 
 
@@ -11,7 +12,7 @@ def read_target_stream(spark, path):
     return spark.readStream.schema(as_strings(TARGETS)).options(**CSV_OPTIONS).csv(path)
 
 
-def crawl_stream(targets, pages, stores, output_path, checkpoint_path):
+def crawl_stream(targets, pages, stores, output_path, checkpoint_path, strategy=None, page_order=None):
     """Resolves new targets and stops when all input is read. Run again to go on.
 
     The rows of a batch go to a folder of their own, which a repeated batch replaces: a restart after
@@ -19,7 +20,7 @@ def crawl_stream(targets, pages, stores, output_path, checkpoint_path):
     """
 
     def write(batch, batch_id):
-        spark = batch.sparkSession
+        spark = prepare_session(batch.sparkSession)
         wanted = best_targets_first(batch)
         if batch_id:
             earlier = (
@@ -29,7 +30,7 @@ def crawl_stream(targets, pages, stores, output_path, checkpoint_path):
             )
             done = earlier.selectExpr("requested_product_id AS product_id").distinct()
             wanted = wanted.join(done, "product_id", "left_anti")
-        found = resolve_products(wanted, pages, stores)
+        found = resolve_products(wanted, pages, stores, strategy, page_order=page_order)
         folder = f"{output_path}/batch_id={batch_id}"
         found.write.mode("overwrite").option("ignoreNullFields", "false").json(folder)
 

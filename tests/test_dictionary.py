@@ -39,15 +39,17 @@ def test_profile_of_undeclared_records(spark):
     assert found["a"].sample_values == "1 | 2.5 | s"
 
 
-def test_many_fields_use_the_shuffled_join(spark, monkeypatch):
-    monkeypatch.setattr(D, "MAX_BROADCAST_FIELDS", 0)
-    found = {r.field_name: r for r in D.profile_variants(variants(spark, *DOCUMENTS), "v").collect()}
-    assert found["a"].sample_values == "1 | 2.5 | s"
+def test_any_depth(spark):
+    text = '{"a":' * 11 + "7" + "}" * 11
+    rows = variants(spark, text, '{"b":{}}', "{}")
+    assert [tuple(r)[:3] for r in D.variant_cells(rows, "v").collect()] == [(".".join("a" * 11), "integer", "7")]
+    found = D.profile_variants(rows, "v").collect()
+    assert [(r.field_name, r.non_null_count, r.null_pct) for r in found] == [(".".join("a" * 11), 1, 66.67)]
 
 
-def test_depth_bound(spark):
-    rows = D.variant_cells(variants(spark, '{"a":{"b":{"c":1}}}'), "v", max_depth=2)
-    assert [tuple(r)[:2] for r in rows.collect()] == [("a.b", "object")]
+def test_fields_come_in_order(spark):
+    rows = variants(spark, '{"b":1,"c":{"z":1,"a":2},"a":3}')
+    assert [r.field_name for r in D.profile_variants(rows, "v").collect()] == ["a", "b", "c.a", "c.z"]
 
 
 def test_variant_column_of_declared_records(spark):

@@ -19,10 +19,8 @@ def test_first(spark):
     assert sampling.sample(rows, 10**9, "key", "first").count() == 20_500
 
 
-@pytest.mark.parametrize("small", [1, 50, 1_000_000])
-def test_cut_is_refined(spark, monkeypatch, small):
+def test_cut_is_refined(spark, monkeypatch):
     """Wide and clustered keys, one value repeated: the cut goes through several levels."""
-    monkeypatch.setattr(sampling, "_SMALL", small)
     monkeypatch.setattr(sampling, "_SPLITS", 8)
     keys = [0] * 300 + list(range(1000, 1400)) + [2**62 + i for i in range(300)] + [-(2**62)]
     rows = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "key BIGINT, n BIGINT")
@@ -31,6 +29,20 @@ def test_cut_is_refined(spark, monkeypatch, small):
         assert found == sorted((k, i) for i, k in enumerate(keys))[:n]
 
 
+def test_null_keys_come_last_and_count(spark):
+    rows = spark.createDataFrame([(1, "a"), (None, "b"), (None, "c")], "key BIGINT, n STRING")
+    for mode in ("first", "random"):
+        assert sampling.sample(rows, 10, "key", mode).count() == 3
+        assert sampling.sample(rows, 2, "key", mode).count() == 2
+    assert {r.n for r in sampling.smallest_rows(rows, "key", 2).collect()} == {"a", "b"}
+    assert sampling.smallest_rows(rows, "key", 0).count() == 0
+
+
+def test_equal_keys_are_taken_in_a_total_order(spark):
+    rows = spark.createDataFrame([(7, f"n{i:03}") for i in range(100)], "key BIGINT, n STRING").repartition(4)
+    assert sorted(r.n for r in sampling.smallest_rows(rows, "key", 30).collect()) == [f"n{i:03}" for i in range(30)]
+
+
 def test_unknown_mode(spark):
     with pytest.raises(ValueError, match="mode must be"):
         sampling.sample(spark.range(3), 1, "id", "middle")
