@@ -93,6 +93,47 @@ GEO_RANGES = [
     ("longitude", "cast(n_nationkey as double) * -0.5e0"),
 ]
 
+# JSON records: fields of several types, empty objects, and objects ten levels down.
+DEEP = ".".join(["d"] + ["a"] * 9 + ["x"])
+RECORDS = [
+    ("event_id", "event_id"),
+    ("k", "<k>"),
+    (
+        "varied",
+        """CASE event_id % 3 WHEN 0 THEN concat('"text ', cast(event_id % 50 as string), '"') WHEN 1 THEN '2.5'
+            ELSE 'null' END""",
+    ),
+    ("deep", "CASE WHEN event_id % 4 = 0 THEN '' ELSE event_type END"),
+]
+
+
+def record_text(k, varied, deep):
+    """The JSON of a record, as an expression over the columns of ``RECORDS``."""
+    opened, closed = '{"a":' * 9 + '{"x":"', '"}' + "}" * 9
+    return (
+        f"""concat('{{"k":', cast({k} as string), ',"v":', {varied}, ',"e":{{}},"d":{opened}', {deep}, '{closed}}}')"""
+    )
+
+
+# All in one /16 block, two thirds of them inside a range; some map IPv4 addresses.
+V6_ADDRESSES = [
+    (
+        "ip",
+        f"""CASE WHEN user_id % 5 = 0 THEN concat('::ffff:', {ADDRESS})
+            ELSE concat('2a02:', cast(1000 + user_id % 8000 as string), '::', cast(1 + event_id % 9 as string)) END""",
+    ),
+]
+
+V6_RANGES = [
+    ("ip_from", "concat('2a02', cast(1000 + n_nationkey * 300 as string), repeat('0', 24))"),
+    ("ip_to", "concat('2a02', cast(1199 + n_nationkey * 300 as string), repeat('f', 24))"),
+    ("country", "n_name"),
+    ("region", "cast(NULL as string)"),
+    ("city", "concat('City ', cast(n_nationkey as string))"),
+    ("latitude", "cast(n_nationkey as double)"),
+    ("longitude", "cast(n_nationkey as double) * -1e0"),
+]
+
 SHOP_DOMAINS = ("www.shop.com.au", "www.shop.com", "www.shop.de")
 
 PART_TARGETS = [
@@ -245,6 +286,14 @@ def geo_ranges(spark, sf_dir):
     return joined.selectExpr(*expressions(GEO_RANGES, "spark"))
 
 
+def v6_addresses(spark, sf_dir):
+    return table(spark, sf_dir, "events").selectExpr(*expressions(V6_ADDRESSES, "spark")).distinct()
+
+
+def v6_ranges(spark, sf_dir):
+    return table(spark, sf_dir, "nation").selectExpr(*expressions(V6_RANGES, "spark"))
+
+
 def part_targets(spark, sf_dir):
     return table(spark, sf_dir, "part").selectExpr(*expressions(PART_TARGETS, "spark"))
 
@@ -286,6 +335,9 @@ def _select(columns, source, where=None):
 
 CTES = {
     "event_records": _select(EVENT_RECORDS, "events"),
+    "v6_addresses": "SELECT DISTINCT * FROM (" + _select(V6_ADDRESSES, "events") + ")",
+    "records": _select(RECORDS, "events"),
+    "v6_ranges": _select(V6_RANGES, "nation"),
     "geo_ranges": _select(GEO_RANGES, "nation JOIN region ON n_regionkey = r_regionkey"),
     "part_targets": _select(PART_TARGETS, "part"),
     "page_snapshot": " UNION ALL ".join(

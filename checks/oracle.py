@@ -2,7 +2,7 @@
 
 import re
 
-from checks.derive import CTES, EVENT_RECORDS, SHOP_DOMAINS
+from checks.derive import CTES, DEEP, EVENT_RECORDS, SHOP_DOMAINS
 from checks.queries import IP_LIMIT, PRODUCT_LIMIT, RECORD_LIMIT, SAMPLE_SEED, SAMPLE_SIZE
 from clickmart.schemas import EVENTS
 
@@ -110,6 +110,15 @@ _located("target_located", "target_ips")
 TEXTS["event_addresses"] = f"""SELECT event_id, address, {v4('address')} AS v4, {v6('address')} AS v6
     FROM (SELECT event_id, {norm('ip')} AS address FROM event_records)"""
 
+TEXTS["v6_numbers"] = f"""SELECT ip, {v4("replace(ip, '::ffff:', '')")} AS v4, {v6('ip')} AS v6
+    FROM v6_addresses"""
+
+TEXTS["cells"] = f"""SELECT 'k' AS field_name, 'integer' AS kind, cast(k as varchar) AS text FROM records
+    UNION ALL SELECT 'v', CASE event_id % 3 WHEN 0 THEN 'string' WHEN 1 THEN 'float' ELSE 'null' END,
+        CASE WHEN event_id % 3 < 2 THEN replace(varied, '"', '') END FROM records
+    UNION ALL SELECT '{DEEP}', 'string', deep FROM records"""
+TEXTS["kinds"] = "SELECT field_name, kind, count(*) AS n FROM cells GROUP BY field_name, kind"
+
 DOMAIN_LIST = ", ".join(f"('{domain}', {place})" for place, domain in enumerate(SHOP_DOMAINS))
 TEXTS["domains"] = f"SELECT * FROM (VALUES {DOMAIN_LIST}) AS d(domain, place)"
 TEXTS["choices"] = """
@@ -218,7 +227,8 @@ NESTED = [
 RECORD_FIELDS = [
     ("event_id", "integer"), ("user_id", "integer"), ("collection", "string"), ("event_type", "string"),
     ("product_id", "string"), ("viewing_product_id", "string"), ("current_url", "string"),
-    ("referrer_url", "string"), ("time_stamp", "integer"), ("ip", "string"),
+    ("referrer_url", "string"), ("productid", "string"), ("url", "string"), ("event_time", "string"),
+    ("time_stamp", "integer"), ("ip", "string"),
 ]
 HASH = f"cast(('0x' || substr(md5(concat(cast(event_id as varchar), ':{SAMPLE_SEED}')), 1, 15)) as bigint)"
 HOST = "lower(regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)', 1))"
@@ -272,6 +282,11 @@ QUERIES = {
         count(*) FILTER (product_id IN (SELECT product_id FROM target_ids)) AS product_event_matched_count
         FROM candidates_clean WHERE ip <> ''""",
     "ip_locations": "SELECT * FROM located",
+    "ip_locations_v6": """SELECT ip, coalesce(g.country, r.country) AS country, coalesce(nullif(g.region, '-'), r.region) AS region,
+            coalesce(g.city, r.city) AS city, coalesce(g.latitude, r.latitude) AS latitude,
+            coalesce(g.longitude, r.longitude) AS longitude, 'ok' AS status
+        FROM v6_numbers LEFT JOIN geo_ranges g ON v4 BETWEEN g.ip_from AND g.ip_to
+            LEFT JOIN v6_ranges r ON v4 IS NULL AND v6 BETWEEN r.ip_from AND r.ip_to""",
     "ip_status_unconfigured": """SELECT ip, CASE WHEN status = 'ok' THEN 'lookup_not_configured' ELSE status END
         AS status FROM located""",
     "location_counts": """SELECT concat_ws(' | ', country, coalesce(region, ''), coalesce(city, '')) AS location,
@@ -366,11 +381,15 @@ QUERIES = {
     + " FROM event_records",
     "field_types": _types(NESTED),
     "data_dictionary": _dictionary(RECORD_FIELDS),
-    "data_dictionary_variant": """SELECT 'k' AS field_name, 'integer' AS data_type, 'integer' AS observed_types,
-        count(*) AS non_null_count, 0.0::double AS null_pct, min(v) AS example,
-        (SELECT array_to_string(list(v ORDER BY v), ' | ') FROM (SELECT DISTINCT json_extract_string(props, '$.k')
-            AS v FROM events ORDER BY v LIMIT 3)) AS sample_values
-        FROM (SELECT json_extract_string(props, '$.k') AS v FROM events)""",
+    "data_dictionary_variant": """SELECT field_name, (SELECT t.kind FROM kinds t WHERE t.field_name = c.field_name
+            ORDER BY t.n DESC, t.kind LIMIT 1) AS data_type,
+        (SELECT string_agg(t.kind, ',' ORDER BY t.kind) FROM kinds t WHERE t.field_name = c.field_name) AS observed_types,
+        count(*) FILTER (kind <> 'null' AND trim(text) <> '') AS non_null_count,
+        round(((SELECT count(*) FROM records) - count(*) FILTER (kind <> 'null' AND trim(text) <> '')) * 100.0::double
+            / (SELECT count(*) FROM records), 2) AS null_pct,
+        coalesce(min(text) FILTER (trim(text) <> ''), '') AS example,
+        coalesce(array_to_string(list_slice(list_sort(list_distinct(list(text) FILTER (trim(text) <> ''))), 1, 3), ' | '), '')
+            AS sample_values FROM cells c GROUP BY field_name""",
 }
 QUERIES["targets_limited"] = f"""SELECT {TARGET_COLUMNS} FROM (SELECT *, cast(row_number() OVER
     (PARTITION BY product_id ORDER BY event_count DESC, last_seen_at DESC NULLS LAST, candidate_url,

@@ -235,6 +235,14 @@ def ip_locations(spark, sf_dir):
     return _locations(spark, sf_dir)
 
 
+@query
+def ip_locations_v6(spark, sf_dir):
+    """IPv6 addresses of one block, and IPv4 addresses mapped into IPv6."""
+    found = D.v6_addresses(spark, sf_dir)
+    located = ips.locate(found, D.geo_ranges(spark, sf_dir), D.v6_ranges(spark, sf_dir), stamp=False)
+    return located.drop("processed_at", "error_message")
+
+
 @query
 def ip_status_unconfigured(spark, sf_dir):
     found = ips.distinct_normalized_ips(D.event_records(spark, sf_dir), "event_id")
@@ -481,6 +489,7 @@ def data_dictionary(spark, sf_dir):
 
 @query
 def data_dictionary_variant(spark, sf_dir):
-    """The property objects of the raw events, whose fields are not declared."""
-    raw = D.table(spark, sf_dir, "events").select(F.try_parse_json("props").alias("record"))
-    return dictionary.profile_variants(raw, "record")
+    """Objects made of the raw events, whose fields are not declared."""
+    raw = D.table(spark, sf_dir, "events").selectExpr(*D.expressions(D.RECORDS, "spark"))
+    text = F.expr(D.record_text("k", "varied", "deep"))
+    return dictionary.profile_variants(raw.select(F.parse_json(text).alias("record")), "record")

@@ -139,15 +139,18 @@ def with_address(df, column):
     ).drop("_line")
 
 
+def mapped_v4(v6):
+    """The IPv4 number that 32 hex digits map, null for other addresses."""
+    return F.when(F.left(v6, F.lit(24)) == V4_MAPPED, F.conv(F.substring(v6, 25, 8), 16, 10).try_cast("bigint"))
+
+
 def with_validity(df, column, allow_private=False, name="valid"):
     """``with_address`` and whether the address is well-formed and reachable from everywhere."""
     known = with_address(df, column)
     v4, v6 = F.col("v4"), F.col("v6")
     if allow_private:
         return known.withColumn(name, v4.isNotNull() | v6.isNotNull())
-    mapped = F.when(
-        F.left(v6, F.lit(24)) == V4_MAPPED, F.conv(F.substring(v6, 25, 8), 16, 10).try_cast("bigint")
-    )
+    mapped = mapped_v4(v6)
     valid = F.expr(
         f"CASE WHEN v4 IS NOT NULL THEN {is_global_v4('v4')} WHEN _mapped IS NOT NULL THEN "
         f"{is_global_v4('_mapped')} WHEN v6 IS NOT NULL THEN {is_global_v6('v6')} ELSE false END"

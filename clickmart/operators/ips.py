@@ -6,7 +6,7 @@ from clickmart.functions import ip as I
 from clickmart.operators.crawl_log import filled_counts, status_counts  # noqa: F401
 from clickmart.operators.events import candidates, flagged_candidates, product_events, with_ip
 from clickmart.operators.pages import OK, utc_now
-from clickmart.operators.ranges import attach_v4_ranges, attach_v6_ranges
+from clickmart.operators.ranges import attach_ranges
 from clickmart.operators.ranking import best_per_group, first_rows
 from clickmart.operators.sampling import smallest_rows
 from clickmart.schemas import IP_LOCATIONS
@@ -93,35 +93,28 @@ def ip_record_count(events, ip_field="ip"):
     return with_ip(events, ip_field).agg(F.count(F.lit(1)).alias("ip_record_count"))
 
 
-# Parts of an address block when its addresses are not distinct.
-REPEATED_SALTS = 32
-
-
-def locate(ips, ranges=None, v6_ranges=None, allow_private=False, stamp=True, distinct=True):
-    """Location and status of each address in column ``ip``.
-
-    ``distinct`` says that each address comes once, as the scan discovery gives them. Stored values
-    may repeat an address in many spellings; then address blocks are split by the stored value.
+def locate(ips, ranges=None, v6_ranges=None, allow_private=False, stamp=True):
+    """Location and status of each address in column ``ip``, which may repeat in many spellings.
 
     ``ranges`` has BIGINT ``ip_from`` and ``ip_to`` (inclusive) with country, region, city, latitude
     and longitude; ``v6_ranges`` the same with both ends as 32 hex digits. A valid address outside
-    every range is ``ok`` with empty fields. Without ranges a valid address is not looked up.
+    every range is ``ok`` with empty fields. An IPv6 address that maps an IPv4 one is looked up as
+    either. Without ranges a valid address is not looked up.
     """
     checked = I.with_validity(ips.select("ip"), "ip", allow_private).select(
         F.coalesce("address", F.lit("")).alias("ip"),
         "valid",
-        F.when(F.col("valid"), F.col("v4")).alias("number"),
+        F.when(F.col("valid"), F.coalesce(F.col("v4"), I.mapped_v4(F.col("v6")))).alias("number"),
         F.when(F.col("valid"), F.col("v6")).alias("digits"),
-        F.pmod(F.xxhash64("ip"), F.lit(REPEATED_SALTS)).alias("salt"),
     )
-    split = {} if distinct else {"salt": F.col("salt"), "salts": REPEATED_SALTS}
     configured = ranges is not None or v6_ranges is not None
     fields = ["country", "region", "city", "latitude", "longitude"]
     located = checked
     if ranges is not None:
-        located = attach_v4_ranges(located, ranges.select("ip_from", "ip_to", *fields), F.col("number"), "v4", **split)
+        ends = [F.col(end).cast("bigint").alias(end) for end in ("ip_from", "ip_to")]
+        located = attach_ranges(located, ranges.select(*ends, *fields), F.col("number"), "v4")
     if v6_ranges is not None:
-        located = attach_v6_ranges(located, v6_ranges.select("ip_from", "ip_to", *fields), F.col("digits"), "v6", **split)
+        located = attach_ranges(located, v6_ranges.select("ip_from", "ip_to", *fields), F.col("digits"), "v6")
 
     sources = [name for name in ("v4", "v6") if name in located.columns]
 

@@ -3,89 +3,41 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from clickmart.session import stored
 
-# Blocks that points without a number are spread over.
-_SPREAD = 65536
 
+def attach_ranges(points, ranges, position, name="range"):
+    """Adds to each point the range that ``position`` falls into, as a struct, or null.
 
-def _salted(block, salt, salts, columns):
-    """The block of a point with its salt; a block of its own kind for points without a number."""
-    spread = -1 - F.pmod(F.xxhash64(*columns), F.lit(_SPREAD))
-    return F.coalesce(block * salts + salt, spread)
+    ``ranges`` has ``ip_from`` and ``ip_to`` (inclusive) of the type of ``position``: BIGINT numbers of IPv4, or 32 hex
+    digits of IPv6. Ranges must not overlap. Points without a position come back with null.
 
-
-def _pieces(ranges, name, first, last, start_of, salts):
-    """Each range cut at block borders and repeated for each salt."""
+    Points and range starts are sorted together by range over all tasks and stored in that order. Inside a task each
+    point takes the last range that started; where none has, it takes the last of the tasks before, which is one row per
+    task. No range is repeated, and addresses that lie close together or repeat are cut over many tasks like any others.
+    """
     fields = [field for field in ranges.columns if field not in ("ip_from", "ip_to")]
-    cut = ranges.select(
-        "ip_from",
-        F.struct(F.col("ip_to").alias("_to"), F.struct(*fields).alias(name)).alias("_range"),
-        F.explode(F.sequence(first, last)).alias("_cut"),
-    )
-    repeated = cut.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return repeated.select(
-        (F.col("_cut") * salts + F.col("_salt")).alias("_block"),
-        F.greatest("ip_from", start_of(F.col("_cut"))).alias("_at"),
+    starts = ranges.select(
+        F.col("ip_from").alias("_at"),
         F.lit(0).alias("_kind"),
-        "_range",
-    )
-
-
-def attach_v4_ranges(points, ranges, number, name="range", salt=None, salts=1):
-    """Adds to each point the range its IPv4 number falls into, as a struct, or null.
-
-    Points and range starts are sorted together inside each /16 block, and each point takes the last
-    range that started. Ranges that cross a block border are cut there. With distinct addresses a
-    block has at most 65,536 points and as many range pieces, so no task can get more, however the
-    addresses are spread. Where addresses repeat, ``salt`` (0 to ``salts`` - 1) splits each block and
-    the ranges are repeated for each part. Ranges must not overlap. Points without a number are
-    spread over blocks of their own and come back with null.
-    """
-    salt = F.lit(0) if salt is None else salt
-    block = _salted(F.shiftright(number, 16), salt, salts, points.columns)
-    low, high = F.col("ip_from").cast("bigint"), F.col("ip_to").cast("bigint")
-    pieces = _pieces(
-        ranges, name, F.shiftright(low, 16), F.shiftright(high, 16), lambda cut: F.shiftleft(cut, 16), salts
-    )
-    return _last_started(points, block, number, pieces, name)
-
-
-def attach_v6_ranges(points, ranges, digits, name="range", salt=None, salts=16):
-    """The same for IPv6, where addresses and range ends are 32 hex digits.
-
-    A /16 block may hold any number of IPv6 addresses, so it is always split: by ``salt``, or by a
-    hash of the address.
-    """
-
-    def block_of(text):
-        return F.conv(F.left(text, F.lit(4)), 16, 10).cast("bigint")
-
-    salt = F.pmod(F.xxhash64(digits), F.lit(salts)) if salt is None else salt
-    block = _salted(block_of(digits), salt, salts, points.columns)
-    pieces = _pieces(
-        ranges,
-        name,
-        block_of(F.col("ip_from")),
-        block_of(F.col("ip_to")),
-        lambda cut: F.rpad(F.lpad(F.lower(F.hex(cut)), 4, "0"), 32, "0"),
-        salts,
+        F.lit(0).cast("bigint").alias("_spread"),
+        F.struct(F.col("ip_to").alias("_to"), F.struct(*fields).alias(name)).alias("_range"),
     )
-    return _last_started(points, block, digits, pieces, name)
-
-
-def _last_started(points, block, position, pieces, name):
+    # The spread cuts equal points, and those without a position, over tasks.
+    spread = F.xxhash64(*points.columns)
     placed = points.select(
-        block.alias("_block"),
-        position.alias("_at"),
-        F.lit(1).alias("_kind"),
-        F.struct(*points.columns).alias("_point"),
-    )
-    both = placed.unionByName(pieces, allowMissingColumns=True)
-    running = (
-        Window.partitionBy("_block")
-        .orderBy("_at", "_kind")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        position.alias("_at"), F.lit(1).alias("_kind"), spread.alias("_spread"), F.struct(*points.columns).alias("_point")
     )
-    found = both.withColumn("_last", F.last("_range", ignorenulls=True).over(running)).filter("_kind = 1")
-    covered = F.col("_at") <= F.col("_last._to")
-    return found.select("_point.*", F.when(covered, F.col(f"_last.{name}")).alias(name))
+    both = placed.unionByName(starts, allowMissingColumns=True).orderBy("_at", "_kind", "_spread")
+    rows = stored(both.withColumn("_line", F.monotonically_increasing_id()), "placed")
+    rows = rows.withColumn("_part", F.shiftright("_line", 33))
+
+    last = F.max_by("_range", F.when(F.col("_kind") == 0, F.col("_line"))).alias("_carried")
+    ends = rows.groupBy("_part").agg(last)
+    # One row per sort task on both sides of this window and of the broadcast.
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select("_part", F.last("_carried", ignorenulls=True).over(before).alias("_carried"))
+    here = Window.partitionBy("_part").orderBy("_line").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = rows.withColumn("_last", F.last("_range", ignorenulls=True).over(here)).filter("_kind = 1")
+    found = found.join(F.broadcast(carried), "_part").withColumn("_last", F.coalesce("_last", "_carried"))
+    return found.select("_point.*", F.when(F.col("_at") <= F.col("_last._to"), F.col(f"_last.{name}")).alias(name))

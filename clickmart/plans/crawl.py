@@ -2,6 +2,7 @@
 
 import time
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from clickmart.metrics import counted, rows_of
@@ -15,8 +16,13 @@ from clickmart.sources.writers import finish_summary, write_csv, write_jsonl
 
 
 def _exists(spark, path):
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    try:
+        read_jsonl_tolerant(spark, path, PRODUCT_INFO)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
 
 
 def read_log(spark, path):
@@ -45,10 +51,12 @@ def run(
     strategy=None,
     page_order=None,
     summary_path=None,
+    counts_path=None,
 ):
     """Resolves the targets, adds them to the log at ``output_path`` and returns the run summary.
 
-    With ``resume`` targets that have a row in the log are left out and the new rows are appended.
+    With ``resume`` targets that have a row in the log are left out and the new rows are appended. Stores may be many
+    (any other host is one), so their counts, like those per status, are tables below ``counts_path``.
     """
     spark = prepare_session(targets.sparkSession)
     started = time.monotonic()
@@ -76,6 +84,10 @@ def run(
         failed_count = rows_of(written)["rows"]
     else:
         failed_count = failed.count()
+    if counts_path:
+        rows = log_ops.logged(log)
+        write_jsonl(log_ops.status_counts(rows), f"{counts_path}/status_counts")
+        write_jsonl(log_ops.country_store_counts(rows), f"{counts_path}/country_store_counts")
     summary = {
         "stage": "crawl_products",
         "resume": resume,
@@ -86,10 +98,6 @@ def run(
         "checkpoint_invalid_line_count": before["invalid_line_count"],
         "processed_this_run_count": totals["processed_count"] - before["row_count"],
         "failed_target_count": failed_count,
-        # One row per status and per configured store: both lists are short by nature.
-        "status_counts": {row["status"]: row["rows"] for row in log_ops.status_counts(log_ops.logged(log)).collect()},
-        "country_store_counts": {
-            row["country_store"]: row["rows"] for row in log_ops.country_store_counts(log_ops.logged(log)).collect()
-        },
+        "counts": counts_path,
     }
     return finish_summary(spark, summary, started, summary_path)

@@ -28,9 +28,9 @@ def run(
 ):
     """Both outputs from one input.
 
-    Each write reads only the columns it needs. The warehouse write leaves the payloads on disk, which
-    costs less than keeping the wide rows of a large crawl between the two. ``on_event(name, counts)``
-    is told when the job starts, after each output, and when it is done.
+    The warehouse rows say whether there is a payload, so each write reads the payloads once; keeping the wide rows of a
+    large crawl between the two would cost more than the second read. ``on_event(name, counts)`` is told when the job
+    starts, after each output, and when it is done.
     """
     writer_for(warehouse_fmt, "product export")
     tell = on_event or (lambda name, counts: None)

@@ -108,11 +108,12 @@ def test_crawl_job_resumes(spark, tmp_path):
     first = job.run(targets, pages, stores, out, failed, limit=2, resume=True, summary_path=str(tmp_path / "sum"))
     assert (first["target_count"], first["processed_this_run_count"], first["ok_count"]) == (2, 2, 1)
     assert (first["failed_target_count"], first["skipped_checkpoint_count"], first["remaining_count"]) == (1, 0, 0)
-    assert first["success_rate_target_percent"] == 50.0 and first["country_store_counts"] == {"com": 1}
-    second = job.run(targets, pages, stores, out, failed, resume=True)
+    assert first["success_rate_target_percent"] == 50.0 and first["counts"] is None
+    second = job.run(targets, pages, stores, out, failed, resume=True, counts_path=str(tmp_path / "counts"))
     assert (second["target_count"], second["pending_target_count"], second["skipped_checkpoint_count"]) == (3, 1, 2)
     assert (second["processed_this_run_count"], second["processed_count"], second["checkpoint_row_count"]) == (1, 3, 2)
-    assert second["status_counts"] == {"ok": 2, "not_found_in_configured_stores": 1}
+    counts = {r["status"]: r["rows"] for r in spark.read.json(f"{second['counts']}/status_counts").collect()}
+    assert counts == {"ok": 2, "not_found_in_configured_stores": 1}
     report = spark.read.option("header", True).csv(failed)
     assert report.columns == FAILED_TARGET_FIELDS and [r.product_id for r in report.collect()] == ["2"]
     fresh = job.run(targets, pages, stores, out)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from clickmart.functions import ip as I
 from clickmart.operators import ips
+from clickmart.operators.ranges import attach_ranges
 from clickmart.plans import locations as job
 
 
@@ -146,13 +147,32 @@ def test_range_lookup_equals_brute_force(spark):
 
 
 def test_address_in_very_many_spellings(spark):
-    """One address is most of the rows; its block is split and every row keeps its range."""
+    """One address is most of the rows; they are cut over tasks and every row keeps its range."""
     rows = spark.range(4000).select(F.concat(F.lit("8.8.8.8, 10.0.0."), "id").alias("ip"))
     ranges = spark.createDataFrame([(number("8.0.0.0"), number("8.255.255.255"), "A", None, None, None, None)], GEO)
-    found = ips.locate(rows, ranges, distinct=False)
+    found = ips.locate(rows, ranges)
     assert [tuple(r) for r in found.groupBy("ip", "country").count().collect()] == [("8.8.8.8", "A", 4000)]
 
 
+def test_one_block_spans_several_tasks(spark):
+    """Addresses of one /16 block are sorted over tasks that hold no range start of their own."""
+    merge = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merge, "false")
+    points = spark.range(3000).select((F.lit(8 << 24) + F.col("id")).alias("n")).repartition(4)
+    ranges = spark.createDataFrame([(8 << 24, (8 << 24) + 2000, "A")], "ip_from BIGINT, ip_to BIGINT, country STRING")
+    found = attach_ranges(points, ranges, F.col("n"))
+    counts = {r.c: r["count"] for r in found.groupBy(F.col("range.country").alias("c")).count().collect()}
+    assert counts == {"A": 2001, None: 999}
+    assert counts == {r.c: r["count"] for r in found.groupBy(F.col("range.country").alias("c")).count().collect()}
+    spark.conf.unset(merge)
+
+
+def test_mapped_addresses_are_located(spark):
+    ranges = spark.createDataFrame([(number("8.0.0.0"), number("8.255.255.255"), "A", None, None, None, None)], GEO)
+    found = ips.locate(texts(spark, ["::ffff:8.8.8.8", "::ffff:10.0.0.1"]), ranges).collect()
+    assert {(r.ip, r.status, r.country) for r in found} == {("::ffff:8.8.8.8", "ok", "A"), ("::ffff:10.0.0.1", "invalid_ip", None)}
+
+
 def test_v6_ranges_equal_brute_force(spark):
     generator = random.Random(11)
     base = 0x2A02 << 112
