@@ -115,3 +115,28 @@ FROM runs
 
 
 ORACLE["op2_licence_scan"] = _licence_sql()
+
+ORACLE["op3_jaccard_join"] = r"""
+WITH RECURSIVE texts AS (
+  SELECT row_number() OVER () AS row_id, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT row_id, array_to_string(list_slice(words, place, place + 4), ' ') AS shingle
+  FROM (SELECT row_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS place FROM texts WHERE len(words) > 0)
+), sizes AS (
+  SELECT row_id, count(*) AS n FROM shingles GROUP BY row_id
+), links AS (
+  SELECT x, y FROM (
+    SELECT a.row_id AS x, b.row_id AS y, count(*) AS shared
+    FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.row_id <> b.row_id GROUP BY ALL)
+  JOIN sizes m ON m.row_id = x JOIN sizes k ON k.row_id = y WHERE 100 * shared >= 80 * (m.n + k.n - shared)
+), reach AS (
+  SELECT row_id, row_id AS other FROM texts
+  UNION SELECT reach.row_id, links.y FROM reach JOIN links ON links.x = reach.other
+), least AS (
+  SELECT reach.row_id, min(texts.doc_id) AS component_id FROM reach JOIN texts ON texts.row_id = reach.other GROUP BY ALL
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM texts LEFT JOIN sizes USING (row_id) JOIN least USING (row_id)
+"""
