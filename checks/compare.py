@@ -6,6 +6,7 @@
 import glob
 import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -27,6 +28,7 @@ def main(sf_dir="/root/testdata/sf0.01", *names):
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="clickmart-compare-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -173,8 +173,6 @@ def resolve_products(targets, pages, stores, strategy=None, stamp=True, page_ord
     the attempt list itself. A URL that many targets share is a skewed key of that join, which the
     adaptive skew join splits; per product there are never more rows than entries in the list.
     """
-    best = F.min(F.struct(F.coalesce("candidate_url", F.lit("")), "candidate_url")).alias("best")
-    targets = targets.groupBy("product_id").agg(best).select("product_id", "best.candidate_url")
     planned = target_attempts(targets, stores, strategy)
     met = _exploded(planned).join(page_features(pages, page_order), "url")
     same, hit_no, final_url = F.col("same"), F.col("hit_no"), F.col("final_url")
@@ -199,17 +197,23 @@ def resolve_products(targets, pages, stores, strategy=None, stamp=True, page_ord
         F.coalesce("title", F.lit("")).alias("title"), F.coalesce(F.to_json("payload"), F.lit("")).alias("payload"),
     )
     copies = met.select(
-        "product_id", "attempt_no", place.alias("place"), step.alias("step"), hit_no.alias("hit_no"),
+        "product_id", "candidate_url", "attempt_no", place.alias("place"), step.alias("step"), hit_no.alias("hit_no"),
         F.when(hit_no.isNotNull(), page).alias("page"),
-    ).groupBy("product_id", "attempt_no").agg(
+    ).groupBy("product_id", "candidate_url", "attempt_no").agg(
         F.min_by("step", "place").alias("step"), F.min("hit_no").alias("hit_no"), F.min_by("page", "place").alias("page")
     )
-    seen = copies.groupBy("product_id").agg(
+    seen = copies.groupBy("product_id", F.col("candidate_url").alias("tried_url")).agg(
         F.min("hit_no").alias("hit_no"),
         F.min_by("page", "hit_no").alias("page"),
         F.map_from_entries(F.collect_list(F.struct("attempt_no", "step"))).alias("steps"),
     )
-    outcome = planned.withColumnRenamed("attempts", "plan").join(seen, "product_id", "left")
+    first = F.min(F.struct(F.coalesce("candidate_url", F.lit("")), "candidate_url", "attempts")).alias("first")
+    planned = planned.groupBy("product_id").agg(first).select("product_id", "first.candidate_url", "first.attempts")
+    outcome = planned.withColumnRenamed("attempts", "plan").join(
+        seen.withColumnRenamed("product_id", "tried_id"),
+        (F.col("product_id") == F.col("tried_id")) & (F.col("candidate_url") == F.col("tried_url")),
+        "left",
+    )
     tried = F.slice("plan", 1, F.coalesce("hit_no", F.size("plan")))
 
     def outcome_of(attempt, place):

@@ -8,6 +8,8 @@ import pytest
 
 import __spark_entry__ as entry_point
 from checks.compare import rows_of
+from checks.oracle import ORACLE
+from checks.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -20,10 +22,11 @@ def duck(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_point.queries()) and set(ORACLE) <= set(entry_point.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, sf_dir, name):
     found = entry_point.queries()[name](spark, sf_dir)
     wanted = duck.sql(entry_point.oracle_sql()[name])
