@@ -107,6 +107,8 @@ def _located(source, found):
 
 _located("located", "distinct_ips")
 _located("target_located", "target_ips")
+TEXTS["raw_ips"] = "SELECT DISTINCT ip FROM event_records WHERE ip <> ''"
+_located("raw_located", "raw_ips")
 TEXTS["event_addresses"] = f"""SELECT event_id, address, {v4('address')} AS v4, {v6('address')} AS v6
     FROM (SELECT event_id, {norm('ip')} AS address FROM event_records)"""
 
@@ -249,6 +251,15 @@ QUERIES = {
     "targets_best": f"SELECT {TARGET_COLUMNS} FROM ranked_raw WHERE url_rank = 1",
     "targets_best_clean": f"SELECT {TARGET_COLUMNS} FROM ranked_clean WHERE url_rank = 1",
     "targets_all": f"SELECT {TARGET_COLUMNS} FROM ranked_raw",
+    "targets_kept": f"SELECT {TARGET_COLUMNS} FROM ranked_raw WHERE url_rank IN (2, 3)",
+    "targets_in_order": """SELECT product_id, url_rank, candidate_url,
+        row_number() OVER (ORDER BY product_id, url_rank) AS place FROM ranked_raw""",
+    "targets_job_summary": """SELECT 'extract_product_targets' AS stage, 'raw' AS aggregation_mode,
+        (SELECT count(*) FROM product_events) AS scanned_records,
+        cast(sum(event_count) as bigint) AS candidate_records, count(*) AS grouped_url_count,
+        count(DISTINCT product_id) AS target_rows, count(DISTINCT product_id) AS unique_products FROM groups_raw""",
+    "table_replaced_then_extended": """SELECT product_id, candidate_url FROM part_targets
+        UNION ALL SELECT concat('+', product_id), candidate_url FROM part_targets""",
     "targets_all_clean": f"SELECT {TARGET_COLUMNS} FROM ranked_clean",
     "target_stats": """SELECT count(*) AS grouped_url_count, cast(sum(event_count) as bigint) AS candidate_records,
         count(*) FILTER (url_rank = 1) AS target_rows, count(DISTINCT product_id) AS unique_products
@@ -287,6 +298,7 @@ QUERIES = {
             coalesce(g.longitude, r.longitude) AS longitude, 'ok' AS status
         FROM v6_numbers LEFT JOIN geo_ranges g ON v4 BETWEEN g.ip_from AND g.ip_to
             LEFT JOIN v6_ranges r ON v4 IS NULL AND v6 BETWEEN r.ip_from AND r.ip_to""",
+    "ip_locations_aggregate": "SELECT * FROM raw_located",
     "ip_status_unconfigured": """SELECT ip, CASE WHEN status = 'ok' THEN 'lookup_not_configured' ELSE status END
         AS status FROM located""",
     "location_counts": """SELECT concat_ws(' | ', country, coalesce(region, ''), coalesce(city, '')) AS location,
@@ -301,6 +313,9 @@ QUERIES = {
         FROM located l LEFT JOIN target_located t ON l.ip = t.ip WHERE l.ip <> ''""",
     "ip_upsert_stream": "SELECT * FROM located WHERE ip <> ''",
     "url_attempts": "SELECT * FROM tries",
+    "url_attempts_own": """SELECT product_id, candidate_url, cast(1 as integer) AS attempt_no,
+        concat('https://', split_part(candidate_url, '/', 3), '/id/', product_id) AS url, 'own' AS strategy
+        FROM part_targets""",
     "store_from_url": f"""SELECT url, {HOST} AS host,
         nullif(regexp_replace({HOST}, '^(?:www[.])?shop[.]', ''), '') AS store
         FROM (SELECT url FROM page_snapshot UNION ALL SELECT url FROM pages)""",
@@ -343,6 +358,17 @@ QUERIES = {
     "status_counts": "SELECT status, count(*) AS rows FROM crawl_log GROUP BY status",
     "country_store_counts": """SELECT country_store, count(*) AS rows FROM crawl_log WHERE country_store <> ''
         GROUP BY country_store""",
+    "crawl_summary_resumed": """SELECT t.n AS target_count, t.n - t.done AS pending_target_count,
+        t.done AS skipped_checkpoint_count, t.missing AS remaining_count, l.n AS processed_count,
+        l.ok AS ok_count, l.active AS active_count,
+        round(l.ok * 100.0::double / l.n, 2) AS success_rate_processed_percent,
+        round(l.ok * 100.0::double / t.n, 2) AS success_rate_target_percent
+        FROM (SELECT count(*) AS n, count(*) FILTER (product_id IN
+                (SELECT requested_product_id FROM crawl_log WHERE status = 'ok')) AS done,
+                count(*) FILTER (product_id NOT IN (SELECT requested_product_id FROM crawl_log)) AS missing
+              FROM crawl_targets) t,
+            (SELECT count(*) AS n, count(*) FILTER (status = 'ok') AS ok, count(*) FILTER (active) AS active
+             FROM crawl_log) l""",
     "crawl_summary": """SELECT t.n AS target_count, t.n AS pending_target_count,
         cast(0 as bigint) AS skipped_checkpoint_count, t.missing AS remaining_count, l.n AS processed_count,
         l.ok AS ok_count, l.active AS active_count,
@@ -371,6 +397,8 @@ QUERIES = {
         cast(NULL as string) AS category_name, cast(NULL as string) AS currency,
         cast(NULL as string) AS store_code, active, scraped_at, status, failure_reason, error_message,
         coalesce(react_data <> '{}', false) AS react_data_available FROM crawl_log""",
+    "warehouse_columns_own": """SELECT requested_product_id, upper(status) AS state, sku IS NULL AS no_sku
+        FROM crawl_log""",
     "payload_archive": """SELECT requested_product_id, coalesce(product_id, requested_product_id) AS product_id,
         scraped_at, status, json_extract_string(react_data, '$.product_id') AS payload_product_id,
         json_extract_string(react_data, '$.name') AS payload_name,

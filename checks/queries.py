@@ -1,5 +1,6 @@
 """One query per operator, over the whole derived tables."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,6 +11,7 @@ from clickmart.functions.text import clean_text
 from clickmart.functions.urls import Stores, country_store, url_host
 from clickmart.operators import crawl_log, dictionary, events, export, ips, pages, sampling, targets
 from clickmart.plans import export as export_job
+from clickmart.plans import targets as targets_job
 from clickmart.schemas import EVENTS, TARGETS
 from clickmart.session import prepare_session, scratch_path
 from clickmart.sources import readers, writers
@@ -100,6 +102,45 @@ def targets_all(spark, sf_dir):
     return targets.extract_targets(D.event_records(spark, sf_dir), include_all=True)
 
 
+@query
+def targets_kept(spark, sf_dir):
+    """An own condition on ranks: the second and third URL of each product."""
+    groups = events.grouped_events(D.event_records(spark, sf_dir))
+    return targets.ranked_targets(groups, keep=F.col("url_rank").between(2, 3))
+
+
+@query
+def targets_in_order(spark, sf_dir):
+    """The file that the job writes, with the place of each row in it."""
+    path = scratch_path(spark, "targets-job")
+    targets_job.run(D.event_records(spark, sf_dir), path, fmt="jsonl", include_all=True, summary_path=f"{path}-summary")
+    rows = readers.with_file_order(readers.read_jsonl(spark, path, TARGETS), "seq")
+    place = F.row_number().over(Window.orderBy("seq")).cast("bigint")
+    return rows.select("product_id", "url_rank", "candidate_url", place.alias("place"))
+
+
+@query
+def targets_job_summary(spark, sf_dir):
+    """The summary file of the job, read back."""
+    path = scratch_path(spark, "targets-job")
+    targets_job.run(D.event_records(spark, sf_dir), path, summary_path=f"{path}-summary")
+    counts = ["scanned_records", "candidate_records", "grouped_url_count", "target_rows", "unique_products"]
+    return spark.read.json(f"{path}-summary").select("stage", "aggregation_mode", *counts)
+
+
+@query
+def table_replaced_then_extended(spark, sf_dir):
+    """A table written twice, then extended: the first rows are gone."""
+    rows = D.part_targets(spark, sf_dir)
+    folder = scratch_path(spark, "tables")
+    name = f"clickmart_targets_{folder.rsplit('-', 1)[-1]}"
+    spark.sql(f"CREATE TABLE {name} (product_id STRING, candidate_url STRING) USING parquet LOCATION '{folder}'")
+    writers.write_table(rows.select(F.lit("old").alias("product_id"), "candidate_url"), name, keep=True)
+    writers.write_table(rows, name)
+    writers.write_table(rows.select(F.concat(F.lit("+"), "product_id").alias("product_id"), "candidate_url"), name, keep=True)
+    return spark.table(name)
+
+
 @query
 def targets_all_clean(spark, sf_dir):
     return targets.extract_targets(D.event_records(spark, sf_dir), "clean", include_all=True)
@@ -243,6 +284,13 @@ def ip_locations_v6(spark, sf_dir):
     return located.drop("processed_at", "error_message")
 
 
+@query
+def ip_locations_aggregate(spark, sf_dir):
+    """Distinct stored values, located one by one: an address in several spellings has several rows."""
+    found = ips.distinct_ips(D.event_records(spark, sf_dir), discovery_mode="aggregate")
+    return ips.locate(found, D.geo_ranges(spark, sf_dir), stamp=False).drop("processed_at", "error_message")
+
+
 @query
 def ip_status_unconfigured(spark, sf_dir):
     found = ips.distinct_normalized_ips(D.event_records(spark, sf_dir), "event_id")
@@ -295,6 +343,18 @@ def url_attempts(spark, sf_dir):
     return pages.exploded_attempts(D.part_targets(spark, sf_dir), STORES)
 
 
+def _catalog_only(product_id, source_url, host, stores):
+    return F.array(
+        F.struct(F.concat(F.lit("https://"), host, F.lit("/id/"), product_id).alias("url"), F.lit("own").alias("strategy"))
+    )
+
+
+@query
+def url_attempts_own(spark, sf_dir):
+    """Attempts of a strategy that the caller brings."""
+    return pages.exploded_attempts(D.part_targets(spark, sf_dir), STORES, _catalog_only)
+
+
 @query
 def store_from_url(spark, sf_dir):
     snapshot = D.page_snapshot(spark, sf_dir).select("url")
@@ -394,6 +454,14 @@ def crawl_summary(spark, sf_dir):
     return crawl_log.crawl_totals(D.crawl_log(spark, sf_dir), D.crawl_targets(spark, sf_dir))
 
 
+@query
+def crawl_summary_resumed(spark, sf_dir):
+    """The same when the products of finished orders were done before this run."""
+    log = D.crawl_log(spark, sf_dir)
+    before = log.filter("status = 'ok'").select(F.col("requested_product_id").alias("product_id"))
+    return crawl_log.crawl_totals(log, D.crawl_targets(spark, sf_dir), before)
+
+
 @query
 def failed_targets(spark, sf_dir):
     return crawl_log.failed_targets(D.crawl_log(spark, sf_dir), D.crawl_targets(spark, sf_dir))
@@ -441,6 +509,13 @@ def warehouse_products(spark, sf_dir):
     return found.drop("category", "price")
 
 
+@query
+def warehouse_columns_own(spark, sf_dir):
+    """A projection that the caller brings."""
+    columns = ["requested_product_id", F.upper("status").alias("state"), F.col("sku").isNull().alias("no_sku")]
+    return export.warehouse_products(D.crawl_log(spark, sf_dir), columns)
+
+
 @query
 def payload_archive(spark, sf_dir):
     payload = F.col("react_data")
