@@ -45,15 +45,58 @@ def running_rank(df, group, order, name):
     return ranked.select(*df.columns, rank.cast("bigint").alias(name))
 
 
+_SPLITTERS = 32
+_SORTED_AT_ONCE = 100_000
+
+
 def first_rows(df, n, order):
-    """Exactly the first ``n`` rows in a total order, without passing them through one task."""
+    """Exactly the first ``n`` rows in the order of columns, without sorting or storing the input.
+
+    A few sampled keys cut the rows into ranges (each key is a range of its own); counting the ranges shows in which one
+    the n-th row lies, and that range is cut again until few rows are left to sort. Rows in the ranges before it are a
+    filter on the input. Of rows that are equal in ``order`` any are taken.
+    """
     if not n:
         return df
+    key = F.struct(*order)
+    fields = df.select(*order).schema
+    found, rest, left = None, df, n
+    while True:
+        sample = rest.select(key.alias("key")).orderBy(F.xxhash64("key")).limit(_SPLITTERS).distinct().orderBy("key")
+        splitters = [
+            F.struct(*[F.lit(value).cast(field.dataType).alias(field.name) for value, field in zip(row["key"], fields)])
+            for row in sample.collect()
+        ]
+        if not splitters:
+            return df
+        # 2i is the range below splitter i, 2i + 1 the splitter itself
+        place = F.lit(0)
+        for splitter in splitters:
+            place = place + (splitter <= key).cast("int") + (splitter < key).cast("int")
+        counts = sorted(tuple(row) for row in rest.groupBy(place.alias("place")).count().collect())
+        if found is None and sum(count for _, count in counts) <= n:
+            return df
+        for at, count in counts:
+            if count >= left:
+                break
+            left -= count
+        below = rest.filter(place < at)
+        found = below if found is None else found.unionAll(below)
+        rest = rest.filter(place == at)
+        if count == left:
+            return found.unionAll(rest)
+        if at % 2:
+            return found.unionAll(_any_rows(rest, left))
+        if count <= _SORTED_AT_ONCE:
+            return found.unionAll(rest.orderBy(*order).limit(left))
+
+
+def _any_rows(df, n):
+    """Any ``n`` rows, numbered where they are stored instead of passed through one task."""
     at = "_at"
-    rows = stored(df.orderBy(*order).withColumn(at, F.monotonically_increasing_id()), "sorted")
-    rows = rows.withColumn("_part", F.shiftright(at, 33))
+    rows = stored(df.withColumn(at, F.monotonically_increasing_id()), "ties").withColumn("_part", F.shiftright(at, 33))
     sizes = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
-    # One row per sort task on both sides of this window and of the broadcast.
+    # One row per task on both sides of this window and of the broadcast.
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
     place = F.col("_offset") + F.col(at).bitwiseAND(F.lit((1 << 33) - 1))

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from clickmart.operators import sampling
+from clickmart.operators import ranking, sampling
 from clickmart.plans import sampling as job
 
 
@@ -55,3 +55,17 @@ def test_job_replaces_or_adds(spark):
     assert spark.table("sampled").count() == 10
     job.run(rows, "sampled", "key", size=5, mode="first", keep_target=True)
     assert spark.table("sampled").count() == 15
+
+
+def test_first_rows_at_every_cut(spark, monkeypatch):
+    """Null keys first, one key for most rows, and ranges that are cut again and again."""
+    monkeypatch.setattr(ranking, "_SPLITTERS", 4)
+    monkeypatch.setattr(ranking, "_SORTED_AT_ONCE", 5)
+    rows = [(None, 1), (None, 2)] + [("hot", n) for n in range(200)] + [(f"k{n % 90:03}", n) for n in range(300)]
+    table = spark.createDataFrame(rows, "key STRING, n BIGINT").repartition(3)
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or "", r[1]))
+    for n in (1, 2, 3, 150, 202, 203, 377, 501, 502, 900):
+        found = sorted(((r.key, r.n) for r in ranking.first_rows(table, n, ["key", "n"]).collect()), key=order.index)
+        assert found == order[:n]
+    assert [r.key for r in ranking.first_rows(table, 50, ["key"]).filter("key = 'hot'").collect()] == ["hot"] * 48
+    assert ranking.first_rows(table.limit(0), 3, ["key"]).count() == 0
