@@ -4,10 +4,12 @@
    rare ones first; any order is right, this one keeps passages that many documents share out of the prefixes.
 2. Two sets with a Jaccard similarity of s share one of the first n - ceil(s n) + 1 shingles of each. Batches send those
    prefixes to the owners of the shingles; sets that share a shingle form a tile. Equal tiles are kept once.
-3. Neighbours by size inside each tile are verified, which joins groups of near copies without looking at all their pairs.
+3. In each tile the node that most tiles share is verified against the others, and neighbours by size against each other
+   where that left them apart. This joins groups of near copies without looking at all their pairs.
 4. Tiles that still hold several components are cut into size bands (a link spans at most two) and, where large, into
    blocks. Bitmaps of hashed shingles bound the overlap of a pair from above; pairs of different components that pass
-   are verified by intersecting the sorted sets. No link between components is lost.
+   are verified by intersecting the sorted sets: first the most promising partner of each node, and when these are joined
+   every pair that is left. No link between components is lost.
 """
 
 import numpy as np
@@ -156,7 +158,11 @@ def _prefixes(batches, text, id_column, size, share, parts):
 
 
 def _tiles(table: pa.Table) -> pa.Table:
-    """Tiles of one owner: ``tile, node, n, before``; ``before`` is the next smaller node where it may be linked."""
+    """Tiles of one owner: ``tile, node, n, before, hub``, the last two where they may be linked with the node.
+
+    ``before`` is the next smaller node, ``hub`` that of the tile's nodes which is in most of the owner's tiles: among copies
+    with changes of their own it is the one with the fewest.
+    """
     keys, nodes, sizes = [], [], []
     for data, values in zip(table.column("keys").to_pylist(), table.column("counts").to_pylist(), strict=True):
         owners, node, size = X.arrays_of(values, np.uint32, np.uint64, np.uint32)
@@ -182,12 +188,22 @@ def _tiles(table: pa.Table) -> pa.Table:
     first = np.isin(rows, starts)
     before = np.where(first, 0, rows - 1)
     linked = ~first & (sizes[before].astype(np.int64) * 100 >= SHARE * sizes[rows].astype(np.int64))
+    # places by tile, then by how many tiles the node is in
+    _, number, times = np.unique(nodes[rows], return_inverse=True, return_counts=True)
+    begin = np.flatnonzero(first)
+    length = np.diff(begin, append=len(rows))
+    which = np.repeat(np.arange(len(begin)), length)
+    order = np.lexsort((times[number], which))
+    hub = rows[order[np.repeat(begin + length - 1, length)]]
+    small, large = (f(sizes[hub], sizes[rows]).astype(np.int64) for f in (np.minimum, np.maximum))
+    around = (hub != rows) & (100 * small >= SHARE * large)
     return pa.table(
         {
             "tile": tile.view(np.int64),
             "node": nodes[rows].view(np.int64),
             "n": sizes[rows].astype(np.int64),
             "before": pa.array(nodes[before].view(np.int64), mask=~linked),
+            "hub": pa.array(nodes[hub].view(np.int64), mask=~around),
         }
     )
 
@@ -282,8 +298,17 @@ def _verified(pairs, batches, one_of_each, text, size, share):
     return stored(sides.repartition("a", "b").sortWithinPartitions("a", "b").mapInArrow(check, "a long, b long"), "verified")
 
 
-def _between(tiles, one_of_each, groups, share, block):
-    """Pairs of different components inside tiles whose bitmaps leave a link possible.
+def _apart(pairs, groups):
+    """The pairs ``a, b`` whose components differ."""
+    for side in "ab":
+        known = groups.select(F.col("node").alias(f"node_{side}"), F.col("component").alias(f"component_{side}"))
+        pairs = pairs.join(known, F.col(side) == F.col(f"node_{side}"), "left")
+    component = {side: F.coalesce(f"component_{side}", side) for side in "ab"}
+    return pairs.where(component["a"] != component["b"]).select("a", "b")
+
+
+def _between(tiles, one_of_each, groups, share, block, best):
+    """Pairs of different components inside tiles whose bitmaps leave a link possible; with ``best`` one per node and tile.
 
     A tile is cut by size bands: each band meets itself and the band below. Its own nodes are cut into blocks of
     ``block``, each of which meets the whole band and the one below in one task, row by row.
@@ -320,17 +345,17 @@ def _between(tiles, one_of_each, groups, share, block):
             edges = [0, *change]
             for start, end in zip(edges, edges[1:], strict=False):
                 if end - start > 1:
-                    yield _compared(table.slice(start, end - start), share)
+                    yield _compared(table.slice(start, end - start), share, best)
             held = table.slice(edges[-1])
         if held is not None and len(held) > 1:
-            yield _compared(held, share)
+            yield _compared(held, share, best)
 
     dealt = rows.repartition("tile", "band", "block").sortWithinPartitions("tile", "band", "block")
     return dealt.mapInArrow(compare, "a long, b long").distinct()
 
 
-def _compared(tile, share):
-    """Candidate pairs of one block of a tile."""
+def _compared(tile, share, best):
+    """Candidate pairs of one block of a tile; with ``best`` only that with the highest bound for each query."""
     node, n, component = (tile.column(c).to_numpy() for c in ("node", "n", "component"))
     query = tile.column("query").to_numpy(zero_copy_only=False)
     found_a, found_b = [node[:0]], [node[:0]]
@@ -340,11 +365,12 @@ def _compared(tile, share):
         bits = np.concatenate([_folded(x.reshape(1, -1), width) for x in each])
         for at in np.flatnonzero(query):
             other = np.flatnonzero((component != component[at]) & (100 * np.minimum(n, n[at]) >= share * np.maximum(n, n[at])))
-            # each pair once: the query is the larger, or has the larger node
-            other = other[(n[other] < n[at]) | ((n[other] == n[at]) & (node[other] < node[at]))]
+            if not best:
+                # each pair once: the query is the larger, or has the larger node
+                other = other[(n[other] < n[at]) | ((n[other] == n[at]) & (node[other] < node[at]))]
             if len(other):
-                need = -(-share * (n[other] + n[at]) // (100 + share))
-                fits = other[overlap_bounds(bits[at], n[at], bits[other], n[other]) >= need]
+                room = overlap_bounds(bits[at], n[at], bits[other], n[other]) - -(-share * (n[other] + n[at]) // (100 + share))
+                fits = other[[room.argmax()]] if best and room.max() >= 0 else other[room >= 0]
                 found_a.append(np.full(len(fits), node[at]))
                 found_b.append(node[fits])
     a, b = np.concatenate(found_a), np.concatenate(found_b)
@@ -368,17 +394,30 @@ def _joined(docs, text, id_column, size, share, block):
     nodes = prefixes.where("kind = 1").select("batch", "counts").mapInArrow(unpack, schema)
     tiles = (
         prefixes.where("kind = 0").select("part", "keys", "counts")
-        .groupBy("part").applyInArrow(_tiles, "tile long, node long, n long, before long")
+        .groupBy("part").applyInArrow(_tiles, "tile long, node long, n long, before long, hub long")
     )
     tiles = stored(tiles, "tiles")
-    near = tiles.where("before is not null").select(F.least("before", "node").alias("a"), F.greatest("before", "node").alias("b"))
     one_of_each = _one_of_each(nodes)
-    links = _verified(near.distinct(), batches, one_of_each, text, size, share)
+
+    def with_node(name):
+        near = tiles.where(F.col(name).isNotNull())
+        return near.select(F.least(name, "node").alias("a"), F.greatest(name, "node").alias("b")).distinct()
+
+    def verified(pairs):
+        return _verified(pairs, batches, one_of_each, text, size, share)
+
+    links = verified(with_node("hub"))
     groups = stored(components(links), "groups")
-    tiles = tiles.select("tile", "node", "n").distinct()
-    more = _verified(_between(tiles, one_of_each, groups, share, block), batches, one_of_each, text, size, share)
-    if not more.isEmpty():
-        groups = components(links.unionAll(more))
+    members = tiles.select("tile", "node", "n").distinct()
+    for find in (
+        lambda: _apart(with_node("before"), groups),
+        lambda: _between(members, one_of_each, groups, share, block, best=True),
+        lambda: _between(members, one_of_each, groups, share, block, best=False),
+    ):
+        more = verified(find())
+        if not more.isEmpty():
+            links = links.unionAll(more)
+            groups = stored(components(links), "groups")
     rows = nodes.drop("bits").join(groups, "node", "left")
     return batches, rows.withColumn("group", F.coalesce("component", "node")).drop("component", "node")
 
