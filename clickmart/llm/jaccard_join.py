@@ -1,6 +1,6 @@
 """N-gram Jaccard self-join: all links of at least 80 % between sets of 5-word shingles, and their components.
 
-1. Documents with the same set are one node. A fixed-size table of bucket counts gives a global order of all shingles,
+1. Documents with the same set are one node. A table of bucket counts, of bounded size, gives a global order of all shingles,
    rare ones first; any order is right, this one keeps passages that many documents share out of the prefixes.
 2. Two sets with a Jaccard similarity of s share one of the first n - ceil(s n) + 1 shingles of each. Batches send those
    prefixes to the owners of the shingles; sets that share a shingle form a tile. Equal tiles are kept once.
@@ -25,7 +25,9 @@ from clickmart.session import stored
 
 SHINGLE = 5
 SHARE = 80  # of 100
-SKETCH_BITS = 20
+BATCH_BYTES = 4 << 20
+SKETCH_BITS = 16, 24  # at least and at most
+SKETCH_LOAD = 24  # words for a bucket
 SLICES = 16
 MARK_BITS = 24
 BAND = float(np.log(100 / SHARE))
@@ -80,30 +82,39 @@ def overlap_bounds(left, n, right, m):
     return np.minimum(n - only_left, m - only_right)
 
 
-def _levels(batches, text, size):
-    """How frequent the shingles of each of 2^SKETCH_BITS buckets are, as powers of two: one byte per bucket."""
-    width = 1 << SKETCH_BITS
-    shift = np.uint64(64 - SKETCH_BITS)
+def _sketch_bits(words):
+    """Bits of the bucket table for so many words: a fixed load up to the largest table, of 2^24 bytes."""
+    return min(max(SKETCH_BITS[0], int(np.ceil(np.log2(max(1, words) / SKETCH_LOAD)))), SKETCH_BITS[1])
+
+
+def _levels(batches, text, size, bits):
+    """How frequent the shingles of each of 2^bits buckets are, as half powers of two: one byte per bucket."""
+    width = 1 << bits
+    shift = np.uint64(64 - bits)
 
     def count(rows):
-        words, runs, totals = WordHashes(), RunHashes(), np.zeros(width, np.int64)
+        words, runs, totals = WordHashes(), RunHashes(), np.zeros(width, np.uint32)
         for record in rows:
             for data in record.column("rows"):
                 found = [*_sets(X.bytes_table(data.as_py()), text, words, runs, size)]
-                totals += np.bincount((np.concatenate(found) >> shift).astype(np.int64), minlength=width)
+                bucket, times = np.unique(np.concatenate(found) >> shift, return_counts=True)
+                totals[bucket.astype(np.int64)] += times.astype(np.uint32)
         slices = totals.reshape(SLICES, -1)
         yield pa.RecordBatch.from_pydict({"slice": list(range(SLICES)), "counts": [X.packed(part) for part in slices]})
 
     def add(table: pa.Table) -> pa.Table:
-        total = sum(X.unpacked(data, np.int64) for data in table.column("counts").to_pylist())
-        return pa.table({"slice": table.column("slice")[:1], "counts": pa.array([X.packed(total)], pa.binary())})
+        total = np.zeros(width // SLICES, np.int64)
+        for data in table.column("counts").to_pylist():
+            total += X.unpacked(data, np.uint32)
+        levels = np.ceil(2 * np.log2(total + 1)).astype(np.uint8)
+        return pa.table({"slice": table.column("slice")[:1], "counts": pa.array([X.packed(levels)], pa.binary())})
 
     schema = "slice long, counts binary"
     found = batches.mapInArrow(count, schema).groupBy("slice").applyInArrow(add, schema).collect()
-    totals = np.zeros((SLICES, width // SLICES), np.int64)
+    levels = np.zeros((SLICES, width // SLICES), np.uint8)
     for row in found:
-        totals[row["slice"]] = X.unpacked(bytes(row["counts"]), np.int64)
-    return np.ceil(np.log2(totals.reshape(-1) + 1)).astype(np.uint8)
+        levels[row["slice"]] = X.unpacked(bytes(row["counts"]), np.uint8)
+    return levels.reshape(-1)
 
 
 _NODES = pa.schema(
@@ -111,13 +122,13 @@ _NODES = pa.schema(
 )
 
 
-def _prefixes(batches, text, id_column, size, share, parts):
+def _prefixes(batches, text, id_column, size, share, parts, bits):
     """Stored rows: requests of each batch (kind 0), and its documents with node, size and bitmap (kind 1)."""
-    shared = batches.sparkSession.sparkContext.broadcast(_levels(batches, text, size))
-    shift = np.uint64(64 - SKETCH_BITS)
+    shared = batches.sparkSession.sparkContext.broadcast(_levels(batches, text, size, bits))
+    shift = np.uint64(64 - bits)
 
     def send(rows):
-        words, runs, levels = WordHashes(), RunHashes(), shared.value.astype(np.uint64)
+        words, runs, levels = WordHashes(), RunHashes(), shared.value
 
         def sent():
             for record in rows:
@@ -134,7 +145,8 @@ def _prefixes(batches, text, id_column, size, share, parts):
                         if not new:
                             continue
                         seen.add(node)
-                        order = np.argsort(levels[found >> shift] << np.uint64(58) | found >> np.uint64(6), kind="stable")
+                        level = levels[(found >> shift).astype(np.int64)].astype(np.uint64)
+                        order = np.argsort(level << np.uint64(57) | found >> np.uint64(7), kind="stable")
                         first = found[order[: prefix_size(len(found), share)]]
                         keys.append(first)
                         owners.append(np.full(len(first), len(nodes), np.uint32))
@@ -379,9 +391,12 @@ def _compared(tile, share, best):
 
 def _joined(docs, text, id_column, size, share, block):
     """(batches, documents): all rows in batches; ``batch, place, doc_id, n, group`` with a null group for empty sets."""
-    batches = stored(X.document_batches(docs, text), "documents")
-    parts = X.parts_for(batches.count(), X.BATCH_WORDS // 4, least=int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    prefixes = _prefixes(batches, text, id_column, size, share, parts)
+    batches = stored(X.document_batches(docs, text, BATCH_BYTES), "documents")
+    words = batches.count() * BATCH_BYTES // 6
+    # a prefix has about a fifth of the shingles
+    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = X.parts_for(1, words // 4, least)
+    prefixes = _prefixes(batches, text, id_column, size, share, parts, _sketch_bits(words))
 
     def unpack(records):
         for record in records:
