@@ -157,12 +157,16 @@ def _prefixes(batches, text, id_column, size, share, parts, bits):
                     if keys:
                         keys, owners = np.concatenate(keys), np.concatenate(owners)
                         order = np.argsort(keys, kind="stable")
-                        ends = b"".join(
-                            len(d).to_bytes(4, "little") + d
-                            for d in (X.packed(np.array(nodes, np.uint64)), X.packed(np.array(sizes, np.uint32)))
-                        )
-                        for row in X.requests(batch, 0, keys[order], parts, [owners[order]]):
-                            yield *row[:4], row[4] + ends
+                        keys, owners = keys[order], owners[order]
+                        edges = X.cuts(keys, parts)
+                        nodes, sizes = np.array(nodes, np.uint64), np.array(sizes, np.uint32)
+                        for part in np.flatnonzero(np.diff(edges)).tolist():
+                            mine = slice(edges[part], edges[part + 1])
+                            # only the nodes of this range go along
+                            used, places = np.unique(owners[mine], return_inverse=True)
+                            arrays = places.astype(np.uint32), nodes[used], sizes[used]
+                            counts = b"".join(len(d).to_bytes(4, "little") + d for d in map(X.packed, arrays))
+                            yield 0, part, batch, X.packed_sorted(keys[mine]), counts
 
         yield from X.ask(sent())
 
@@ -325,19 +329,27 @@ def _between(tiles, one_of_each, groups, share, block, best):
     A tile is cut by size bands: each band meets itself and the band below. Its own nodes are cut into blocks of
     ``block``, each of which meets the whole band and the one below in one task, row by row.
     """
-    known = tiles.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    band = F.floor(F.log(F.col("n").cast("double")) / BAND + 1e-9).cast("int")
+    known = tiles.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node")).withColumn("band", band)
     open_tiles = (
-        known.groupBy("tile").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"))
-        .where("low <> high").select("tile", "size")
-    )
+        known.groupBy("tile")
+        .agg(
+            F.min("component").alias("low"),
+            F.max("component").alias("high"),
+            F.count("*").alias("size"),
+            F.collect_set("band").alias("bands"),  # there are only as many as powers of 5/4
+        )
+        .where("low <> high")
+        .select("tile", "size", "bands")
+    )
     rows = known.join(open_tiles, "tile").join(one_of_each.select("node", "bits"), "node")
-    band = F.floor(F.log(F.col("n").cast("double")) / BAND + 1e-9).cast("int")
+    band = F.col("band")
     blocks = F.ceil(F.col("size") / block).cast("int")
     mine = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    # every block of its own band and of the band above; in its own block of its own band it is a query
+    # every block of its own band, and of the band above if the tile has any there; in its own block it is a query
     places = F.flatten(
         F.transform(
-            F.sequence(F.lit(0), F.lit(1)),
+            F.when(F.array_contains("bands", band + 1), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))),
             lambda up: F.transform(
                 F.sequence(F.lit(0), blocks - 1),
                 lambda at: F.struct((band + up).alias("band"), at.alias("block"), ((up == 0) & (at == mine)).alias("query")),
@@ -394,8 +406,7 @@ def _joined(docs, text, id_column, size, share, block):
     batches = stored(X.document_batches(docs, text, BATCH_BYTES), "documents")
     words = batches.count() * BATCH_BYTES // 6
     # a prefix has about a fifth of the shingles
-    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = X.parts_for(1, words // 4, least)
+    parts = X.parts_for(1, words // 4, least=4)
     prefixes = _prefixes(batches, text, id_column, size, share, parts, _sketch_bits(words))
 
     def unpack(records):
