@@ -14,6 +14,7 @@ from clickmart.session import stored
 LIMIT = 2048
 GROUP = 20_000
 NEAR_FULL = 4
+MOST_ROUNDS = 256  # numbered below the sequences of whole pieces
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _TABLE = pa.schema(
     [("row", pa.int64()), ("length", pa.int64()), ("bin", pa.int64()), ("offset", pa.int64()), ("open", pa.bool_())]
@@ -124,9 +125,20 @@ def improve(bins, lengths, limit, effort=64):
 
 
 def _pack_group(table, limit, near_full):
+    """Sequences of a group. Pieces that come in sequences (``old``) keep them unless best fit needs fewer, and where
+    they need as many as before all are closed: another round would repeat the work."""
     lengths = table.column("length").to_numpy()
     row = table.column("row").to_numpy()
     bins = improve(best_fit(lengths, limit), lengths, limit)
+    kept = {}
+    for place, old in enumerate(table.column("old").to_pylist()):
+        if old is not None:
+            kept.setdefault(old, []).append(place)
+    if kept:
+        before = len(kept)
+        bins = min(improve(list(kept.values()), lengths, limit), bins, key=len)
+        if len(bins) >= before:
+            near_full = limit
     rows = []
     for number, members in enumerate(bins):
         offset, size = 0, sum(int(lengths[p]) for p in members)
@@ -141,19 +153,20 @@ def pack(found, limit=LIMIT, group=GROUP, near_full=NEAR_FULL):
 
     Pieces of exactly ``limit`` ids are sequences of their own. The others are dealt at random into groups of about
     ``group`` pieces, each packed in one task by best fit and local search. What lies in sequences that are more than
-    ``near_full`` ids short goes on to the next round, with as many fewer groups, until one group is left. Repeated
-    rows are packed as separate pieces; an empty table gives an empty one.
+    ``near_full`` ids short goes on to the next round, dealt sequence by sequence into as many fewer groups, until one
+    group is left. A group that a round gave no fewer sequences is done, so pieces of which no two fit together end after
+    two rounds. Repeated rows are packed as separate pieces; an empty table gives an empty one.
     """
     numbered = stored(found.withColumn("row", F.monotonically_increasing_id()), "pieces")
     whole = numbered.where(F.col("length") == limit).select(
         "row", (F.col("row") + F.lit(1 << 62)).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
     )
-    left = numbered.where(F.col("length") < limit).select("row", "length")
+    left = numbered.where(F.col("length") < limit).select("row", "length", F.lit(None).cast("long").alias("old"))
     rounds, places = 0, whole
     count = left.count()
     while count:
         groups = -(-count // group)
-        dealt = left.withColumn("group", F.pmod(F.xxhash64("row", F.lit(rounds)), F.lit(groups)).cast("int"))
+        dealt = left.withColumn("group", F.pmod(F.xxhash64(F.coalesce("old", "row"), F.lit(rounds)), F.lit(groups)).cast("int"))
         key = (F.lit(rounds << 54) + F.col("group").cast("long") * (1 << 24)).alias("key")
 
         def packed(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
@@ -161,11 +174,12 @@ def pack(found, limit=LIMIT, group=GROUP, near_full=NEAR_FULL):
             return done.append_column("key", pa.array([key[0].as_py()] * len(done), pa.int64()))
 
         schema = "row long, length long, bin long, offset long, open boolean, key long"
-        done = stored(dealt.select("row", "length", key).groupBy("key").applyInArrow(packed, schema), "packed")
-        last = groups == 1
+        done = stored(dealt.select("row", "length", "old", key).groupBy("key").applyInArrow(packed, schema), "packed")
+        last = groups == 1 or rounds == MOST_ROUNDS - 1
         closed = done if last else done.where(~F.col("open"))
-        places = places.unionByName(closed.select("row", (F.col("key") + F.col("bin")).alias("sequence_id"), "offset"))
-        left = done.where(F.col("open")).select("row", "length")
+        sequence = F.col("key") + F.col("bin")
+        places = places.unionByName(closed.select("row", sequence.alias("sequence_id"), "offset"))
+        left = done.where(F.col("open")).select("row", "length", sequence.alias("old"))
         count = 0 if last else left.count()
         rounds += 1
     return numbered.join(places, "row").drop("row")

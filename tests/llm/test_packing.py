@@ -90,3 +90,24 @@ def test_best_fit_takes_the_fullest_bin_with_room():
 def test_empty_table(spark, no_documents):
     tokenizer = shared_tokenizer(spark, tokenizer_path("word_bpe_49k.json"), keeps_blanks=False)
     assert packing.pack(packing.pieces(no_documents, tokenizer)).count() == 0
+
+
+def test_pieces_that_never_fit_together_end(spark, monkeypatch):
+    # several groups of pieces longer than half a sequence: no round can save any
+    draw = random.Random(7)
+    made = [(n, 0, 0, draw.randint(1025, 2040), 0) for n in range(300)]
+    done = []
+    keep = packing.stored
+    monkeypatch.setattr(packing, "stored", lambda frame, name: done.append(name) or keep(frame, name))
+    monkeypatch.setattr(packing, "MOST_ROUNDS", 6)
+    rows = packing.pack(spark.createDataFrame(made, packing._PIECES), group=40).collect()
+    assert done.count("packed") == 2
+    assert sorted(r.doc_id for r in rows) == list(range(300)) and len(packed_right(rows, 2048)) == 300
+
+
+def test_sequences_of_many_groups_are_filled_by_later_rounds(spark):
+    draw = random.Random(8)
+    made = [(n, 0, 0, draw.randint(300, 1500), 0) for n in range(400)]
+    rows = packing.pack(spark.createDataFrame(made, packing._PIECES), group=40).collect()
+    lengths = np.array([length for *_, length, _ in made])
+    assert len(rows) == 400 and len(packed_right(rows, 2048)) <= len(packing.best_fit(lengths, 2048)) + 10
