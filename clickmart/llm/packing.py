@@ -1,5 +1,6 @@
 """Best-fit packing of documents into sequences, improved by swaps between underfull sequences."""
 
+import heapq
 import zlib
 
 import numpy as np
@@ -71,57 +72,111 @@ def best_fit(lengths, limit):
     return bins
 
 
-def _gains(give, take, room):
-    """The largest ``sum(give part) - sum(take part)`` of at most ``room``, as (gain, given places, taken places).
+class _Takes:
+    """What underfull bins can give back for a piece: nothing, one piece or two, by what then fits.
 
-    ``give`` and ``take`` are lists of (length, place). Tried: move one; one for one; two for one; one for two.
+    Taking ``a`` ids from a bin with room r makes space for r + a. ``least[pairs][space]`` is the smallest such ``a`` over
+    all bins, with pairs of pieces or without; what belongs to a bin that has changed since is dropped from the heaps.
     """
-    best = (0, (), ())
-    ones = [((), 0)] + [((i,), length) for i, (length, _) in enumerate(take)]
-    twos = [((i, j), take[i][0] + take[j][0]) for i in range(len(take)) for j in range(i)]
-    pairs = [((i, j), give[i][0] + give[j][0]) for i in range(len(give)) for j in range(i)]
-    single = [((i,), length) for i, (length, _) in enumerate(give)]
-    for given, taken in ((single, ones + twos), (pairs, ones[1:])):
-        taken = sorted(taken, key=lambda x: x[1])
-        sizes = np.array([size for _, size in taken])
-        for chosen, size in given:
-            # the smallest exchange that still fits gives the most
-            at = int(np.searchsorted(sizes, size - room))
-            if at < len(taken) and size - taken[at][1] > best[0]:
-                best = (size - taken[at][1], chosen, taken[at][0])
-    return best
-
-
-def improve(bins, lengths, limit, effort=64):
-    """Local search: moves and swaps from emptier into fuller underfull bins while the squared fill grows.
-
-    Each step fills one bin further from one that is emptier, so the sum of squared fills rises and the search ends.
-    Stops when the bins are as few as the total length allows. Of many underfull bins only the ``effort`` emptiest are
-    worked on at a time; those above keep what they have.
+
+    def __init__(self, limit):
+        self.limit, self.versions = limit, {}
+        self.heaps = [[[] for _ in range(limit + 1)] for _ in range(2)]
+        self.least = np.full((2, limit + 1), 2 * limit)
+        self.spaces = {}
+
+    def add(self, number, sizes, room):
+        version = self.versions.get(number, 0)
+        found = {}
+        for pairs, takes in enumerate(([(), *((x,) for x in sorted(set(sizes)))], _pairs(sizes))):
+            for take in takes:
+                size = sum(take)
+                found.setdefault((pairs, size + room), (size, version, number, take))
+        for (pairs, space), entry in found.items():
+            heapq.heappush(self.heaps[pairs][space], entry)
+            self._refresh(pairs, space)
+        self.spaces[number] = list(found)
+
+    def drop(self, number):
+        self.versions[number] = self.versions.get(number, 0) + 1
+        for pairs, space in self.spaces.pop(number, ()):
+            self._refresh(pairs, space)
+
+    def _refresh(self, pairs, space):
+        heap = self.heaps[pairs][space]
+        while heap and self.versions.get(heap[0][2], 0) != heap[0][1]:
+            heapq.heappop(heap)
+        self.least[pairs, space] = heap[0][0] if heap else 2 * self.limit
+
+    def best(self, gives, room, pairs):
+        """The exchange of one of ``gives`` that raises the sum of squared fills most, as (rise, give, taken, bin)."""
+        sizes = np.array([sum(give) for give in gives])
+        least = self.least[:1].min(0) if not pairs else self.least.min(0)
+        steps = np.arange(room)
+        rise = (sizes[:, None] - least[sizes[:, None] + steps]) * (room - steps)
+        give, step = divmod(int(rise.argmax()), room)
+        if rise[give, step] <= 0:
+            return 0, (), (), -1
+        space = int(sizes[give]) + step
+        _, _, number, take = min(heap[space][0] for heap in self.heaps[: 2 if pairs else 1] if heap[space])
+        return int(rise[give, step]), gives[give], take, number
+
+
+def _pairs(sizes):
+    """The distinct pairs of pieces among ``sizes``."""
+    kinds = sorted(set(sizes))
+    twice = [(x, x) for x in kinds if sizes.count(x) > 1]
+    return [(x, y) for n, x in enumerate(kinds) for y in kinds[n + 1 :]] + twice
+
+
+def improve(bins, lengths, limit):
+    """Local search: moves and swaps among all underfull bins while the sum of squared fills grows.
+
+    Each bin, emptiest first, makes the best exchange with any other: move one or two pieces, one for one, two for one,
+    one for two. It gives more than it takes, and the other gets fuller than the giver was, so the sum rises and the
+    search ends: when the bins are as few as the total length allows, or when no bin has an exchange left.
     """
     lengths = [int(x) for x in lengths]
     least = -(-sum(lengths) // limit)
-    fill = [sum(lengths[p] for p in b) for b in bins]
-    moved = True
-    while moved and sum(1 for b in bins if b) > least:
+    bins = [b for b in bins if b]
+    if len(bins) <= least:
+        return bins
+    sizes = [[lengths[p] for p in b] for b in bins]
+    room = [limit - sum(x) for x in sizes]
+    takes = _Takes(limit)
+    for number, own in enumerate(sizes):
+        if room[number]:
+            takes.add(number, own, room[number])
+    count, moved = len(bins), True
+    while moved and count > least:
         moved = False
-        under = sorted((n for n, b in enumerate(bins) if b and fill[n] < limit), key=lambda n: fill[n])[:effort]
-        for low_at, low in enumerate(under):
-            for high in reversed(under[low_at + 1 :]):
-                while bins[low] and fill[high] < limit and fill[high] >= fill[low]:
-                    give, take = bins[low], bins[high]
-                    gain, given, taken = _gains(
-                        [(lengths[p], p) for p in give], [(lengths[p], p) for p in take], limit - fill[high]
-                    )
-                    if not gain:
-                        break
-                    to_high, to_low = [give[i] for i in given], [take[i] for i in taken]
-                    bins[low] = [p for i, p in enumerate(give) if i not in given] + to_low
-                    bins[high] = [p for i, p in enumerate(take) if i not in taken] + to_high
-                    fill[low] -= gain
-                    fill[high] += gain
+        for low in sorted((n for n, own in enumerate(sizes) if own and room[n]), key=lambda n: -room[n]):
+            while sizes[low] and room[low] and count > least:
+                takes.drop(low)
+                gives = _pairs(sizes[low])
+                rise, give, take, high = max(
+                    takes.best([(x,) for x in sorted(set(sizes[low]))], room[low], True),
+                    takes.best(gives, room[low], False) if gives else (0, (), (), -1),
+                )
+                if rise:
+                    takes.drop(high)
+                    for out, into, parts in ((low, high, give), (high, low, take)):
+                        for part in parts:
+                            sizes[out].remove(part)
+                            sizes[into].append(part)
+                    room[high] -= sum(give) - sum(take)
+                    room[low] += sum(give) - sum(take)
+                    takes.add(high, sizes[high], room[high])
+                    count -= not sizes[low]
                     moved = True
-    return [b for b in bins if b]
+                if sizes[low]:
+                    takes.add(low, sizes[low], room[low])
+                if not rise:
+                    break
+    places = {}
+    for place in (p for b in bins for p in b):
+        places.setdefault(lengths[place], []).append(place)
+    return [[places[size].pop() for size in own] for own in sizes if own]
 
 
 def _pack_group(table, limit, near_full):

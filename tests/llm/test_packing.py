@@ -111,3 +111,31 @@ def test_sequences_of_many_groups_are_filled_by_later_rounds(spark):
     rows = packing.pack(spark.createDataFrame(made, packing._PIECES), group=40).collect()
     lengths = np.array([length for *_, length, _ in made])
     assert len(rows) == 400 and len(packed_right(rows, 2048)) <= len(packing.best_fit(lengths, 2048)) + 10
+
+
+def test_search_looks_at_all_underfull_bins():
+    # 6,000 sequences suffice; the 64 emptiest bins of best fit have no exchange among themselves
+    lengths = np.array([1032] * 4000 + [528] * 4000 + [520] * 4000 + [496] * 8000)
+    start = packing.best_fit(lengths, 2048)
+    found = packing.improve(start, lengths, 2048)
+    assert sorted(p for b in found for p in b) == list(range(len(lengths)))
+    assert max(lengths[b].sum() for b in found) <= 2048
+    assert len(start) == 7334 and len(found) == 6000
+
+
+def test_no_exchange_is_left():
+    draw = random.Random(5)
+    for _ in range(30):
+        lengths = np.array([draw.randint(15, 60) for _ in range(200)])
+        found = packing.improve(packing.best_fit(lengths, 100), lengths, 100)
+        if len(found) == -(-lengths.sum() // 100):
+            continue
+        sizes = [lengths[b].tolist() for b in found]
+        for low, own in enumerate(sizes):
+            for high, other in enumerate(sizes):
+                if low == high:
+                    continue
+                for give in own:
+                    for take in [0, *other]:
+                        gain = give - take
+                        assert gain <= 0 or sum(other) + gain > 100 or sum(other) + gain <= sum(own)
