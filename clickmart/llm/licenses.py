@@ -7,14 +7,14 @@ in order, are matched against an ordered list of rules. Only built-in expression
 from pyspark.sql import functions as F
 
 # Words of which every known sentence has at least one.
-KEYWORDS = ("licen[cs]e", "copyright", "permission", "redistribut", "warrant", "liab", "public domain", "altered source", "misrepresented", "all rights reserved", "neither the name", "gnu")
+KEYWORDS = ("licen[cs]e", "copyright", "permission", "redistribut", "warrant", "liab", "public domain", "altered source", "misrepresented", "all rights reserved", "neither the name", "gnu", "version [23]")
 
 # How a line begins that starts a sentence even if the line before it has no full stop.
 OPENERS = ("Copyright", "Licensed", "Released", "Distributed", "Published", "This ", "The above", "THE SOFTWARE", "THIS SOFTWARE", "Permission", "Redistribution", "Neither", "SPDX-License-Identifier", "You may", "Unless required", "See the", "All rights")
 
 # Identifier and pattern of a whole normalised sentence.
 SENTENCES = (
-    ("SPDX", r"spdx-license-identifier [a-z0-9.+() -]+"),
+    ("SPDX", r"(.* )?spdx-license-identifier [a-z0-9.+()-]+( .*)?"),
     ("Copyright", r"(portions )?copyright .*"),
     ("AllRights", r".*all rights reserved"),
     ("ApacheRef2.0", r".*licen[cs]ed under (the )?apache licen[cs]e,? version 2\.0.*"),
@@ -39,9 +39,15 @@ SENTENCES = (
     ("LGPLref3", r".*gnu lesser general public licen[cs]e.*version 3.*"),
     ("GPLref2", r".*gnu general public licen[cs]e.*version 2.*"),
     ("GPLref3", r".*gnu general public licen[cs]e.*version 3.*"),
+    ("AGPLpub", r".*gnu affero general public licen[cs]e.* published by .*"),
+    ("LGPLpub", r".*gnu lesser general public licen[cs]e.* published by .*"),
+    ("GPLpub", r".*gnu general public licen[cs]e.* published by .*"),
+    ("Version2.1", r"(either )?version 2\.1([ ,].*)?"),
+    ("Version2", r"(either )?version 2(\.0)?([ ,].*)?"),
+    ("Version3", r"(either )?version 3(\.0)?([ ,].*)?"),
     ("GPLnoWarranty", r"this program is distributed in the hope that it will be useful,? but without any warranty.*"),
     ("GPLcopy", r"you should have received a copy of the gnu .*licen[cs]e.*"),
-    ("MPLref2.0", r".*mozilla public licen[cs]e,? (v\.?|version )2\.0.*"),
+    ("MPLref2.0", r".*mozilla public licen[cs]e,? (v\.? ?|version )2\.0.*"),
     ("EPLref2.0", r".*eclipse public licen[cs]e.*2\.0.*"),
     ("BoostRef", r".*boost software licen[cs]e.*version 1\.0.*"),
     ("ZlibAsIs", r"this software is provided as-is,? without any express or implied warranty"),
@@ -74,14 +80,24 @@ RULES = (
     ("BSD", ("BSDref",)),
     ("AGPL-3.0", ("AGPLref3", "GPLnoWarranty", "GPLcopy")),
     ("AGPL-3.0", ("AGPLref3",)),
+    ("AGPL-3.0", ("AGPLpub", "Version3", "GPLnoWarranty", "GPLcopy")),
+    ("AGPL-3.0", ("AGPLpub", "Version3")),
     ("LGPL-2.1", ("LGPLref2.1", "GPLnoWarranty", "GPLcopy")),
     ("LGPL-2.1", ("LGPLref2.1",)),
+    ("LGPL-2.1", ("LGPLpub", "Version2.1", "GPLnoWarranty", "GPLcopy")),
+    ("LGPL-2.1", ("LGPLpub", "Version2.1")),
     ("LGPL-3.0", ("LGPLref3", "GPLnoWarranty", "GPLcopy")),
     ("LGPL-3.0", ("LGPLref3",)),
+    ("LGPL-3.0", ("LGPLpub", "Version3", "GPLnoWarranty", "GPLcopy")),
+    ("LGPL-3.0", ("LGPLpub", "Version3")),
     ("GPL-2.0", ("GPLref2", "GPLnoWarranty", "GPLcopy")),
     ("GPL-2.0", ("GPLref2",)),
+    ("GPL-2.0", ("GPLpub", "Version2", "GPLnoWarranty", "GPLcopy")),
+    ("GPL-2.0", ("GPLpub", "Version2")),
     ("GPL-3.0", ("GPLref3", "GPLnoWarranty", "GPLcopy")),
     ("GPL-3.0", ("GPLref3",)),
+    ("GPL-3.0", ("GPLpub", "Version3", "GPLnoWarranty", "GPLcopy")),
+    ("GPL-3.0", ("GPLpub", "Version3")),
     ("MPL-2.0", ("MPLref2.0",)),
     ("EPL-2.0", ("EPLref2.0",)),
     ("BSL-1.0", ("BoostRef",)),
@@ -97,10 +113,14 @@ RULES = (
     ("Proprietary", ("Copyright", "AllRights")),
     ("Proprietary", ("AllRights",)),
     ("Unknown", ("OtherLicence",)),
+    ("Unknown", ("AGPLpub",)),
+    ("Unknown", ("LGPLpub",)),
+    ("Unknown", ("GPLpub",)),
 )
 
 KEYWORD = f"(?i)({'|'.join(KEYWORDS)})"
-FULL_STOP = r"([.!?;:])[ \t\r\n]+"
+# an SPDX identifier and "v. 2.0" are passed over whole, so that their stops do not part them
+FULL_STOP = r"((?i:spdx-license-identifier):[ \t]*[^ \t\r\n]*|\b[vV]\.[ \t\r\n]+[0-9][0-9.]*|[.!?;:][ \t\r\n])[ \t\r\n]*"
 EMPTY_LINE = r"\n[ \t\r#*/;]*\n"
 OPENER = rf"\n[ \t#*/;-]*({'|'.join(OPENERS)})"
 QUOTES = "\"'`"

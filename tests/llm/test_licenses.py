@@ -68,3 +68,81 @@ def test_every_known_sentence_has_a_keyword_and_a_rule():
 @pytest.mark.parametrize("name", [name for name, _ in SENTENCES])
 def test_identifiers_are_words(name):
     assert " " not in name and "<" not in name
+
+
+def licences_of(spark, texts):
+    rows = scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    return [r.licences for r in sorted(rows, key=lambda r: r.doc_id)]
+
+
+def gnu(name, version, work="program", stop=";", pad=""):
+    return f"""{pad}This {work} is free software{stop} you can redistribute it and/or modify
+{pad}it under the terms of the GNU {name} as published by
+{pad}the Free Software Foundation{stop} either version {version} of the License, or
+{pad}(at your option) any later version.
+{pad}
+{pad}This {work} is distributed in the hope that it will be useful,
+{pad}but WITHOUT ANY WARRANTY; without even the implied warranty of
+{pad}MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the
+{pad}GNU {name} for more details.
+{pad}
+{pad}You should have received a copy of the GNU {name}
+{pad}along with this {work}; if not, see <https://www.gnu.org/licenses/>.
+"""
+
+
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the
+   following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice in the documentation.
+%s
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,
+INCLUDING, BUT NOT LIMITED TO, MERCHANTABILITY ARE DISCLAIMED.
+"""
+NAME = """3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote
+   products derived from this software without specific prior written permission.
+"""
+ZLIB = """This software is provided 'as-is', without any express or implied
+warranty. In no event will the authors be held liable for any damages.
+
+1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software.
+2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original.
+"""
+NOTICES = [
+    *[
+        (gnu(f"{kind}General Public License", version, work, stop, pad), licence)
+        for kind, version, work, licence in [
+            ("", "2", "program", "GPL-2.0"), ("", "3", "program", "GPL-3.0"), ("Lesser ", "2.1", "library", "LGPL-2.1"),
+            ("Lesser ", "3", "program", "LGPL-3.0"), ("Affero ", "3", "program", "AGPL-3.0"),
+        ]
+        for stop in ";:,"
+        for pad in ("", " * ")
+    ],
+    ("It is under the GNU General Public License as published by the Free Software Foundation; version 2.", "GPL-2.0"),
+    ("SPDX-License-Identifier: MIT", "SPDX"),
+    ("// SPDX-License-Identifier: GPL-2.0-only WITH Linux-syscall-note\n#include <a/b.h>\nint f(int, int);", "SPDX"),
+    ("/* SPDX-License-Identifier: (MIT OR Apache-2.0) */\nint x;", "SPDX"),
+    ("words.\n# SPDX-License-Identifier: BSD-3-Clause\n\nReleased under the MIT License: see below.", "SPDX MIT"),
+    ("SPDX-License-Identifier: MIT Licensed under the Apache License, Version 2.0.", "SPDX Apache-2.0"),
+    ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+     "distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.", "MPL-2.0"),
+    ("This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 "
+     "which is available at https://www.eclipse.org/legal/epl-2.0/", "EPL-2.0"),
+    ("Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt)", "BSL-1.0"),
+    (BSD % "", "BSD-2-Clause"),
+    (BSD % NAME, "BSD-3-Clause"),
+    (ZLIB, "Zlib"),
+    ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+     "granted, provided that the above copyright notice appear in all copies.", "ISC"),
+    ("This is free and unencumbered software released into the public domain.", "Unlicense"),
+    ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "CC-BY-SA-4.0"),
+    (APACHE, "Apache-2.0"),
+    (MIT, "MIT"),
+]
+
+
+def test_spdx_lines_and_standard_notices(spark):
+    found = licences_of(spark, [text for text, _ in NOTICES])
+    assert [(text, name) for (text, _), name in zip(NOTICES, found, strict=True)] == NOTICES
