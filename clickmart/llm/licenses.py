@@ -7,7 +7,7 @@ in order, are matched against an ordered list of rules. Only built-in expression
 from pyspark.sql import functions as F
 
 # Words of which every known sentence has at least one.
-KEYWORDS = ("licen[cs]e", "copyright", "permission", "redistribut", "warrant", "liab", "public domain", "altered source", "misrepresented", "all rights reserved", "neither the name", "gnu", "version [23]")
+KEYWORDS = ("licen[cs]e", "copyright", "permission", "redistribut", "warrant", "liab", "public domain", "altered source", "misrepresented", "all rights reserved", "neither the name", "gnu", "version [23]", "cc0", "creative commons")
 
 # How a line begins that starts a sentence even if the line before it has no full stop.
 OPENERS = ("Copyright", "Licensed", "Released", "Distributed", "Published", "This ", "The above", "THE SOFTWARE", "THIS SOFTWARE", "Permission", "Redistribution", "Neither", "SPDX-License-Identifier", "You may", "Unless required", "See the", "All rights")

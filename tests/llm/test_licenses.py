@@ -146,3 +146,64 @@ NOTICES = [
 def test_spdx_lines_and_standard_notices(spark):
     found = licences_of(spark, [text for text, _ in NOTICES])
     assert [(text, name) for (text, _), name in zip(NOTICES, found, strict=True)] == NOTICES
+
+
+EXAMPLES = {
+    "SPDX": "SPDX-License-Identifier: MIT",
+    "Copyright": "Copyright 2020 Someone",
+    "AllRights": "All rights reserved",
+    "ApacheRef2.0": "Licensed under the Apache License, Version 2.0",
+    "ApacheObtain": "You may obtain a copy of the License at http://www.apache.org",
+    "ApacheNot": "You may not use this file except in compliance with the License",
+    "ApacheAsIs": "Unless required by applicable law or agreed to in writing, software distributed under the License is "
+    'distributed on an "AS IS" BASIS',
+    "ApacheSee": "See the License for the specific language governing permissions and limitations under the License",
+    "MITref": "Released under the MIT license",
+    "MITperm": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software",
+    "MITnotice": "The above copyright notice and this permission notice shall be included in all copies",
+    "AsIs": "THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND",
+    "NoLiability": "In no event shall the authors be liable",
+    "ISCperm": "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted",
+    "BSDref": "Released under the BSD 3-Clause License",
+    "BSDpre": "Redistribution and use in source and binary forms, with or without modification, are permitted",
+    "BSDsource": "Redistributions of source code must retain the above copyright notice",
+    "BSDbinary": "Redistributions in binary form must reproduce the above copyright notice",
+    "BSDname": "Neither the name of it nor others may be used to endorse or promote products",
+    "BSDasIs": "This software is provided by the authors as is and any express or implied warranties",
+    "AGPLref3": "GNU Affero General Public License version 3",
+    "LGPLref2.1": "GNU Lesser General Public License version 2.1",
+    "LGPLref3": "GNU Lesser General Public License version 3",
+    "GPLref2": "GNU General Public License version 2",
+    "GPLref3": "GNU General Public License version 3",
+    "AGPLpub": "GNU Affero General Public License as published by the Free Software Foundation",
+    "LGPLpub": "GNU Lesser General Public License as published by the Free Software Foundation",
+    "GPLpub": "GNU General Public License as published by the Free Software Foundation",
+    "Version2.1": "version 2.1",
+    "Version2": "either version 2",
+    "Version3": "version 3",
+    "GPLnoWarranty": "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY",
+    "GPLcopy": "You should have received a copy of the GNU General Public License",
+    "MPLref2.0": "Mozilla Public License, v. 2.0",
+    "EPLref2.0": "Eclipse Public License 2.0",
+    "BoostRef": "Boost Software License, Version 1.0",
+    "ZlibAsIs": "This software is provided 'as-is', without any express or implied warranty",
+    "ZlibOrigin": "The origin of this software must not be misrepresented",
+    "ZlibAltered": "Altered source versions must be plainly marked as such",
+    "CC0ref": "Released under CC0 1.0 by the author",
+    "CCBYNCSAref4.0": "Licensed under CC BY-NC-SA 4.0",
+    "CCBYNCref4.0": "Licensed under CC BY-NC 4.0",
+    "CCBYSAref4.0": "Licensed under CC BY-SA 4.0",
+    "CCBYref4.0": "Licensed under CC BY 4.0",
+    "Unlicense": "This is free and unencumbered software released into the public domain",
+    "PublicDomain": "It is placed in the public domain",
+    "OtherLicence": "Licensed under terms nobody knows",
+}
+
+
+def test_an_example_of_every_identifier_is_found(spark):
+    assert list(EXAMPLES) == [name for name, _ in SENTENCES]
+    rows = [(name, f"{text}.") for name, text in EXAMPLES.items()]
+    found = {r.doc_id: r.sentence_ids for r in scan(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    assert found == {name: name for name in EXAMPLES}
+    texts = ["Dedicated with Creative Commons Zero v1.0 Universal.", "Released under CC0 1.0 by the author."]
+    assert licences_of(spark, texts) == ["CC0-1.0", "CC0-1.0"]
