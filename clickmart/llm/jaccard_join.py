@@ -30,7 +30,6 @@ SKETCH_BITS = 16, 24  # at least and at most
 SKETCH_LOAD = 24  # words for a bucket
 SLICES = 16
 MARK_BITS = 24
-BAND = float(np.log(100 / SHARE))
 BLOCK = 2_000
 
 
@@ -50,6 +49,11 @@ def _sets(table, text, words, runs, size):
             yield hashes[:0]
 
 
+def band_width(share=SHARE):
+    """Width of a size band in logarithms, such that a link spans at most two bands. Equal sizes alone need no band."""
+    return float(np.log(100 / min(share, 99)))
+
+
 def prefix_size(n, share=SHARE):
     return n + n * -share // 100 + 1
 
@@ -173,7 +177,7 @@ def _prefixes(batches, text, id_column, size, share, parts, bits):
     return stored(batches.mapInArrow(send, X.REQUEST), "prefixes")
 
 
-def _tiles(table: pa.Table) -> pa.Table:
+def _tiles(table, share=SHARE):
     """Tiles of one owner: ``tile, node, n, before, hub``, the last two where they may be linked with the node.
 
     ``before`` is the next smaller node, ``hub`` that of the tile's nodes which is in most of the owner's tiles: among copies
@@ -203,7 +207,7 @@ def _tiles(table: pa.Table) -> pa.Table:
     tile = np.repeat(names, counts)[rows]
     first = np.isin(rows, starts)
     before = np.where(first, 0, rows - 1)
-    linked = ~first & (sizes[before].astype(np.int64) * 100 >= SHARE * sizes[rows].astype(np.int64))
+    linked = ~first & (sizes[before].astype(np.int64) * 100 >= share * sizes[rows].astype(np.int64))
     # places by tile, then by how many tiles the node is in
     _, number, times = np.unique(nodes[rows], return_inverse=True, return_counts=True)
     begin = np.flatnonzero(first)
@@ -212,7 +216,7 @@ def _tiles(table: pa.Table) -> pa.Table:
     order = np.lexsort((times[number], which))
     hub = rows[order[np.repeat(begin + length - 1, length)]]
     small, large = (f(sizes[hub], sizes[rows]).astype(np.int64) for f in (np.minimum, np.maximum))
-    around = (hub != rows) & (100 * small >= SHARE * large)
+    around = (hub != rows) & (100 * small >= share * large)
     return pa.table(
         {
             "tile": tile.view(np.int64),
@@ -329,7 +333,7 @@ def _between(tiles, one_of_each, groups, share, block, best):
     A tile is cut by size bands: each band meets itself and the band below. Its own nodes are cut into blocks of
     ``block``, each of which meets the whole band and the one below in one task, row by row.
     """
-    band = F.floor(F.log(F.col("n").cast("double")) / BAND + 1e-9).cast("int")
+    band = F.floor(F.log(F.col("n").cast("double")) / band_width(share) + 1e-9).cast("int")
     known = tiles.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node")).withColumn("band", band)
     open_tiles = (
         known.groupBy("tile")
@@ -418,9 +422,13 @@ def _joined(docs, text, id_column, size, share, block):
     kind = dict(docs.dtypes)[id_column]
     schema = f"place long, node long, n long, bits binary, doc_id {kind}, batch long"
     nodes = prefixes.where("kind = 1").select("batch", "counts").mapInArrow(unpack, schema)
+
+    def met(table: pa.Table) -> pa.Table:
+        return _tiles(table, share)
+
     tiles = (
         prefixes.where("kind = 0").select("part", "keys", "counts")
-        .groupBy("part").applyInArrow(_tiles, "tile long, node long, n long, before long, hub long")
+        .groupBy("part").applyInArrow(met, "tile long, node long, n long, before long, hub long")
     )
     tiles = stored(tiles, "tiles")
     one_of_each = _one_of_each(nodes)

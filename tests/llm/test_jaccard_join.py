@@ -105,3 +105,26 @@ def test_components(spark):
     found = components(spark.createDataFrame(links, "a long, b long")).collect()
     assert {r.node: r.component for r in found} == wanted
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("share", [30, 50, 100])
+def test_other_shares_same_as_brute_force(spark, share):
+    # halves and thirds of long texts, several bands of 80 % apart
+    rows = []
+    for group in range(6):
+        words = [f"w{group}x{n}" for n in range(90 + 14 * group)]
+        for part in (1, 2, 3):
+            rows.append((10 * group + part, " ".join(words[: 4 + (len(words) - 4) // part])))
+    sets = [shingles(t) for _, t in rows]
+    assert sum(len(a & b) * 100 >= 50 * len(a | b) for a in sets for b in sets if len(a) > len(b)) >= 6
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= share * len(sets[i] | sets[j]):
+                group = [group[j] if g == group[i] else g for g in group]
+    least = {}
+    for (doc_id, _), g in zip(rows, group, strict=True):
+        least[g] = min(doc_id, least.get(g, doc_id))
+    wanted = sorted((str(d), len(s), str(least[g])) for (d, _), g, s in zip(rows, group, sets, strict=True))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert result(near_duplicate_classes(docs, share=share)) == wanted
