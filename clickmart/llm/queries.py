@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from clickmart.llm import decontaminate, imatch, jaccard_join, katz, licenses, ordinal, packing, substring_dedup, warc, wavelet
+from clickmart.llm import conversations, decontaminate, divergence, imatch, jaccard_join, katz, licenses, minmax, ordinal
+from clickmart.llm import packing, substring_dedup, warc, wavelet
 from clickmart.llm.tokens import shared_tokenizer
 from clickmart.session import prepare_session
 
@@ -98,3 +99,19 @@ def op4_warc_archives(spark, sf_dir):
     folder = warc.new_folder(spark)
     warc.write_archives(table(spark, sf_dir, "pages"), folder)
     return warc.read_archives(spark, folder).drop("url")
+
+
+@query
+def op11_conversation_repair(spark, sf_dir):
+    turns = conversations.damaged(table(spark, sf_dir, "conversations"))
+    return conversations.repair_digests(*turns)
+
+
+@query
+def op12_minmax_dedup(spark, sf_dir):
+    return minmax.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_source_divergence(spark, sf_dir):
+    return divergence.source_divergence(table(spark, sf_dir, "documents"))

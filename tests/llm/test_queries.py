@@ -11,6 +11,14 @@ from clickmart.llm.oracle import ORACLE
 from clickmart.llm.queries import QUERIES
 
 
+# What the rows of a query stand for, where it is not documents.
+ROWS = {
+    "op4_warc_archives": ("pages", "page_id"),
+    "op11_conversation_repair": ("conversations", "conv_id"),
+    "op13_source_divergence": ("documents", "lang", "source"),
+}
+
+
 @pytest.fixture(scope="module")
 def duck(sf_dir):
     connection = duckdb.connect()
@@ -24,9 +32,9 @@ def duck(sf_dir):
 def test_query(spark, duck, sf_dir, name):
     found = QUERIES[name](spark, sf_dir)
     rows = found.collect()
-    source, key = ("pages", "page_id") if name == "op4_warc_archives" else ("documents", "doc_id")
-    wanted = duck.sql(f"SELECT {key} FROM {source}").fetchall()
-    assert {(row[key],) for row in rows} == set(wanted)
+    source, *keys = ROWS.get(name, ("documents", "doc_id"))
+    wanted = duck.sql(f"SELECT {', '.join(keys)} FROM {source}").fetchall()
+    assert {tuple(row[key] for key in keys) for row in rows} == set(wanted)
     if name in ORACLE:
         wanted = duck.sql(ORACLE[name])
         assert sorted(found.columns) == sorted(wanted.columns)
