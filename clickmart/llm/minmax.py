@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from clickmart.llm.components import components
@@ -133,7 +134,7 @@ def signatures(docs, text="text", id_column="doc_id", size=SHINGLE):
 
 
 def _buckets(nodes):
-    """(key, band, node, n): one row per node and band."""
+    """(key, node): one row per node and band."""
 
     def cut(batches):
         for batch in batches:
@@ -141,17 +142,23 @@ def _buckets(nodes):
                 keys = _wide(batch.column("keys"), np.int64, BANDS)
                 columns = {
                     "key": keys.reshape(-1),
-                    "band": np.tile(np.arange(BANDS, dtype=np.int32), len(keys)),
                     "node": np.repeat(batch.column("node").to_numpy(), BANDS),
-                    "n": np.repeat(batch.column("n").to_numpy(), BANDS),
                 }
                 yield from pa.table(columns).to_batches()
 
-    return nodes.select("node", "n", "keys").mapInArrow(cut, "key long, band int, node long, n long")
+    return nodes.select("node", "keys").mapInArrow(cut, "key long, node long")
+
+
+def _needed(nodes, rows, *columns):
+    """``columns`` of those ``nodes`` that ``rows`` name. Their names are a table of their own, whose size Spark knows: where it
+    is small, it goes to the nodes, and only the wide rows in need are moved."""
+    names = stored(rows.select("node").distinct(), "needed")
+    return nodes.select("node", *columns).join(names, "node", "left_semi")
 
 
 def _both(pairs, nodes, *columns):
     """``pairs`` (a, b) with ``columns`` of both nodes."""
+    nodes = _needed(nodes, pairs.select(F.explode(F.array("a", "b")).alias("node")), *columns)
     for end in ("a", "b"):
         named = [F.col(name).alias(f"{name}_{end}") for name in columns]
         pairs = pairs.join(nodes.select(F.col("node").alias(end), *named), end)
@@ -211,7 +218,7 @@ def _candidates(table):
     """Pairs (i, j) of one run of an open bucket that agree in slots, belong to different components and meet here first."""
     slots = _wide(table.column("slots"), np.uint8, 2 * PERMUTATIONS)
     keys = _wide(table.column("keys"), np.int64, BANDS)
-    band = table.column("band")[0].as_py()
+    band = int((keys[0] == table.column("key")[0].as_py()).argmax())
     groups, sides = table.column("component").to_numpy(), table.column("side").to_numpy()
     crossing = len(np.unique(sides)) > 1
     for i in range(len(table) - 1):
@@ -237,7 +244,7 @@ def _blocks(rows, limits):
     cut = cut.withColumn("other", other)
     low, high = F.least("mine", "other"), F.greatest("mine", "other")
     return cut.select(
-        "key", "band", "node", "component", (low * F.col("blocks") + high).alias("run"),
+        "key", "node", "component", (low * F.col("blocks") + high).alias("run"),
         F.when(low == high, 0).otherwise(F.col("mine")).alias("side"),
     )
 
@@ -245,15 +252,16 @@ def _blocks(rows, limits):
 def _between(met, nodes, found, size, share, limits):
     """Links between components (``found``: node, component) of nodes that share a bucket (``met``)."""
     group = F.coalesce("component", "node").alias("component")
-    placed = met.join(found, "node", "left").select("key", "band", "node", "n", group)
-    sizes = placed.groupBy("key").agg(
-        F.count(F.lit(1)).alias("met"), F.sum("n").alias("shingles"), (F.min("component") < F.max("component")).alias("open")
-    )
-    rows = stored(_blocks(placed.join(sizes.where("open"), "key"), limits), "open-buckets")
+    placed = met.join(found, "node", "left").select("key", "node", group)
+    mixed_keys = placed.groupBy("key").agg((F.min("component") < F.max("component")).alias("open")).where("open")
+    placed = stored(placed.join(mixed_keys.select("key"), "key"), "open-buckets")
+    placed = placed.join(nodes.select("node", "n"), "node")
+    sizes = placed.groupBy("key").agg(F.count(F.lit(1)).alias("met"), F.sum("n").alias("shingles"))
+    rows = stored(_blocks(placed.join(sizes, "key"), limits), "open-blocks")
     columns = rows.columns
 
     def with_columns(frame, *names):
-        joined = frame.join(nodes.select("node", *names), "node")
+        joined = frame.join(_needed(nodes, frame, *names), "node")
         return joined.repartition("key", "run").sortWithinPartitions("key", "run")
 
     def flag(batches):
@@ -305,9 +313,9 @@ def near_duplicates(docs, text="text", id_column="doc_id", size=SHINGLE, share=S
     copies = stored(filled.groupBy("high", "low").agg(F.min("node").alias("first")), "copies")
     nodes = filled.join(copies.select(F.col("first").alias("node")), "node", "left_semi")
 
-    rows = stored(_buckets(nodes), "bands")
-    hubs = rows.groupBy("key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("met")).where("met > 1")
-    met = stored(rows.join(hubs.drop("met"), "key"), "buckets")
+    bucket = Window.partitionBy("key").orderBy("node")
+    rows = _buckets(nodes).select("*", F.first("node").over(bucket).alias("hub"), F.lead("node").over(bucket).alias("next"))
+    met = stored(rows.where("hub < node OR next IS NOT NULL").drop("next"), "buckets")
     pairs = met.where("hub < node").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     links = _confirmed(stored(_agreeing(pairs, filled), "pairs"), filled, size, share)
     found = stored(components(links), "components")
