@@ -1,5 +1,6 @@
 """Data dictionary: what fields a record set has, of which types, how filled, with sample values."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +18,7 @@ TYPE_NAMES = {
 
 SAMPLE_LENGTH = 200
 
+
 def leaf_fields(schema, path=()):
     """(path, type) of every field that is no struct, in order."""
     leaves = []
@@ -187,88 +189,97 @@ def _report(counts, samples, total_records, sample_size):
     ).orderBy("field_name")
 
 
-# Levels of nesting read at first; more are read where records have them.
-FIRST_DEPTH = 4
-
+# Values of a field are dealt to so many buckets at least, whose least values bound the sample values of the field.
+SAMPLE_BUCKETS = 256
 
-def _cells(column, depth):
-    """The members of an object ``depth`` levels down, as an array of (field_name, value)."""
-    found = _members(F.col(column), F.lit(None).cast("string"))
-    for _ in range(depth - 1):
-        found = F.flatten(
-            F.transform(
-                found, lambda cell: F.coalesce(_members(cell["value"], cell["field_name"]), F.array(cell))
-            )
-        )
-    return found
 
-
-def nesting(records, column):
-    """(levels that ``variant_cells`` has to read, number of records). One scan unless records are nested deeply."""
-    depth, total = FIRST_DEPTH, None
-    while True:
-        left = F.exists(_cells(column, depth), lambda cell: F.schema_of_variant(cell["value"]).startswith("OBJECT<"))
-        deeper, count = records.agg(F.max(F.coalesce(left, F.lit(False))), F.count(F.lit(1))).first()
-        total = count if total is None else total
-        if not deeper:
-            return depth, total
-        depth *= 2
+# Levels that one step of the walk opens.
+LEVELS = 4
 
 
-def variant_cells(records, column, depth=None):
-    """The same for VARIANT records, whose fields differ from row to row.
+def _opened(cells):
+    """``cells`` (field_name, value, leaf) one level further down: values become their members, or leaves if they have none.
 
-    Each step replaces the objects in a record's list of values by their members, so the records are
-    read once and become rows at the end. ``depth`` is what ``nesting`` says, found if not given.
+    An array is a leaf; it shows by elements without a name, of which the first stands for it.
     """
-    found = _cells(column, depth or nesting(records, column)[0])
-    return (
-        records.select(F.explode_outer(found).alias("cell"))
-        .filter("cell IS NOT NULL")
-        .select(
-            "cell.field_name",
-            F.coalesce(value_type(F.col("cell.value")), F.lit("null")).alias("value_type"),
-            F.try_variant_get("cell.value", "$", "string").alias("text"),
-        )
+    spark = cells.sparkSession
+    opened = cells.select("field_name", F.col("value").alias("object"), "leaf")
+    opened = opened.lateralJoin(spark.tvf.variant_explode_outer(F.col("object").outer()))
+    named, known = F.col("key").isNotNull(), F.col("object").isNull()
+    return opened.filter(named | F.coalesce(F.col("pos") == 0, F.lit(True))).select(
+        F.when(named, F.concat_ws(".", "field_name", "key")).otherwise(F.col("field_name")).alias("field_name"),
+        F.when(named, F.col("value")).alias("value"),
+        F.when(known, F.col("leaf")).when(~named, F.col("object")).alias("leaf"),
     )
 
 
-def _members(value, prefix):
-    is_object = F.schema_of_variant(value).startswith("OBJECT")
-    entries = F.map_entries(F.when(is_object, value.try_cast("map<string,variant>")))
-    return F.transform(
-        entries,
-        lambda entry: F.struct(
-            F.concat_ws(".", prefix, entry["key"]).alias("field_name"), entry["value"].alias("value")
-        ),
+def _step(cells):
+    for _ in range(LEVELS):
+        cells = _opened(cells)
+    kind = F.coalesce(value_type(F.col("leaf")), F.lit("null"))
+    typed = F.when(F.col("value").isNull(), kind)
+    return cells.filter("field_name IS NOT NULL").select(
+        "field_name", "value", typed.alias("value_type"), F.try_variant_get("leaf", "$", "string").alias("text")
     )
 
 
+def variant_cells(records, column):
+    """(field_name, value_type, text) of all leaves of VARIANT records, whose fields differ from row to row.
+
+    A walk down the records: each step opens some levels of what the step before has left and stores the leaves beside the
+    values that are still to be opened. Records are read once, every leaf is written once, and a deeper level only costs
+    what is nested that deep. Empty objects and records that are no object have no leaves.
+    """
+    no_leaf = F.lit(None).cast("variant").alias("leaf")
+    cells, leaves = records.select(F.lit(None).cast("string").alias("field_name"), F.col(column).alias("value"), no_leaf), None
+    while True:
+        cells = stored(_step(cells), "cells")
+        here = cells.filter("value IS NULL AND value_type <> 'object'").select("field_name", "value_type", "text")
+        leaves = here if leaves is None else leaves.unionAll(here)
+        rest = cells.filter("value IS NOT NULL").select("field_name", "value", no_leaf)
+        if rest.isEmpty():
+            return leaves
+        cells = rest
+
+
+def _least_texts(rows, counts, size):
+    """The ``size`` smallest distinct texts of each field, as columns s1, s2, ...
+
+    ``counts`` has the least text of each bucket of each field. The ``size`` smallest of these are texts of the field, so
+    the largest of them bounds the samples from above: a second look at the rows takes the few distinct texts up to it.
+    """
+    ordered = Window.partitionBy("field_name").orderBy("least")
+    least = counts.filter("least IS NOT NULL").groupBy("field_name", "bucket").agg(F.min("least").alias("least"))
+    ranked = least.withColumn("place", F.row_number().over(ordered)).filter(F.col("place") <= size)
+    bounds = ranked.groupBy("field_name").agg(F.max("least").alias("bound"), F.max("place").alias("found"))
+    # a field with fewer buckets than samples has few distinct texts; all of them are taken
+    bounds = bounds.select("field_name", F.when(F.col("found") >= size, F.col("bound")).alias("bound"))
+    texts = rows.join(bounds, "field_name").filter(F.col("bound").isNull() | (F.col("text") <= F.col("bound")))
+    texts = texts.groupBy("field_name", "text").agg(F.lit(1).alias("one"))
+    places = Window.partitionBy("field_name").orderBy("text")
+    texts = texts.withColumn("place", F.row_number().over(places)).filter(F.col("place") <= size)
+    samples = [F.min(F.when(F.col("place") == step, F.col("text"))).alias(f"s{step}") for step in range(1, size + 1)]
+    return texts.groupBy("field_name").agg(*samples)
+
+
 def profile_variants(records, column, sample_size=3):
-    """The data dictionary of VARIANT records. The small result of each pass is stored.
+    """The data dictionary of VARIANT records: one pass over the records, two over their stored leaves.
 
-    Fields are not known beforehand, so there may be many of them: the values to exceed are a stored table, which Spark
-    sends to every task only where its bytes are few, and joins by field otherwise, splitting fields with many values.
+    The number of passes depends neither on the depth of the records nor on the number of samples. Fields are not known
+    beforehand, so there may be many; whatever is kept for each is of bounded size and merged before it is moved.
     """
-    depth, total = nesting(records, column)
-    rows = variant_cells(records, column, depth)
-    filled = (F.col("value_type") != "null") & _filled(F.col("text"))
+    rows = variant_cells(records, column)
+    size = max(1, sample_size)
+    filled = F.coalesce((F.col("value_type") != "null") & _filled(F.col("text")), F.lit(False))
+    bucket = F.pmod(F.xxhash64("text"), F.lit(max(SAMPLE_BUCKETS, 64 * size)))
     counts = stored(
-        rows.groupBy("field_name", "value_type").agg(
+        rows.groupBy("field_name", "value_type", F.when(filled, bucket).alias("bucket")).agg(
             F.count(F.lit(1)).alias("values"),
-            F.count_if(F.coalesce(filled, F.lit(False))).alias("filled"),
+            F.count_if(filled).alias("filled"),
             F.min(F.when(filled, F.col("text"))).alias("least"),
         ),
         "fields",
     )
-    samples = counts.groupBy("field_name").agg(F.min("least").alias("s1"))
-    for step in range(2, sample_size + 1):
-        above = samples.select("field_name", F.col(f"s{step - 1}").alias("floor"))
-        rest = (
-            rows.filter(filled)
-            .join(above, "field_name")
-            .filter(F.col("text") > F.col("floor"))
-        )
-        found = rest.groupBy("field_name").agg(F.min("text").alias(f"s{step}"))
-        samples = stored(samples.join(found, "field_name", "left"), "samples")
-    return _report(counts.drop("least"), samples, total, sample_size)
+    samples = _least_texts(rows.filter(filled).select("field_name", "text"), counts, size)
+    totals = counts.groupBy("field_name", "value_type").agg(F.sum("values").alias("values"), F.sum("filled").alias("filled"))
+    return _report(totals, samples, records.count(), sample_size)

@@ -57,3 +57,21 @@ def test_variant_column_of_declared_records(spark):
     assert {(r.value_type, r["values"], r.filled) for r in D.field_types(rows).collect()} == {
         ("boolean", 1, 1), ("string", 1, 1), ("null", 1, 0),
     }
+
+
+def test_leaves_of_odd_records(spark):
+    rows = variants(spark, '{"l":[{"a":1},2,[]],"n":null,"e":{},"f":{"e":{}}}', "[1,2]", "7", "null", '{"l":[],"x":{"y":{"z":{"l":[0]}}}}', "{}")
+    found = sorted(tuple(row) for row in D.variant_cells(rows, "v").collect())
+    assert [row[:2] for row in found] == [("l", "array"), ("l", "array"), ("n", "null"), ("x.y.z.l", "array")]
+
+
+def test_samples_same_as_sorted_texts(spark, monkeypatch):
+    """Few buckets, so that small texts hide behind smaller ones; more samples than texts; text that is blank."""
+    monkeypatch.setattr(D, "SAMPLE_BUCKETS", 1)
+    texts = [f"t{n * 7919 % 1000:04}" for n in range(1_500)]
+    rows = variants(spark, *[f'{{"a":"{t}","b":{{"c":"{t[-1]}"}},"d":" "}}' for t in texts]).repartition(5)
+    for size in (1, 3, 30):
+        found = {r.field_name: r for r in D.profile_variants(rows, "v", size).collect()}
+        assert found["a"].sample_values == " | ".join(sorted(set(texts))[:size])
+        assert found["b.c"].sample_values == " | ".join(sorted({t[-1] for t in texts})[:size])
+        assert (found["d"].sample_values, found["d"].non_null_count, found["a"].non_null_count) == ("", 0, 1_500)
