@@ -7,7 +7,7 @@ from clickmart.operators.crawl_log import filled_counts, status_counts  # noqa:
 from clickmart.operators.events import candidates, flagged_candidates, product_events, with_ip
 from clickmart.operators.pages import OK, utc_now
 from clickmart.operators.ranges import attach_ranges
-from clickmart.operators.ranking import best_per_group, first_rows
+from clickmart.operators.ranking import HEAP_ROWS, best_per_group, first_rows
 from clickmart.operators.sampling import smallest_rows
 from clickmart.schemas import IP_LOCATIONS
 from clickmart.session import stored
@@ -37,6 +37,8 @@ def distinct_normalized_ips(events, order_key, ip_field="ip", limit=None):
     )
     seen = F.struct(F.col("first_at").isNull().alias("never"), "first_at", "ip")
     firsts = spellings.groupBy("ip_key").agg(F.min(seen).alias("seen")).select("ip_key", "seen.ip", "seen.first_at")
+    if limit and limit <= HEAP_ROWS:
+        return firsts.orderBy(F.col("first_at").asc_nulls_last(), "ip").limit(limit)
     return smallest_rows(stored(firsts, "ips"), "first_at", limit, ties=("ip",)) if limit else firsts
 
 

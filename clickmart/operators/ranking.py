@@ -47,48 +47,62 @@ def running_rank(df, group, order, name):
 
 _SPLITTERS = 32
 _SORTED_AT_ONCE = 100_000
+# Up to so many rows Spark's own limit on a sort is taken: every task keeps its first rows in a heap.
+HEAP_ROWS = 10_000
 
 
 def first_rows(df, n, order):
-    """Exactly the first ``n`` rows in the order of columns, without sorting or storing the input.
+    """Exactly the first ``n`` rows in the order of columns; of rows that are equal in ``order`` any are taken.
 
-    A few sampled keys cut the rows into ranges (each key is a range of its own); counting the ranges shows in which one
-    the n-th row lies, and that range is cut again until few rows are left to sort. Rows in the ranges before it are a
-    filter on the input. Of rows that are equal in ``order`` any are taken.
+    Few rows are a limit on a sort, one pass in which no task holds more than ``n`` rows of another. For more rows the keys
+    are stored once and the last key is looked for in them: a few sampled keys cut the rest into ranges (each key is a range
+    of its own), counts show in which range it lies, and that range is cut again until few keys are left to sort. The rows
+    before the last key are then a filter on the input.
     """
     if not n:
         return df
-    key = F.struct(*order)
-    fields = df.select(*order).schema
-    found, rest, left = None, df, n
+    if n <= HEAP_ROWS:
+        return df.orderBy(*order).limit(n)
+    key = F.struct(*[F.col(f"_{place}") for place in range(len(order))])
+    keys = stored(df.select(*[F.expr(c) if isinstance(c, str) else c for c in order]).toDF(*[f"_{p}" for p in range(len(order))]), "keys")
+    last, left = _last_key(keys, key, n)
+    if last is None:
+        return df
+    mine = F.struct(*[F.col(c).alias(f"_{p}") if isinstance(c, str) else c.alias(f"_{p}") for p, c in enumerate(order)])
+    return df.filter(mine < last).unionAll(_any_rows(df.filter(mine == last), left))
+
+
+def _literal(row, fields):
+    return F.struct(*[F.lit(value).cast(field.dataType).alias(field.name) for value, field in zip(row, fields)])
+
+
+def _last_key(keys, key, n):
+    """The ``n``-th key and how many rows of that key are among the first ``n``; None for no more than ``n`` keys."""
+    rest, fields, left, first = keys, keys.schema, n, True
     while True:
         sample = rest.select(key.alias("key")).orderBy(F.xxhash64("key")).limit(_SPLITTERS).distinct().orderBy("key")
-        splitters = [
-            F.struct(*[F.lit(value).cast(field.dataType).alias(field.name) for value, field in zip(row["key"], fields)])
-            for row in sample.collect()
-        ]
+        splitters = [_literal(row["key"], fields) for row in sample.collect()]
         if not splitters:
-            return df
+            return None, 0
         # 2i is the range below splitter i, 2i + 1 the splitter itself
         place = F.lit(0)
         for splitter in splitters:
             place = place + (splitter <= key).cast("int") + (splitter < key).cast("int")
         counts = sorted(tuple(row) for row in rest.groupBy(place.alias("place")).count().collect())
-        if found is None and sum(count for _, count in counts) <= n:
-            return df
+        if first and sum(count for _, count in counts) <= n:
+            return None, 0
+        first = False
         for at, count in counts:
             if count >= left:
                 break
             left -= count
-        below = rest.filter(place < at)
-        found = below if found is None else found.unionAll(below)
         rest = rest.filter(place == at)
-        if count == left:
-            return found.unionAll(rest)
         if at % 2:
-            return found.unionAll(_any_rows(rest, left))
+            return splitters[at // 2], left
         if count <= _SORTED_AT_ONCE:
-            return found.unionAll(rest.orderBy(*order).limit(left))
+            upto = rest.orderBy(key).limit(left)
+            last = _literal(upto.agg(F.max(key)).first()[0], fields)
+            return last, left - rest.filter(key < last).count()
 
 
 def _any_rows(df, n):

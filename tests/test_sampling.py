@@ -57,8 +57,10 @@ def test_job_replaces_or_adds(spark):
     assert spark.table("sampled").count() == 15
 
 
-def test_first_rows_at_every_cut(spark, monkeypatch):
+@pytest.mark.parametrize("heap", [0, 10_000])
+def test_first_rows_at_every_cut(spark, monkeypatch, heap):
     """Null keys first, one key for most rows, and ranges that are cut again and again."""
+    monkeypatch.setattr(ranking, "HEAP_ROWS", heap)
     monkeypatch.setattr(ranking, "_SPLITTERS", 4)
     monkeypatch.setattr(ranking, "_SORTED_AT_ONCE", 5)
     rows = [(None, 1), (None, 2)] + [("hot", n) for n in range(200)] + [(f"k{n % 90:03}", n) for n in range(300)]
@@ -69,3 +71,20 @@ def test_first_rows_at_every_cut(spark, monkeypatch):
         assert found == order[:n]
     assert [r.key for r in ranking.first_rows(table, 50, ["key"]).filter("key = 'hot'").collect()] == ["hot"] * 48
     assert ranking.first_rows(table.limit(0), 3, ["key"]).count() == 0
+
+
+@pytest.mark.parametrize("error", [0.0, 0.002, 1.0])
+def test_sketch_only_bounds_the_cut(spark, monkeypatch, error):
+    """Whatever the bounds say, the rows are exact: a sketch that is far off, keys that cluster, most rows of one key."""
+    monkeypatch.setattr(sampling, "SKETCH_SIZE", 8)
+    monkeypatch.setattr(sampling, "SKETCH_ERROR", error)
+    keys = [n * n * (-1) ** n for n in range(4_000)] + [777] * 3_000 + [2**62, -(2**62)]
+    rows = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "key BIGINT, n BIGINT").repartition(6)
+    for n in (1, 1_999, 2_500, 5_100, 7_001):
+        found = sorted((r.key, r.n) for r in sampling.smallest_rows(rows, "key", n, ties=("n",)).collect())
+        assert found == sorted((k, i) for i, k in enumerate(keys))[:n]
+
+
+def test_few_rows_are_a_heap_in_each_task(spark):
+    plan = ranking.first_rows(spark.range(10_000), 20, ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan
