@@ -1,5 +1,6 @@
 """File and table scans."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,9 +35,60 @@ def read_rows(spark, path, schema):
     return read_csv(spark, path, schema)
 
 
+# Stands behind a line when it is read as the first element of an array: text after the object shows as a wrong element.
+_LINE_END = "\\u0001line end"
+
+
+def _lines(spark, path):
+    """(value, file, block, at): the lines of text files with their place among the rows of a task."""
+    return spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"),
+    )
+
+
+def _is_object(line):
+    """Whether a line is one JSON object and nothing else. Types of its fields do not matter, keys may repeat."""
+    parsed = F.try_parse_json(F.concat(F.lit("["), line, F.lit(f',"{_LINE_END}"]')))
+    closed = F.try_variant_get(parsed, "$[1]", "string") == "\u0001line end"
+    return F.coalesce(closed & F.schema_of_variant(F.try_variant_get(parsed, "$[0]", "variant")).startswith("OBJECT"), F.lit(False))
+
+
+def bad_lines(spark, path):
+    """(file, line, value): the lines of JSON-lines files that are no object, with their numbers from 1; blank lines are none.
+
+    A file may be cut into blocks that many tasks read. Each block counts its lines, sums over the blocks before it give the
+    number of its first line, and only bad lines are numbered.
+    """
+    lines = _lines(spark, path)
+    blocks = lines.groupBy("file", "block").agg(F.count(F.lit(1)).alias("lines"), F.min("at").alias("first"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("before", F.coalesce(F.sum("lines").over(before), F.lit(0))).drop("lines")
+    bad = lines.filter(F.col("value").rlike(r"\S") & ~_is_object(F.col("value")))
+    number = F.col("before") + F.col("at") - F.col("first") + 1
+    return bad.join(blocks, ["file", "block"]).select("file", number.alias("line"), "value")
+
+
+class BadLine(ValueError):
+    """A line of JSON-lines files that is no object: ``file`` and ``line``, counted from 1."""
+
+    def __init__(self, file, line, value):
+        super().__init__(f"{file}, line {line}: no JSON object: {value[:80]!r}")
+        self.file, self.line = file, line
+
+
 def read_jsonl_strict(spark, path, schema):
-    """JSON lines where a line that is no JSON object stops the job."""
-    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    """JSON lines where every line has to be an object: the first one that is not raises ``BadLine`` with file and number.
+
+    All lines are checked when the function is called, which only looks for their ends and brackets. Fields with a value of
+    another type than ``schema`` has are null.
+    """
+    first = bad_lines(spark, path).orderBy("file", "line").limit(1).first()
+    if first:
+        raise BadLine(*first)
+    return read_jsonl(spark, path, schema)
 
 
 def read_jsonl_tolerant(spark, path, schema):

@@ -63,14 +63,37 @@ def test_append_and_replace(spark, tmp_path):
 
 
 def test_strict_lines(spark, tmp_path):
-    (tmp_path / "good").write_text('{"product_id": "1"}\n\n')
-    (tmp_path / "bad").write_text('{"product_id": "1"}\nnot-json\n')
-    (tmp_path / "list").write_text('[1]\n')
-    schema = T.StructType([T.StructField("product_id", T.StringType())])
-    assert readers.read_jsonl_strict(spark, str(tmp_path / "good"), schema).count() == 1
-    for name in ("bad", "list"):
-        with pytest.raises(Exception, match="FAILED_READ_FILE|MALFORMED"):
-            readers.read_jsonl_strict(spark, str(tmp_path / name), schema).collect()
+    (tmp_path / "good").write_text('{"product_id": "1"}\n\n{"product_id": 2, "other": [1]} \n{"product_id": {"a": 1}}\n')
+    schema = T.StructType([T.StructField("product_id", T.StringType()), T.StructField("other", T.LongType())])
+    found = readers.read_jsonl_strict(spark, str(tmp_path / "good"), schema).collect()
+    assert [tuple(row) for row in found] == [("1", None), ("2", None), ('{"a": 1}', None)]
+    bad = ["not-json", "[1]", '"text"', "1", '{"a": 1} x', '{"a": 1} {"b": 2}', '{"a": 1}]', '{"a": 1},{"b": 2}', '{"a"', "}"]
+    for place, line in enumerate(bad):
+        path = tmp_path / f"bad-{place}"
+        path.write_text('{"product_id": "1"}\n' + "\n" * place + line + '\n{"product_id": "2"}\nno\n')
+        with pytest.raises(readers.BadLine) as error:
+            readers.read_jsonl_strict(spark, str(path), schema)
+        assert (error.value.file.endswith(path.name), error.value.line) == (True, place + 2), line
+
+
+def test_places_of_bad_lines_over_blocks_and_files(spark, tmp_path):
+    wanted, folder = [], tmp_path / "lines"
+    folder.mkdir()
+    for name in ("a.jsonl", "b.jsonl", "empty.jsonl"):
+        lines = [json.dumps({"n": n, "text": "ü" * (n % 90)}) for n in range(0 if "empty" in name else 3_000)]
+        for place in range(0, len(lines), 7 if name < "b" else 611):
+            lines[place] = "" if place % 2 else f"bad {place}"
+            if not place % 2:
+                wanted.append((name, place + 1, f"bad {place}"))
+        (folder / name).write_text("".join(line + "\n" for line in lines))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        found = readers.bad_lines(spark, str(folder)).collect()
+        assert spark.read.text(str(folder)).rdd.getNumPartitions() > 10
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted((row.file.rsplit("/", 1)[1], row.line, row.value) for row in found) == sorted(wanted)
 
 
 def test_file_order_over_files(spark, tmp_path):
