@@ -427,4 +427,13 @@ QUERIES["targets_limited"] = f"""SELECT {TARGET_COLUMNS} FROM (SELECT *, cast(ro
         WHERE event_id IN (SELECT event_id FROM product_events ORDER BY event_id LIMIT {RECORD_LIMIT})
         GROUP BY ALL)) WHERE url_rank = 1"""
 
+QUERIES["crawl_stream_resumed"] = f"""SELECT requested_product_id, product_id, source_url, product_name, sku, active, status,
+    failure_reason FROM ({QUERIES["resolve_products"]})"""
+QUERIES["bad_line_places"] = """SELECT line, seq FROM (SELECT seq, status, row_number() OVER (ORDER BY seq) AS line
+    FROM crawl_log) WHERE status = 'crawl_failed'"""
+QUERIES["ip_merge_batches"] = f"""SELECT ip, count(*) AS events, max(event_id) AS last_event, batch FROM (
+    SELECT *, max(batch) OVER (PARTITION BY ip) AS last FROM (
+        SELECT event_id, event_id % 4 AS batch, coalesce(nullif({norm('ip')}, ''), ip) AS ip
+        FROM event_records WHERE ip <> '')) WHERE batch = last GROUP BY ip, batch"""
+
 ORACLE = {name: sql(text) for name, text in QUERIES.items()}

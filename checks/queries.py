@@ -15,7 +15,9 @@ from clickmart.plans import targets as targets_job
 from clickmart.schemas import EVENTS, TARGETS
 from clickmart.session import prepare_session, scratch_path
 from clickmart.sources import readers, writers
+from clickmart.sources.keyed_table import KeyedTable
 from clickmart.streaming.locations import current_locations, location_stream
+from clickmart.streaming.resume import crawl_stream, read_crawl_stream, read_target_stream
 
 STORES = Stores("shop", fallback_domains=D.SHOP_DOMAINS, english_domains=D.SHOP_DOMAINS[:2])
 SAMPLE_SIZE = 1000
@@ -335,6 +337,19 @@ def ip_upsert_stream(spark, sf_dir):
     return current_locations(spark, path).drop("processed_at", "error_message")
 
 
+@query
+def ip_merge_batches(spark, sf_dir):
+    """A keyed table after four batches: each event key's addresses, the later batch wins, an old batch comes twice."""
+    records = ips.with_ip(D.event_records(spark, sf_dir), "ip")
+    table = KeyedTable(spark, scratch_path(spark, "merged"), "ip", splits=8, most_layers=2)
+    for batch_id in (0, 1, 1, 2, 3):
+        part = records.filter(F.col("event_id") % 4 == batch_id)
+        rows = part.groupBy(I.distinct_key(F.col("ip")).alias("ip"))
+        rows = rows.agg(F.count(F.lit(1)).alias("events"), F.max("event_id").alias("last_event"))
+        table.merge(rows.withColumn("batch", F.lit(batch_id).cast("bigint")), batch_id)
+    return table.read()
+
+
 # Pages
 
 
@@ -426,6 +441,25 @@ def resolve_products(spark, sf_dir):
     )
 
 
+@query
+def crawl_stream_resumed(spark, sf_dir):
+    """The same products as ``resolve_products``, crawled by a stream that is stopped and started again.
+
+    The second run finds half of the products of the first one once more, in files of two batches.
+    """
+    wanted = D.part_targets(spark, sf_dir)
+    incoming, out, state = (scratch_path(spark, name) for name in ("incoming", "crawled", "stream"))
+    part = F.pmod(F.xxhash64("product_id"), F.lit(4))
+    for chosen in (part < 2, part > 0):
+        rows = wanted.filter(chosen).select("product_id", "candidate_url")
+        rows = rows.select(*[F.col(f.name) if f.name in rows.columns else F.lit("1").alias(f.name) for f in TARGETS])
+        rows.repartition(2).write.mode("append").options(**readers.CSV_OPTIONS).csv(incoming)
+        stream = read_target_stream(spark, incoming, maxFilesPerTrigger="1")
+        crawl_stream(stream, D.page_snapshot(spark, sf_dir), STORES, out, state).awaitTermination()
+    found = read_crawl_stream(spark, out)
+    return found.select("requested_product_id", "product_id", "source_url", "product_name", "sku", "active", "status", "failure_reason")
+
+
 # Crawl log
 
 
@@ -490,6 +524,17 @@ def strict_jsonl(spark, sf_dir):
     return readers.read_jsonl_strict(spark, path, LOG_FIELDS)
 
 
+@query
+def bad_line_places(spark, sf_dir):
+    """Where lines that are no object stand in one file of the whole log."""
+    path = scratch_path(spark, "places")
+    log = D.crawl_log(spark, sf_dir)
+    line = F.to_json(F.struct(*LOG_FIELDS.fieldNames()))
+    value = F.when(F.col("status") == "crawl_failed", F.concat(line, F.lit(" }"))).otherwise(line)
+    log.orderBy("seq").select(value.alias("value")).coalesce(1).write.text(path)
+    return readers.bad_lines(spark, path).select("line", F.get_json_object("value", "$.seq").cast("bigint").alias("seq"))
+
+
 @query
 def corrupt_line_count(spark, sf_dir):
     """The log as text, where the crawls that failed left a line that is no JSON."""

@@ -119,6 +119,12 @@ def _number(name):
     return F.col(name).try_cast("bigint")
 
 
+def best_target_key():
+    """A struct whose least value per product is the row that ``best_targets_first`` takes."""
+    rank = _number("url_rank")
+    return F.struct(rank.isNull().alias("unranked"), rank.alias("rank"), "candidate_url")
+
+
 def best_targets_first(targets, limit=None):
     """First valid row of each product in rank order; at most ``limit`` products by id."""
     order = [_number("url_rank").asc_nulls_last(), F.col("candidate_url").asc()]

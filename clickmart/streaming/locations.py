@@ -2,22 +2,26 @@
 
 from pyspark.sql import functions as F
 
-from clickmart.operators.ips import distinct_normalized_ips, locate, newest_per_key
+from clickmart.operators.ips import distinct_normalized_ips, locate
 from clickmart.session import prepare_session
+from clickmart.sources.keyed_table import KeyedTable
 
 
-def location_stream(events, order_key, output_path, checkpoint_path, ranges=None, v6_ranges=None):
-    """Locates the addresses of new events and upserts them; stops when all input is read.
+def location_table(spark, output_path, **settings):
+    """The table of located addresses, one row per address."""
+    return KeyedTable(spark, output_path, "ip", **settings)
 
-    A batch only adds a folder with its own rows, replaced when the batch is repeated, so its cost
-    follows the batch and not the table. ``current_locations`` reads the newest row of each address.
+
+def location_stream(events, order_key, output_path, checkpoint_path, ranges=None, v6_ranges=None, **settings):
+    """Locates the addresses of new events and merges them into a table; stops when all input is read.
+
+    What a batch writes follows the batch and not the table, and a batch that is repeated after a loss changes nothing.
     """
 
     def write(batch, batch_id):
-        prepare_session(batch.sparkSession)
+        spark = prepare_session(batch.sparkSession)
         found = distinct_normalized_ips(batch, order_key).select("ip")
-        rows = locate(found, ranges, v6_ranges).filter(F.col("ip") != "")
-        rows.write.mode("overwrite").parquet(f"{output_path}/batch_id={batch_id}")
+        location_table(spark, output_path, **settings).merge(locate(found, ranges, v6_ranges), batch_id)
 
     return (
         events.writeStream.foreachBatch(write)
@@ -29,4 +33,4 @@ def location_stream(events, order_key, output_path, checkpoint_path, ranges=None
 
 def current_locations(spark, output_path):
     """One row per address, the one of the last batch that had it."""
-    return newest_per_key(spark.read.parquet(output_path), "ip", "batch_id").drop("batch_id")
+    return location_table(spark, output_path).read()

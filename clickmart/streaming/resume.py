@@ -1,41 +1,56 @@
 """Resumable crawl as a stream: target files come in, each product is resolved once."""
 
+from pyspark.sql import functions as F
+
 from clickmart.operators.pages import resolve_products
-from clickmart.operators.targets import best_targets_first
+from clickmart.operators.targets import best_target_key, valid_targets
 from clickmart.schemas import PRODUCT_INFO, TARGETS, as_strings
 from clickmart.session import prepare_session
 from clickmart.sources.readers import CSV_OPTIONS
 
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
-def read_target_stream(spark, path):
+def read_target_stream(spark, path, **options):
     """Target CSV files as they arrive."""
-    return spark.readStream.schema(as_strings(TARGETS)).options(**CSV_OPTIONS).csv(path)
+    return spark.readStream.schema(as_strings(TARGETS)).options(**CSV_OPTIONS, **options).csv(path)
+
+
+def new_products(targets):
+    """A streaming frame with one row per product when its first valid target comes in, the best one of that batch.
+
+    The state has one row per product: when it was first seen and its best target then. Time is that of the batch, which a
+    repeated batch keeps, so a product is new in one batch only, also after a restart. Used in update mode.
+    """
+    now = F.current_timestamp()
+    valid = valid_targets(targets).select("product_id", best_target_key().alias("best"), now.alias("at"))
+    seen = valid.groupBy("product_id").agg(
+        F.min(F.struct("at", "best")).alias("first"), F.max("at").alias("last_at")
+    )
+    fresh = F.col("first.at") == F.col("last_at")
+    return seen.select("product_id", "first.best.candidate_url", fresh.alias("is_new"))
 
 
 def crawl_stream(targets, pages, stores, output_path, checkpoint_path, strategy=None, page_order=None):
     """Resolves new targets and stops when all input is read. Run again to go on.
 
-    The rows of a batch go to a folder of their own, which a repeated batch replaces: a restart after
-    a loss neither loses nor doubles rows. Products that an earlier batch wrote are left out.
+    Which products are done is keyed state in the checkpoint (on disk, by RocksDB), so a batch costs what it brings in,
+    whatever was crawled before, and no earlier output is read. The rows of a batch go to a folder of their own, which a
+    repeated batch replaces: a restart after a loss neither loses nor doubles rows.
     """
+    targets.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
 
     def write(batch, batch_id):
-        spark = prepare_session(batch.sparkSession)
-        wanted = best_targets_first(batch)
-        if batch_id:
-            earlier = (
-                spark.read.schema("requested_product_id STRING, batch_id BIGINT")
-                .json(output_path)
-                .filter(f"batch_id < {batch_id}")
-            )
-            done = earlier.selectExpr("requested_product_id AS product_id").distinct()
-            wanted = wanted.join(done, "product_id", "left_anti")
+        prepare_session(batch.sparkSession)
+        wanted = batch.filter("is_new").select("product_id", "candidate_url")
         found = resolve_products(wanted, pages, stores, strategy, page_order=page_order)
         folder = f"{output_path}/batch_id={batch_id}"
         found.write.mode("overwrite").option("ignoreNullFields", "false").json(folder)
 
     return (
-        targets.writeStream.foreachBatch(write)
+        new_products(targets)
+        .writeStream.foreachBatch(write)
+        .outputMode("update")
         .option("checkpointLocation", checkpoint_path)
         .trigger(availableNow=True)
         .start()

@@ -1,3 +1,4 @@
+import pytest
 
 from clickmart.functions.urls import Stores
 from clickmart.streaming.locations import current_locations, location_stream
@@ -27,6 +28,34 @@ def test_crawl_stream_resolves_each_product_once(spark, tmp_path):
     assert len(go()) == 3
 
 
+def test_crawl_stream_goes_on_after_a_loss(spark, tmp_path):
+    """A run that ends in the middle of a batch: its products come once, also with more targets for them later."""
+    incoming, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
+    incoming.mkdir()
+    stores = Stores("shop", ("www.shop.com",), ("www.shop.com",))
+    pages = spark.createDataFrame([], "url STRING, resolved_url STRING, status_code INT, html STRING")
+
+    def lost(*columns):
+        raise RuntimeError("executor lost")
+
+    def go(strategy=None, out=out):
+        targets = read_target_stream(spark, str(incoming), maxFilesPerTrigger="1")
+        crawl_stream(targets, pages, stores, out, state, strategy).awaitTermination()
+        return sorted((r.requested_product_id, r.original_url) for r in read_crawl_stream(spark, out).collect())
+
+    (incoming / "a.csv").write_text(HEADER + "1,u1b,t,s,5,1,1,2\n1,u1,t,s,5,1,1,1\n2,u2,t,s,5,1,1,1\n,u9,t,s,5,1,1,1\n3,,t,s,5,1,1,1\n")
+    assert go() == [("1", "u1"), ("2", "u2")]
+    (incoming / "b.csv").write_text(HEADER + "1,u0,t,s,5,1,1,1\n3,u3,t,s,5,1,1,1\n4,u4,t,s,5,1,1,1\n")
+    with pytest.raises(Exception, match="executor lost"):
+        go(lost)
+    (incoming / "c.csv").write_text(HEADER + "4,u4c,t,s,5,1,1,1\n5,u5,t,s,5,1,1,1\n")
+    wanted = [("1", "u1"), ("2", "u2"), ("3", "u3"), ("4", "u4"), ("5", "u5")]
+    assert go() == wanted
+    # what earlier batches wrote is not looked at: another folder gets what is new
+    (incoming / "d.csv").write_text(HEADER + "1,u1,t,s,5,1,1,1\n6,u6,t,s,5,1,1,1\n")
+    assert go(out=str(tmp_path / "other")) == [("6", "u6")]
+
+
 def test_location_stream_upserts(spark, tmp_path):
     incoming, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
     schema = "n BIGINT, ip STRING"
