@@ -12,6 +12,7 @@ from clickmart.functions.urls import Stores, country_store, url_host
 from clickmart.operators import crawl_log, dictionary, events, export, ips, pages, sampling, targets
 from clickmart.plans import export as export_job
 from clickmart.plans import targets as targets_job
+from clickmart.plans.counters import CrawlCounters
 from clickmart.schemas import EVENTS, TARGETS
 from clickmart.session import prepare_session, scratch_path
 from clickmart.sources import readers, writers
@@ -496,6 +497,26 @@ def crawl_summary_resumed(spark, sf_dir):
     return crawl_log.crawl_totals(log, D.crawl_targets(spark, sf_dir), before)
 
 
+@query
+def crawl_summary_counters(spark, sf_dir):
+    """The summary of the last of three runs, whose counters go on from those of the runs before it."""
+    log, counters = D.crawl_log(spark, sf_dir), CrawlCounters(spark, scratch_path(spark, "counters"), splits=8)
+    for run in range(3):
+        counters.add(log.filter(F.col("seq") % 3 == run), run)
+    counters.add(log.filter("seq % 3 = 1"), 1)  # a run that is added again
+    return counters.totals(D.crawl_targets(spark, sf_dir), 2).join(counters.checkpoint_summary().drop("ok_count", "active_count"))
+
+
+@query
+def status_counts_counters(spark, sf_dir):
+    """Rows per status and per store from counters of two runs."""
+    log, counters = D.crawl_log(spark, sf_dir), CrawlCounters(spark, scratch_path(spark, "counters"), splits=8)
+    for run in range(2):
+        counters.add(log.filter(F.col("seq") % 2 == run), run)
+    named = counters.status_counts().select(F.lit("status").alias("kind"), F.col("status").alias("value"), "rows")
+    return named.unionAll(counters.country_store_counts().select(F.lit("store"), "country_store", "rows"))
+
+
 @query
 def failed_targets(spark, sf_dir):
     return crawl_log.failed_targets(D.crawl_log(spark, sf_dir), D.crawl_targets(spark, sf_dir))

@@ -16,7 +16,7 @@ def _status():
     return F.coalesce(F.col("status"), F.lit(NO_STATUS))
 
 
-def _is_bad_line(log):
+def is_bad_line(log):
     return F.col(BAD_LINE).isNotNull() if BAD_LINE in log.columns else F.lit(False)
 
 
@@ -40,7 +40,7 @@ def checkpoint_summary(log, targets=None):
     Counted per product first, so no task has to hold all product ids.
     """
     named = F.col("requested_product_id").isNotNull()
-    bad = ~named & _is_bad_line(log)
+    bad = ~named & is_bad_line(log)
     per_product = log.filter(named | bad).groupBy("requested_product_id").agg(
         F.count_if(named).alias("rows"),
         F.count_if(named & (F.col("status") == OK)).alias("ok"),
@@ -132,6 +132,11 @@ def crawl_totals(log, targets, done_before=None):
     else:
         before = done_before.select("product_id").distinct().withColumn("was_done", F.lit(True))
         both = both.join(before, "product_id", "left")
+    return summed_up(both)
+
+
+def summed_up(both):
+    """Counts and rates of a crawl from one row per product: rows, ok, active, was_done and is_target, any of them null."""
     was_done = F.coalesce("was_done", F.lit(False))
     is_target = F.coalesce("is_target", F.lit(False))
     crawled = F.col("rows").isNotNull()

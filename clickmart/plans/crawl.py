@@ -9,6 +9,7 @@ from clickmart.metrics import counted, rows_of
 from clickmart.operators import crawl_log as log_ops
 from clickmart.operators.pages import resolve_products
 from clickmart.operators.targets import best_targets_first
+from clickmart.plans.counters import CrawlCounters
 from clickmart.schemas import FAILED_TARGET_FIELDS, PRODUCT_INFO
 from clickmart.session import prepare_session, stored
 from clickmart.sources.readers import read_jsonl_tolerant, with_file_order
@@ -52,11 +53,13 @@ def run(
     page_order=None,
     summary_path=None,
     counts_path=None,
+    counters_path=None,
 ):
     """Resolves the targets, adds them to the log at ``output_path`` and returns the run summary.
 
     With ``resume`` targets that have a row in the log are left out and the new rows are appended. Stores may be many
-    (any other host is one), so their counts, like those per status, are tables below ``counts_path``.
+    (any other host is one), so their counts, like those per status, are tables below ``counts_path``. With ``counters_path`` the counters of all runs are kept there: which products
+    are done and what the log adds up to is then read from them, and only rows of this run are counted.
     """
     spark = prepare_session(targets.sparkSession)
     started = time.monotonic()
@@ -65,7 +68,18 @@ def run(
     before = {"row_count": 0, "invalid_line_count": 0}
     done = None
     pending = wanted
-    if resuming:
+    counters, number = None, 0
+    if counters_path:
+        counters = CrawlCounters(spark, counters_path)
+        if not resuming and counters.next_run():
+            raise ValueError("counters_path has the counters of another crawl; resume that one or take a new path")
+        if resuming and not counters.next_run():
+            counters.add(stored_log(spark, output_path), 0)
+        number = counters.next_run()
+    if resuming and counters:
+        before = counters.checkpoint_summary().first().asDict()
+        pending = wanted.join(counters.product_ids(), "product_id", "left_anti")
+    elif resuming:
         log = stored_log(spark, output_path)
         before = log_ops.checkpoint_summary(log).first().asDict()
         done = stored(
@@ -73,10 +87,16 @@ def run(
         )
         pending = wanted.join(done, "product_id", "left_anti")
     found = resolve_products(pending, pages, stores, strategy, page_order=page_order)
+    if counters:
+        found = stored(found, "crawled")
     write_jsonl(found, output_path, mode="append" if resuming else "overwrite")
 
     log = stored_log(spark, output_path)
-    totals = log_ops.crawl_totals(log, wanted, done).first().asDict()
+    if counters:
+        counters.add(found, number)
+        totals = counters.totals(wanted, number).first().asDict()
+    else:
+        totals = log_ops.crawl_totals(log, wanted, done).first().asDict()
     failed = log_ops.failed_targets(log, wanted)
     if failed_path:
         report, written = counted(failed.orderBy("product_id"), "failed_targets")
@@ -86,8 +106,10 @@ def run(
         failed_count = failed.count()
     if counts_path:
         rows = log_ops.logged(log)
-        write_jsonl(log_ops.status_counts(rows), f"{counts_path}/status_counts")
-        write_jsonl(log_ops.country_store_counts(rows), f"{counts_path}/country_store_counts")
+        status = counters.status_counts() if counters else log_ops.status_counts(rows)
+        store = counters.country_store_counts() if counters else log_ops.country_store_counts(rows)
+        write_jsonl(status, f"{counts_path}/status_counts")
+        write_jsonl(store, f"{counts_path}/country_store_counts")
     summary = {
         "stage": "crawl_products",
         "resume": resume,

@@ -1,7 +1,8 @@
 """A table with one row per key that batches are merged into: the writes of a batch follow the batch, not the table.
 
-Rows are dealt to splits by a hash of their key. A batch adds one layer of Parquet files to the splits that it has rows for;
-a split with more than ``most_layers`` of them, or whose layers hold more rows than its base, is written anew as one base. A
+Rows are dealt to splits by a hash of their key. A batch adds one layer of Parquet files to the splits that it has rows for. A
+split with more than ``most_layers`` of them gets one layer for all but its first, the base, or a new base where the others
+have grown to half of it; so a key is written again a number of times that grows with the logarithm of the table only. A
 manifest names the layers of every split, oldest first. It is put in its place by one rename when all files are there, so
 a reader sees all of a batch or nothing of it, and goes on with the files of its manifest while the next ones are written.
 Files that no manifest of the last ``keep_versions`` names are removed by ``clean``.
@@ -118,20 +119,21 @@ class KeyedTable:
             layers.setdefault(split, []).append({"version": version, "rows": count})
         written = sum(added.values())
 
-        full = {split: each for split, each in layers.items() if split in added and self._is_full(each)}
+        full = {split: self._to_merge(each) for split, each in layers.items() if split in added and len(each) > self.most_layers}
         if full:
             version += 1
             self._write(self._newest(self._layers(full, schema)), splits, version)
             sizes = self._sizes(version, schema)
-            for split in full:
-                layers[split] = [{"version": version, "rows": sizes[split]}]
+            for split, merged in full.items():
+                layers[split][-len(merged) :] = [{"version": version, "rows": sizes[split]}]
             written += sum(sizes.values())
         self._publish({"version": version, "batch": batch_id, "splits": splits, "schema": schema, "layers": layers})
         self.clean()
         return written
 
-    def _is_full(self, layers):
-        return len(layers) > self.most_layers or len(layers) > 1 and sum(layer["rows"] for layer in layers[1:]) > layers[0]["rows"]
+    def _to_merge(self, layers):
+        """All layers of a split where the later ones have half as many rows as the base, else the later ones."""
+        return layers if 2 * sum(layer["rows"] for layer in layers[1:]) >= layers[0]["rows"] or len(layers) == 2 else layers[1:]
 
     def _write(self, rows, splits, version):
         """One file per split. A trial of an earlier writer that did not get as far as its manifest is replaced."""

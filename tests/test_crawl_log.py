@@ -1,10 +1,13 @@
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from clickmart.functions.urls import Stores
 from clickmart.operators import crawl_log as L
 from clickmart.plans import crawl as job
+from clickmart.plans.counters import CrawlCounters
 from clickmart.schemas import FAILED_TARGET_FIELDS, PRODUCT_INFO
 from clickmart.sources.readers import read_jsonl_tolerant, with_file_order
 
@@ -118,3 +121,62 @@ def test_crawl_job_resumes(spark, tmp_path):
     assert report.columns == FAILED_TARGET_FIELDS and [r.product_id for r in report.collect()] == ["2"]
     fresh = job.run(targets, pages, stores, out)
     assert (fresh["processed_count"], fresh["skipped_checkpoint_count"]) == (3, 0)
+
+
+def counted_log(spark, *rows):
+    schema = "requested_product_id STRING, status STRING, active BOOLEAN, country_store STRING, _corrupt_record STRING, seq INT"
+    return spark.createDataFrame([(*row, n) for n, row in enumerate(rows)], schema)
+
+
+def test_counters_equal_a_recount(spark, tmp_path):
+    runs = [
+        [("1", "ok", True, "ie", None), ("2", "crawl_failed", False, "", None), (None, None, None, None, "bad"), ("1", "ok", True, "de", None)],
+        [],
+        [("2", "ok", None, "ie", None), ("3", None, False, None, None), (None, None, None, "ie", "bad"), ("4", "ok", True, "fr", None)],
+    ]
+    counters = CrawlCounters(spark, tmp_path / "counters", splits=2)
+    assert (counters.next_run(), counters.product_ids().count(), counters.status_counts().count()) == (0, 0, 0)
+    targets = spark.createDataFrame([("1",), ("3",), ("9",), ("9",)], "product_id STRING")
+    for run, rows in enumerate(runs):
+        for _ in range(2):  # adding a run again changes nothing
+            counters.add(counted_log(spark, *rows), run)
+        whole = counted_log(spark, *[row for each in runs[: run + 1] for row in each])
+        before = counted_log(spark, *[row for each in runs[:run] for row in each])
+        done = L.logged(before).selectExpr("requested_product_id AS product_id")
+        assert counters.next_run() == run + 1
+        assert counters.checkpoint_summary().first() == L.checkpoint_summary(whole).first()
+        assert counters.totals(targets, run).first() == L.crawl_totals(whole, targets, done).first()
+        for mine, wanted in ((counters.status_counts(), L.status_counts(L.logged(whole))), (counters.country_store_counts(), L.country_store_counts(L.logged(whole)))):
+            assert sorted(map(tuple, mine.collect())) == sorted(map(tuple, wanted.collect()))
+
+
+def test_loss_between_the_tables_of_the_counters(spark, tmp_path):
+    counters = CrawlCounters(spark, tmp_path / "counters", splits=1)
+    rows = counted_log(spark, ("1", "ok", True, "ie", None))
+
+    def lost(*_):
+        raise RuntimeError("driver lost")
+
+    counters.sums.merge = lost
+    with pytest.raises(RuntimeError):
+        counters.add(rows, 0)
+    again = CrawlCounters(spark, tmp_path / "counters", splits=1)
+    again.add(rows, again.next_run())
+    assert again.checkpoint_summary().first() == L.checkpoint_summary(rows).first()
+    assert [tuple(row) for row in again.status_counts().collect()] == [("ok", 1)]
+
+
+def test_job_with_counters(spark, tmp_path):
+    out, path = str(tmp_path / "out"), str(tmp_path / "counters")
+    targets = spark.createDataFrame([(str(n), f"https://www.shop.com/{n}", "1", "1") for n in range(5)], f"{TARGETS}, url_rank STRING, event_count STRING")
+    pages = spark.createDataFrame([], "url STRING, resolved_url STRING, status_code INT, html STRING")
+    stores = Stores("shop", ("www.shop.com",), ("www.shop.com",))
+    same = ["target_count", "pending_target_count", "skipped_checkpoint_count", "remaining_count", "processed_count", "processed_this_run_count", "checkpoint_row_count", "failed_target_count"]
+    for limit, wanted in ((2, [2, 2, 0, 0, 2, 2, 0, 2]), (4, [4, 2, 2, 0, 4, 2, 2, 4]), (4, [4, 0, 4, 0, 4, 0, 4, 4])):
+        summary = job.run(targets, pages, stores, out, limit=limit, resume=True, counters_path=path)
+        assert [summary[name] for name in same] == wanted
+    # counters that begin with a log of earlier runs
+    summary = job.run(targets, pages, stores, out, resume=True, counters_path=str(tmp_path / "later"))
+    assert [summary[name] for name in same] == [5, 1, 4, 0, 5, 1, 4, 5]
+    with pytest.raises(ValueError, match="another crawl"):
+        job.run(targets, pages, stores, str(tmp_path / "new"), resume=True, counters_path=path)
