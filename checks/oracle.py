@@ -430,9 +430,7 @@ QUERIES["targets_limited"] = f"""SELECT {TARGET_COLUMNS} FROM (SELECT *, cast(ro
 QUERIES["crawl_stream_resumed"] = f"""SELECT requested_product_id, product_id, source_url, product_name, sku, active, status,
     failure_reason FROM ({QUERIES["resolve_products"]})"""
 QUERIES["crawl_summary_counters"] = QUERIES["crawl_summary_resumed"].replace("WHERE status = 'ok')) AS done", "WHERE seq % 3 < 2)) AS done")
-QUERIES["crawl_summary_counters"] = f"""SELECT * FROM ({QUERIES["crawl_summary_counters"]}),
-    (SELECT count(DISTINCT requested_product_id) AS product_count, count(*) AS row_count,
-        cast(0 as bigint) AS invalid_line_count FROM crawl_log)"""
+QUERIES["checkpoint_summary_counters"] = QUERIES["corrupt_line_count"]
 QUERIES["status_counts_counters"] = """SELECT 'status' AS kind, status AS value, count(*) AS rows FROM crawl_log GROUP BY status
     UNION ALL SELECT 'store', country_store, count(*) FROM crawl_log WHERE country_store <> '' GROUP BY country_store"""
 QUERIES["bad_line_places"] = """SELECT line, seq FROM (SELECT seq, status, row_number() OVER (ORDER BY seq) AS line

@@ -504,7 +504,19 @@ def crawl_summary_counters(spark, sf_dir):
     for run in range(3):
         counters.add(log.filter(F.col("seq") % 3 == run), run)
     counters.add(log.filter("seq % 3 = 1"), 1)  # a run that is added again
-    return counters.totals(D.crawl_targets(spark, sf_dir), 2).join(counters.checkpoint_summary().drop("ok_count", "active_count"))
+    return counters.totals(D.crawl_targets(spark, sf_dir), 2)
+
+
+@query
+def checkpoint_summary_counters(spark, sf_dir):
+    """The checkpoint summary of a log with unreadable lines, from counters of two runs."""
+    log, counters = D.crawl_log(spark, sf_dir), CrawlCounters(spark, scratch_path(spark, "counters"), splits=8)
+    bad = F.col("status") == "crawl_failed"
+    lines = log.withColumn(readers.BAD_LINE, F.when(bad, F.lit("not-json")))
+    lines = lines.withColumn("requested_product_id", F.when(~bad, F.col("requested_product_id")))
+    for run in range(2):
+        counters.add(lines.filter(F.col("seq") % 2 == run), run)
+    return counters.checkpoint_summary()
 
 
 @query

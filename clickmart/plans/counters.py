@@ -77,12 +77,20 @@ class CrawlCounters:
 
     def checkpoint_summary(self):
         """What ``crawl_log.checkpoint_summary`` says of the whole log."""
-        sums = self._products().agg(
-            F.count(F.lit(1)).alias("product_count"),
-            *[F.coalesce(F.sum(name), F.lit(0)).alias(f"{name.removesuffix('s')}_count") for name in COUNTS],
+        none = F.lit(0).cast("bigint")
+        products = self._products().select(F.lit(1).cast("bigint").alias("product"), "rows", "ok", "active", none.alias("bad"))
+        bad = self._sums("bad line").select(none, none, none, none, "rows")
+
+        def total(name):
+            return F.coalesce(F.sum(name), none)
+
+        return products.unionAll(bad).agg(
+            total("product").alias("product_count"),
+            total("rows").alias("row_count"),
+            total("ok").alias("ok_count"),
+            total("active").alias("active_count"),
+            total("bad").alias("invalid_line_count"),
         )
-        bad = self._sums("bad line").agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("invalid_line_count"))
-        return sums.join(bad)  # one row each
 
     def totals(self, targets, run):
         """What ``crawl_log.crawl_totals`` says of the whole log, for run ``run``: products of earlier runs were done before."""
