@@ -433,6 +433,8 @@ QUERIES["crawl_summary_counters"] = QUERIES["crawl_summary_resumed"].replace("WH
 QUERIES["checkpoint_summary_counters"] = QUERIES["corrupt_line_count"]
 QUERIES["status_counts_counters"] = """SELECT 'status' AS kind, status AS value, count(*) AS rows FROM crawl_log GROUP BY status
     UNION ALL SELECT 'store', country_store, count(*) FROM crawl_log WHERE country_store <> '' GROUP BY country_store"""
+QUERIES["crawl_stream_counts"] = f"""SELECT count(*) AS rows, count(*) FILTER (active) AS ok
+    FROM ({QUERIES["resolve_products"]})"""
 QUERIES["bad_line_places"] = """SELECT line, seq FROM (SELECT seq, status, row_number() OVER (ORDER BY seq) AS line
     FROM crawl_log) WHERE status = 'crawl_failed'"""
 QUERIES["ip_merge_batches"] = f"""SELECT ip, count(*) AS events, max(event_id) AS last_event, batch FROM (

@@ -9,6 +9,7 @@ from clickmart.functions import ip as I
 from clickmart.functions import payload as P
 from clickmart.functions.text import clean_text
 from clickmart.functions.urls import Stores, country_store, url_host
+from clickmart.metrics import BatchCounts
 from clickmart.operators import crawl_log, dictionary, events, export, ips, pages, sampling, targets
 from clickmart.plans import export as export_job
 from clickmart.plans import targets as targets_job
@@ -442,12 +443,8 @@ def resolve_products(spark, sf_dir):
     )
 
 
-@query
-def crawl_stream_resumed(spark, sf_dir):
-    """The same products as ``resolve_products``, crawled by a stream that is stopped and started again.
-
-    The second run finds half of the products of the first one once more, in files of two batches.
-    """
+def _crawled(spark, sf_dir, counts=None):
+    """Output of a crawl stream that was stopped and started again."""
     wanted = D.part_targets(spark, sf_dir)
     incoming, out, state = (scratch_path(spark, name) for name in ("incoming", "crawled", "stream"))
     part = F.pmod(F.xxhash64("product_id"), F.lit(4))
@@ -456,7 +453,26 @@ def crawl_stream_resumed(spark, sf_dir):
         rows = rows.select(*[F.col(f.name) if f.name in rows.columns else F.lit("1").alias(f.name) for f in TARGETS])
         rows.repartition(2).write.mode("append").options(**readers.CSV_OPTIONS).csv(incoming)
         stream = read_target_stream(spark, incoming, maxFilesPerTrigger="1")
-        crawl_stream(stream, D.page_snapshot(spark, sf_dir), STORES, out, state).awaitTermination()
+        crawl_stream(stream, D.page_snapshot(spark, sf_dir), STORES, out, state, counts_path=counts).awaitTermination()
+    return out
+
+
+@query
+def crawl_stream_counts(spark, sf_dir):
+    """What the batches of both runs have counted while they were written."""
+    counts = scratch_path(spark, "counts")
+    _crawled(spark, sf_dir, counts)
+    found = BatchCounts(spark, counts).read()
+    return found.agg(F.sum("rows").alias("rows"), F.sum("ok").alias("ok"))
+
+
+@query
+def crawl_stream_resumed(spark, sf_dir):
+    """The same products as ``resolve_products``, crawled by a stream that is stopped and started again.
+
+    The second run finds half of the products of the first one once more, in files of two batches.
+    """
+    out = _crawled(spark, sf_dir)
     found = read_crawl_stream(spark, out)
     return found.select("requested_product_id", "product_id", "source_url", "product_name", "sku", "active", "status", "failure_reason")
 

@@ -2,11 +2,13 @@
 
 from pyspark.sql import functions as F
 
-from clickmart.operators.pages import resolve_products
+from clickmart.metrics import BatchCounts
+from clickmart.operators.pages import OK, resolve_products
 from clickmart.operators.targets import best_target_key, valid_targets
 from clickmart.schemas import PRODUCT_INFO, TARGETS, as_strings
 from clickmart.session import prepare_session
 from clickmart.sources.readers import CSV_OPTIONS
+from clickmart.sources.writers import write_jsonl
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -31,21 +33,28 @@ def new_products(targets):
     return seen.select("product_id", "first.best.candidate_url", fresh.alias("is_new"))
 
 
-def crawl_stream(targets, pages, stores, output_path, checkpoint_path, strategy=None, page_order=None):
+def crawl_stream(targets, pages, stores, output_path, checkpoint_path, strategy=None, page_order=None, counts_path=None):
     """Resolves new targets and stops when all input is read. Run again to go on.
 
     Which products are done is keyed state in the checkpoint (on disk, by RocksDB), so a batch costs what it brings in,
     whatever was crawled before, and no earlier output is read. The rows of a batch go to a folder of their own, which a
-    repeated batch replaces: a restart after a loss neither loses nor doubles rows.
+    repeated batch replaces: a restart after a loss neither loses nor doubles rows. With ``counts_path`` the rows of each batch
+    and the products found are counted while they are written, and stored there (``metrics.BatchCounts``).
     """
     targets.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
 
     def write(batch, batch_id):
-        prepare_session(batch.sparkSession)
+        spark = prepare_session(batch.sparkSession)
         wanted = batch.filter("is_new").select("product_id", "candidate_url")
         found = resolve_products(wanted, pages, stores, strategy, page_order=page_order)
-        folder = f"{output_path}/batch_id={batch_id}"
-        found.write.mode("overwrite").option("ignoreNullFields", "false").json(folder)
+
+        def save(rows):
+            write_jsonl(rows, f"{output_path}/batch_id={batch_id}")
+
+        if counts_path:
+            BatchCounts(spark, counts_path).write(found, batch_id, save, ok=F.count_if(F.col("status") == OK))
+        else:
+            save(found)
 
     return (
         new_products(targets)

@@ -1,6 +1,7 @@
 import pytest
 
 from clickmart.functions.urls import Stores
+from clickmart.metrics import BatchCounts
 from clickmart.streaming.locations import current_locations, location_stream
 from clickmart.streaming.resume import crawl_stream, read_crawl_stream, read_target_stream
 
@@ -35,12 +36,14 @@ def test_crawl_stream_goes_on_after_a_loss(spark, tmp_path):
     stores = Stores("shop", ("www.shop.com",), ("www.shop.com",))
     pages = spark.createDataFrame([], "url STRING, resolved_url STRING, status_code INT, html STRING")
 
+    counts = str(tmp_path / "counts")
+
     def lost(*columns):
         raise RuntimeError("executor lost")
 
     def go(strategy=None, out=out):
         targets = read_target_stream(spark, str(incoming), maxFilesPerTrigger="1")
-        crawl_stream(targets, pages, stores, out, state, strategy).awaitTermination()
+        crawl_stream(targets, pages, stores, out, state, strategy, counts_path=counts).awaitTermination()
         return sorted((r.requested_product_id, r.original_url) for r in read_crawl_stream(spark, out).collect())
 
     (incoming / "a.csv").write_text(HEADER + "1,u1b,t,s,5,1,1,2\n1,u1,t,s,5,1,1,1\n2,u2,t,s,5,1,1,1\n,u9,t,s,5,1,1,1\n3,,t,s,5,1,1,1\n")
@@ -51,6 +54,9 @@ def test_crawl_stream_goes_on_after_a_loss(spark, tmp_path):
     (incoming / "c.csv").write_text(HEADER + "4,u4c,t,s,5,1,1,1\n5,u5,t,s,5,1,1,1\n")
     wanted = [("1", "u1"), ("2", "u2"), ("3", "u3"), ("4", "u4"), ("5", "u5")]
     assert go() == wanted
+    stored = BatchCounts(spark, counts).read().collect()
+    written = read_crawl_stream(spark, out).groupBy("batch_id").count()
+    assert {row.batch: row["rows"] for row in stored if row["rows"]} == {row.batch_id: row["count"] for row in written.collect()}
     # what earlier batches wrote is not looked at: another folder gets what is new
     (incoming / "d.csv").write_text(HEADER + "1,u1,t,s,5,1,1,1\n6,u6,t,s,5,1,1,1\n")
     assert go(out=str(tmp_path / "other")) == [("6", "u6")]
