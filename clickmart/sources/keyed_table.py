@@ -20,9 +20,12 @@ VERSION_DIGITS = 12
 
 
 class KeyedTable:
-    """``path`` is any folder that Spark reads and that renames whole files (HDFS and its like, local folders)."""
+    """``path`` is any folder that Spark reads and that renames whole files (HDFS and its like, local folders).
 
-    def __init__(self, spark, path, key, splits=64, most_layers=8, keep_versions=4):
+    ``splits`` is fixed when a table begins: choose it so that a split of the grown table fits a task.
+    """
+
+    def __init__(self, spark, path, key, splits=16, most_layers=8, keep_versions=4):
         self.spark, self.path, self.key = spark, str(path).rstrip("/"), key
         self.splits, self.most_layers, self.keep_versions = splits, most_layers, keep_versions
 
