@@ -34,7 +34,7 @@ def pieces(docs, tokenizer, limit=LIMIT, text="text"):
             [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
         )
         for table in row_groups(batches, text, 4 << 20):
-            ids, lengths = encoder_of(tokenizer).encode(table.column(text).to_pylist(), end=0)
+            ids, lengths = encoder_of(tokenizer).encode(table.column(text), end=0)
             ids = ids.astype("<u4")
             ends = np.cumsum(lengths)
             rows = []

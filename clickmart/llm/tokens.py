@@ -3,8 +3,10 @@
 import os
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-PIECES = 700_000
+KNOWN_BYTES = 48 << 20
 _TAIL = ".,;:!?"
 _RUN = 100
 
@@ -23,13 +25,30 @@ def encoder_of(shared):
     return box["encoder"]
 
 
+def _strings(texts):
+    if isinstance(texts, pa.ChunkedArray):
+        texts = texts.combine_chunks()
+    return texts.cast(pa.large_string()) if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
+
+
+def _numbers(column):
+    return column.to_numpy(zero_copy_only=False)
+
+
+def _gather(flat, starts, sizes):
+    """``sizes`` values of ``flat`` from each start, one after the other."""
+    places = np.concatenate(([0], np.cumsum(sizes)))
+    return flat[np.repeat(starts - places[:-1], sizes) + np.arange(places[-1])]
+
+
 class PieceEncoder:
     """Encodes texts with a tokenizer file whose tokens never span a blank between two other characters.
 
     A text is cut at its blanks. A piece that neither begins nor ends with white space is encoded once (with its
-    leading blank where the tokenizer keeps blanks) and remembered; when ``PIECES`` are known the memory starts anew. A
-    text with any other piece goes to the tokenizer whole, so that the ids are always those of the whole text. Texts
-    that hold names of special tokens are ordinary texts.
+    leading blank where the tokenizer keeps blanks) and remembered; letters and the punctuation after them never share a
+    token, so each is looked up. When more than ``KNOWN_BYTES`` are known the memory starts anew. A text with any other
+    piece goes to the tokenizer whole, so that the ids are always those of the whole text. Texts that hold names of
+    special tokens are ordinary texts. Pieces are split, made distinct and looked up as Arrow arrays.
     """
 
     def __init__(self, definition, keeps_blanks):
@@ -39,131 +58,122 @@ class PieceEncoder:
         self._tokenizer = Tokenizer.from_str(definition)
         self._tokenizer.encode_special_tokens = True
         self._blank = " " if keeps_blanks else ""
+        between = f" \0{'' if keeps_blanks else ' '}"
+        one, two = self._many([f"{self._blank}a", f"{self._blank}a{between}{self._blank}a"])
+        self._between, self._mark = between, two[len(one) : -len(one)]
         self._forget()
 
     def _forget(self):
-        self._known, self._new, self._offset, self._tails = _Known(self), [], 0, {}
+        self._names, self._tails = pa.array([], pa.large_string()), {}
         self._flat, self._starts, self._sizes = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
 
     def _many(self, texts):
-        return [found.ids for found in self._tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return [found.ids for found in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _separate(self, pieces):
-        """Ids of pieces that begin with the tokenizer's blank, many to a call, with a NUL character between them."""
-        between = f" \0{' ' if not self._blank else ''}"
-        one = self._many([f"{self._blank}a", f"{self._blank}a{between}{self._blank}a"])
-        mark = one[1][len(one[0]) : -len(one[0])]
-        plain = [piece for piece in pieces if "\0" not in piece]
-        runs = [plain[n : n + _RUN] for n in range(0, len(plain), _RUN)]
-        found = {}
-        for run, ids in zip(runs, self._many([between.join(run) for run in runs]), strict=True):
+        """Arrays of ids, and the number of ids of each piece: many pieces to a call, with a NUL character between them."""
+        runs = [pieces[n : n + _RUN] for n in range(0, len(pieces), _RUN)]
+        flat, sizes = [], []
+        texts = [self._between.join(run) for run in runs]
+        for run, text, ids in zip(runs, texts, self._many(texts), strict=True):
             ids = np.array(ids, np.uint32)
-            ends = np.append(np.flatnonzero(ids == mark[-1]) + 1 - len(mark), len(ids))
-            starts = np.concatenate(([0], ends[:-1] + len(mark)))
-            if len(ends) == len(run):
-                found.update(zip(run, (ids[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)), strict=True))
-        rest = [piece for piece in pieces if piece not in found]
-        found.update(zip(rest, (np.array(ids, np.uint32) for ids in self._many(rest)), strict=True))
-        return [found[piece] for piece in pieces]
-
-    def _add(self, entries, rows):
-        """Appends the ids of entries to the bank."""
-        sizes = np.fromiter(map(len, rows), np.int64, len(rows))
-        self._starts[entries] = len(self._flat) + np.cumsum(sizes) - sizes
-        self._sizes[entries] = sizes
-        self._flat = np.concatenate([self._flat, *rows])
-
-    def _gather(self, starts, sizes):
-        """The bank's ids from each start, one after the other."""
-        places = np.concatenate(([0], np.cumsum(sizes)))
-        return self._flat[np.repeat(starts - places[:-1], sizes) + np.arange(places[-1])]
-
-    def _learn(self):
-        """Ids of the new pieces. Letters and the punctuation after them never share a token, so each is looked up."""
-        new, self._new = self._new, []
-        if not new:
-            return
-        first, whole, cores, tails, parted = [], [], [], [], []
-        number, self._offset = len(self._starts), len(new)
-        for entry, key in enumerate(new, number):
-            if isinstance(key, tuple):
-                first.append((entry, key[0]))
-                continue
-            core = key.rstrip(_TAIL)
-            if len(core) < len(key) and core and core[-1].isalpha():
-                parted.append(entry)
-                cores.append(self._known[core])
-                tails.append(key[len(core) :])
+            ends = np.flatnonzero(ids == self._mark[-1]) + 1
+            if len(ends) == text.count("\0") == len(run) - 1:
+                marks = (ends[:, None] - np.arange(1, len(self._mark) + 1)).reshape(-1)
+                flat.append(np.delete(ids, marks))
+                sizes.append(np.diff(ends - len(self._mark), prepend=0, append=len(ids)) - len(self._mark) * (np.arange(len(run)) > 0))
             else:
-                whole.append((entry, self._blank + key))
-        whole += [(number + len(new) + n, self._blank + key) for n, key in enumerate(self._new)]
-        size = number + len(new) + len(self._new)
-        self._new, self._offset = [], 0
-        self._starts, self._sizes = (np.concatenate([x, np.zeros(size - number, np.int64)]) for x in (self._starts, self._sizes))
-        if first:
-            self._add([e for e, _ in first], [np.array(x, np.uint32) for x in self._many([k for _, k in first])])
-        if whole:
-            self._add([e for e, _ in whole], self._separate([k for _, k in whole]))
-        if parted:
-            for tail in set(tails) - self._tails.keys():
-                ids = np.array(self._many([tail])[0], np.uint32)
-                self._tails[tail] = len(self._flat), len(ids)
-                self._flat = np.concatenate([self._flat, ids])
-            starts, sizes = np.empty(2 * len(parted), np.int64), np.empty(2 * len(parted), np.int64)
-            starts[::2], sizes[::2] = self._starts[cores], self._sizes[cores]
-            starts[1::2], sizes[1::2] = np.array([self._tails[tail] for tail in tails]).T
-            both = sizes[::2] + sizes[1::2]
-            self._starts[parted] = len(self._flat) + np.cumsum(both) - both
-            self._sizes[parted] = both
-            self._flat = np.concatenate([self._flat, self._gather(starts, sizes)])
+                rows = self._many(run)
+                flat += [np.array(row, np.uint32) for row in rows]
+                sizes.append(np.fromiter(map(len, rows), np.int64, len(rows)))
+        return flat, np.concatenate(sizes)
+
+    def _keep(self, flat, sizes):
+        """Adds ids to the bank; where those of each piece begin."""
+        starts = len(self._flat) + np.cumsum(sizes) - sizes
+        self._flat = np.concatenate([self._flat, *flat])
+        return starts
+
+    def _numbers_of(self, names):
+        """Places of distinct names among the known ones; learns the others."""
+        found = pc.index_in(names, value_set=self._names)
+        new = names.filter(pc.is_null(found))
+        places = _numbers(pc.fill_null(found, -1)).astype(np.int64)
+        if len(new):
+            places[places < 0] = len(self._names) + np.arange(len(new))
+            flat, sizes = self._separate([self._blank + name for name in new.to_pylist()])
+            self._starts = np.concatenate([self._starts, self._keep(flat, sizes)])
+            self._sizes = np.concatenate([self._sizes, sizes])
+            self._names = pa.concat_arrays([self._names, new])
+        return places
+
+    def _tail(self, tail):
+        if tail not in self._tails:
+            ids = np.array(self._many([tail])[0], np.uint32)
+            self._tails[tail] = self._keep([ids], np.array([len(ids)]))[0], len(ids)
+        return self._tails[tail]
+
+    def _entries(self, pieces):
+        """Of distinct pieces: which can't be encoded alone; the ids of the others in a row; the number of each one's ids."""
+        ends = pc.or_(pc.utf8_is_space(pc.utf8_slice_codeunits(pieces, 0, 1)), pc.utf8_is_space(pc.utf8_slice_codeunits(pieces, -1)))
+        apart = pc.or_(ends, pc.equal(pc.binary_length(pieces), 0))
+        good = pieces.filter(pc.invert(apart))
+        cores = pc.utf8_rtrim(good, characters=_TAIL)
+        cut = _numbers(pc.subtract(pc.binary_length(good), pc.binary_length(cores)))
+        parted = (cut > 0) & _numbers(pc.utf8_is_alpha(pc.utf8_slice_codeunits(cores, -1)))
+        names = pc.if_else(pa.array(parted), cores, good).dictionary_encode()
+        at = self._numbers_of(names.dictionary)[_numbers(names.indices)]
+        starts, sizes = np.zeros((len(good), 2), np.int64), np.zeros((len(good), 2), np.int64)
+        starts[:, 0], sizes[:, 0] = self._starts[at], self._sizes[at]
+        for size in np.unique(cut[parted]).tolist():
+            rows = np.flatnonzero(parted & (cut == size))
+            tails = pc.utf8_slice_codeunits(good.take(pa.array(rows)), -size).dictionary_encode()
+            known = np.array([self._tail(tail) for tail in tails.dictionary.to_pylist()], np.int64)
+            starts[rows, 1], sizes[rows, 1] = known[_numbers(tails.indices)].T
+        apart = _numbers(apart)
+        counts = np.zeros(len(pieces), np.int64)
+        counts[~apart] = sizes.sum(1)
+        return apart, _gather(self._flat, starts.reshape(-1), sizes.reshape(-1)), counts
 
     def encode(self, texts, end=None):
         """All ids of ``texts`` (None counts as empty) in one array and the number per text; ``end`` closes each text."""
-        if len(self._known) > PIECES:
+        if self._names.nbytes + self._flat.nbytes + 2 * self._sizes.nbytes > KNOWN_BYTES:
             self._forget()
-        keys, counts = [], []
-        for text in texts:
-            if text:
-                first, *rest = text.split(" ")
-                keys.append((first,))
-                keys += rest
-                counts.append(1 + len(rest))
-            else:
-                counts.append(0)
-        at = np.fromiter(map(self._known.__getitem__, keys), np.int64, len(keys))
-        self._learn()
-        edges = np.cumsum([0, *counts])
-        whole = np.zeros(len(texts), bool)
-        if len(at) and at.min() < 0:
-            whole[np.searchsorted(edges, np.flatnonzero(at < 0), "right") - 1] = True
-        sizes = np.where(at < 0, 0, self._sizes[at]) if len(self._sizes) else np.zeros(len(at), np.int64)
-        places = np.concatenate(([0], np.cumsum(sizes)))
-        flat = self._gather(self._starts[at], sizes) if places[-1] else self._flat[:0]
-        lengths = places[edges[1:]] - places[edges[:-1]]
-        if end is None and not whole.any():
+        texts = _strings(texts)
+        filled = pc.fill_null(pc.greater(pc.binary_length(texts), 0), False)
+        places = np.flatnonzero(_numbers(filled))
+        lengths = np.zeros(len(texts), np.int64)
+        flat, edges, whole = np.empty(0, np.uint32), np.zeros(1, np.int64), np.zeros(0, bool)
+        if len(places):
+            flat, edges, whole = self._encode(texts.filter(filled))
+        if whole.any():
+            rows = [flat[a:b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
+            for row in np.flatnonzero(whole).tolist():
+                rows[row] = np.array(self._many([texts[places[row]].as_py()])[0], np.uint32)
+            flat, edges = np.concatenate(rows), np.cumsum([0, *map(len, rows)])
+        lengths[places] = np.diff(edges)
+        if end is None:
             return flat, lengths
-        closing = [] if end is None else [end]
-        rows = []
-        for text, slow, start, size in zip(texts, whole, places[edges[:-1]], lengths, strict=True):
-            rows.append(self._many([text])[0] if slow else flat[start : start + size])
-            rows.append(closing)
-        lengths = np.array([len(row) for row in rows[::2]], np.int64) + len(closing)
-        return np.concatenate(rows).astype(np.uint32) if rows else flat, lengths
-
-
-class _Known(dict):
-    """Number of each known piece, -1 for pieces that can't be encoded alone; asks for the rest."""
-
-    def __init__(self, owner):
-        self._owner = owner
-
-    def __missing__(self, key):
-        piece = key[0] if isinstance(key, tuple) else key
-        apart = isinstance(key, tuple) and not piece  # a text that begins with a blank
-        if not piece or apart or piece[-1].isspace() or (piece[0].isspace() and not isinstance(key, tuple)):
-            entry = -1
-        else:
-            entry = len(self._owner._starts) + self._owner._offset + len(self._owner._new)
-            self._owner._new.append(key)
-        self[key] = entry
-        return entry
+        return np.insert(flat, np.cumsum(lengths), end), lengths + 1
+
+    def _encode(self, texts):
+        """Ids of texts that are not empty, where each text's ids begin and end, and which texts must be encoded whole."""
+        parts = pc.split_pattern(texts, " ")
+        edges = _numbers(parts.offsets).astype(np.int64)
+        edges -= edges[0]
+        pieces = parts.flatten().dictionary_encode()
+        codes = _numbers(pieces.indices).astype(np.int64)
+        # The first piece of a text has no blank before it and may begin with other white space.
+        firsts = parts.flatten().take(pa.array(edges[:-1])).dictionary_encode()
+        apart, flat, counts = self._entries(pieces.dictionary)
+        first_apart = _numbers(pc.or_(pc.equal(pc.binary_length(firsts.dictionary), 0),
+                                      pc.utf8_is_space(pc.utf8_slice_codeunits(firsts.dictionary, -1))))
+        first_ids = [np.array(ids, np.uint32) for ids in self._many(firsts.dictionary.to_pylist())]
+        codes[edges[:-1]] = len(counts) + _numbers(firsts.indices)
+        apart = np.concatenate([apart, first_apart])
+        counts = np.concatenate([counts, np.fromiter(map(len, first_ids), np.int64, len(first_ids))])
+        flat = np.concatenate([flat, *first_ids])
+        starts = np.cumsum(counts) - counts
+        sizes = counts[codes]
+        ends = np.concatenate(([0], np.cumsum(sizes)))[edges]
+        return _gather(flat, starts[codes], sizes), ends, np.logical_or.reduceat(apart[codes], edges[:-1])

@@ -194,7 +194,7 @@ def write_shards(docs, folder, tokenizer, text="text", end=0, file_tokens=FILE_T
             return to_batch([(name, len(doc_ids), size)], schema)
 
         for table in row_groups(batches, text, _TEXT_BYTES):
-            ids, counts = encoder_of(tokenizer).encode(table.column(text).to_pylist(), end=end)
+            ids, counts = encoder_of(tokenizer).encode(table.column(text), end=end)
             held.append(ids)
             lengths.append(counts)
             doc_ids += table.column("doc_id").to_pylist()
