@@ -2,24 +2,38 @@
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 
 from clickmart.llm import exchange as X
-from clickmart.llm.words import RunHashes, WordHashes, split_words, utf8
+from clickmart.llm.words import RunHashes
 from clickmart.session import stored
 
 WINDOW = 35
-
-
-def _windows(table, text, size, words, runs):
-    """Words per row, the row's first place among all words, and hashes and starts of the windows inside rows."""
-    rows = [split_words(data) for data in utf8(table.column(text))]
-    lengths = np.fromiter(map(len, rows), np.int64, len(rows))
-    firsts = np.cumsum(lengths) - lengths
-    numbers = words.array([word for row in rows for word in row])
+BATCH_WORDS = 750_000
+
+
+def _words(column):
+    """All words of a text column in one array, and how many each row has."""
+    texts = pc.fill_null(column.combine_chunks().cast(pa.large_string()), "")
+    parts = pc.ascii_split_whitespace(texts)
+    words = parts.flatten()
+    filled = pc.greater(pc.binary_length(words), 0)
+    before = np.concatenate(([0], np.cumsum(filled.to_numpy(zero_copy_only=False))))
+    return words.filter(filled), np.diff(before[parts.offsets.to_numpy()])
+
+
+def _windows(table, text, size, runs):
+    """Words, how many each row has, and hashes and starts of the windows inside rows; each distinct word is hashed once."""
+    words, lengths = _words(table.column(text))
+    distinct = words.dictionary_encode()
+    known = distinct.dictionary.cast(pa.large_binary()).to_pylist()
+    numbers = np.fromiter(map(xxhash.xxh3_64_intdigest, known), np.uint64, len(known))[distinct.indices.to_numpy()]
+    del distinct, known
     hashes = runs.windows(numbers, size)
-    inside = np.repeat(firsts + lengths, lengths)[: len(hashes)] - np.arange(len(hashes)) >= size
+    inside = np.repeat(np.cumsum(lengths), lengths)[: len(hashes)] - np.arange(len(hashes)) >= size
     starts = np.flatnonzero(inside)
-    return rows, lengths, firsts, hashes[starts], starts
+    return words, lengths, hashes[starts], starts
 
 
 def _covered(starts, size, count):
@@ -47,17 +61,17 @@ def repeated_spans(docs, text="text", window=WINDOW):
     """
     added = {"kept_text": "string", "n_words": "long", "n_removed": "long", "removed": "array<struct<first:long,end:long>>"}
     docs = docs.drop(*(set(added) - {text}))
-    batches = stored(X.document_batches(docs, text), "windows")
+    batches = stored(X.document_batches(docs, text, 6 * BATCH_WORDS), "windows")
     # As many owners as the batches need; two at least, so that a small corpus takes the same way.
-    parts = X.parts_for(batches.count(), least=2)
+    parts = X.parts_for(batches.count(), BATCH_WORDS, least=2)
 
     def send(rows):
-        words, runs = WordHashes(), RunHashes()
+        runs = RunHashes()
 
         def sent():
             for record in rows:
                 for batch, data in zip(record.column("batch").to_pylist(), record.column("rows"), strict=True):
-                    hashes = _windows(X.bytes_table(data.as_py()), text, window, words, runs)[3]
+                    hashes = _windows(X.bytes_table(data.as_py()), text, window, runs)[2]
                     yield from X.requests(batch, 0, np.unique(hashes), parts)
 
         yield from X.ask(sent())
@@ -72,7 +86,7 @@ def repeated_spans(docs, text="text", window=WINDOW):
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
         table = X.bytes_table(left.column("rows")[0].as_py())
-        rows, lengths, firsts, hashes, starts = _windows(table, text, window, WordHashes(), RunHashes())
+        words, lengths, hashes, starts = _windows(table, text, window, RunHashes())
         keys, places, times = np.unique(hashes, return_inverse=True, return_counts=True)
         shared = times > 1
         edges = X.cuts(keys, parts)
@@ -80,17 +94,18 @@ def repeated_spans(docs, text="text", window=WINDOW):
             start, end = edges[part], edges[part + 1]
             shared[start:end] |= np.unpackbits(np.frombuffer(bits, np.uint8), count=end - start).view(bool)
         hit = _covered(starts[shared[places]], window, int(lengths.sum()))
-        kept, spans = [], []
-        for row, first, length, old in zip(rows, firsts, lengths, table.column(text).is_null().to_pylist(), strict=True):
-            mine = hit[first : first + length]
-            if mine.any():
-                row = [word for word, gone in zip(row, mine.tolist(), strict=True) if not gone]
-            kept.append(None if old else b" ".join(row).decode())
-            spans.append([{"first": int(a), "end": int(b)} for a, b in _intervals(mine)] if mine.any() else [])
-        removed = np.array([hit[a : a + b].sum() for a, b in zip(firsts, lengths, strict=True)], np.int64)
+        removed = np.diff(np.concatenate(([0], np.cumsum(hit)))[np.concatenate(([0], np.cumsum(lengths)))])
+        edges = np.cumsum(np.concatenate(([0], lengths - removed)))
+        kept = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), words.filter(pa.array(~hit)))
+        kept = pc.binary_join(kept, pa.scalar(" ", pa.large_string())).cast(pa.string())
+        kept = pc.if_else(table.column(text).combine_chunks().is_null(), None, kept)
+        spans, ends = [[] for _ in lengths], np.cumsum(lengths)
+        for row in np.flatnonzero(removed).tolist():
+            mine = hit[ends[row] - lengths[row] : ends[row]]
+            spans[row] = [{"first": int(a), "end": int(b)} for a, b in _intervals(mine)]
         fields = [pa.field("first", pa.int64()), pa.field("end", pa.int64())]
         for name, values in (
-            ("kept_text", pa.array(kept, pa.string())),
+            ("kept_text", kept),
             ("n_words", pa.array(lengths, pa.int64())),
             ("n_removed", pa.array(removed, pa.int64())),
             ("removed", pa.array(spans, pa.list_(pa.struct(fields)))),
