@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-KNOWN_BYTES = 48 << 20
+KNOWN_BYTES = 80 << 20
 _TAIL = ".,;:!?"
 _RUN = 100
 

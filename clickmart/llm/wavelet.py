@@ -21,7 +21,7 @@ from clickmart.session import scratch_path, stored
 MAGIC = b"WVM1"
 BLOCK = 512
 FILE_TOKENS = 8_000_000
-_TEXT_BYTES = 3 << 20
+_TEXT_BYTES = 12 << 20
 
 
 def write_matrix(ids, doc_ids, lengths):
