@@ -93,6 +93,19 @@ GEO_RANGES = [
     ("longitude", "cast(n_nationkey as double) * -0.5e0"),
 ]
 
+# Blocks of 2^10 to 2^23 addresses at multiples of their size, so that they lie in one another, some of them twice.
+_BITS = "cast(pow(2, 10 + c_custkey % 14) as bigint)"
+_BLOCK = f"cast(floor(((8 + c_custkey % 100) * 16777216 + (c_custkey * 7) % 256 * 65536 + 256) / {_BITS}) as bigint) * {_BITS}"
+NESTED_RANGES = [
+    ("ip_from", _BLOCK),
+    ("ip_to", f"{_BLOCK} + {_BITS} - 1"),
+    ("country", "concat('C', cast(c_custkey as string))"),
+    ("region", "CASE WHEN c_custkey % 5 = 0 THEN '-' ELSE 'r' END"),
+    ("city", "CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE concat('City ', cast(c_custkey as string)) END"),
+    ("latitude", "cast(c_custkey as double) * 0.5e0"),
+    ("longitude", "cast(c_custkey as double) * -0.25e0"),
+]
+
 # JSON records: fields of several types, empty objects, and objects ten levels down.
 DEEP = ".".join(["d"] + ["a"] * 9 + ["x"])
 RECORDS = [
@@ -286,6 +299,11 @@ def geo_ranges(spark, sf_dir):
     return joined.selectExpr(*expressions(GEO_RANGES, "spark"))
 
 
+def nested_ranges(spark, sf_dir):
+    inner = table(spark, sf_dir, "customer").selectExpr(*expressions(NESTED_RANGES, "spark"))
+    return geo_ranges(spark, sf_dir).unionByName(inner)
+
+
 def v6_addresses(spark, sf_dir):
     return table(spark, sf_dir, "events").selectExpr(*expressions(V6_ADDRESSES, "spark")).distinct()
 
@@ -339,6 +357,7 @@ CTES = {
     "records": _select(RECORDS, "events"),
     "v6_ranges": _select(V6_RANGES, "nation"),
     "geo_ranges": _select(GEO_RANGES, "nation JOIN region ON n_regionkey = r_regionkey"),
+    "nested_ranges": "SELECT * FROM geo_ranges UNION ALL " + _select(NESTED_RANGES, "customer"),
     "part_targets": _select(PART_TARGETS, "part"),
     "page_snapshot": " UNION ALL ".join(
         _select(page_columns(place, domain), "part")

@@ -112,6 +112,10 @@ _located("raw_located", "raw_ips")
 TEXTS["event_addresses"] = f"""SELECT event_id, address, {v4('address')} AS v4, {v6('address')} AS v6
     FROM (SELECT event_id, {norm('ip')} AS address FROM event_records)"""
 
+TEXTS["nested_hits"] = """SELECT address, valid, country, nullif(region, '-') AS region, city
+    FROM (SELECT DISTINCT * FROM raw_located_valid) LEFT JOIN nested_ranges ON valid AND v4 BETWEEN ip_from AND ip_to
+    QUALIFY row_number() OVER (PARTITION BY address ORDER BY ip_to - ip_from, country DESC) = 1"""
+
 TEXTS["v6_numbers"] = f"""SELECT ip, {v4("replace(ip, '::ffff:', '')")} AS v4, {v6('ip')} AS v6
     FROM v6_addresses"""
 
@@ -298,6 +302,10 @@ QUERIES = {
             coalesce(g.longitude, r.longitude) AS longitude, 'ok' AS status
         FROM v6_numbers LEFT JOIN geo_ranges g ON v4 BETWEEN g.ip_from AND g.ip_to
             LEFT JOIN v6_ranges r ON v4 IS NULL AND v6 BETWEEN r.ip_from AND r.ip_to""",
+    "ip_locations_nested": f"""SELECT coalesce(h.address, '') AS ip, country, region, city,
+            CASE WHEN valid THEN 'ok' ELSE 'invalid_ip' END AS status, count(*) AS events
+        FROM (SELECT {norm('ip')} AS address FROM event_records WHERE ip <> '') e
+            JOIN nested_hits h ON e.address IS NOT DISTINCT FROM h.address GROUP BY ALL""",
     "ip_locations_aggregate": "SELECT * FROM raw_located",
     "ip_status_unconfigured": """SELECT ip, CASE WHEN status = 'ok' THEN 'lookup_not_configured' ELSE status END
         AS status FROM located""",

@@ -288,6 +288,14 @@ def ip_locations_v6(spark, sf_dir):
     return located.drop("processed_at", "error_message")
 
 
+@query
+def ip_locations_nested(spark, sf_dir):
+    """Blocks of providers inside those of countries, the innermost counts; addresses come as often as events have them."""
+    found = ips.with_ip(D.event_records(spark, sf_dir), "ip").select("ip")
+    located = ips.locate(found, D.nested_ranges(spark, sf_dir), stamp=False, nested=True)
+    return located.groupBy("ip", "country", "region", "city", "status").agg(F.count(F.lit(1)).alias("events"))
+
+
 @query
 def ip_locations_aggregate(spark, sf_dir):
     """Distinct stored values, located one by one: an address in several spellings has several rows."""

@@ -95,13 +95,14 @@ def ip_record_count(events, ip_field="ip"):
     return with_ip(events, ip_field).agg(F.count(F.lit(1)).alias("ip_record_count"))
 
 
-def locate(ips, ranges=None, v6_ranges=None, allow_private=False, stamp=True):
+def locate(ips, ranges=None, v6_ranges=None, allow_private=False, stamp=True, nested=False):
     """Location and status of each address in column ``ip``, which may repeat in many spellings.
 
     ``ranges`` has BIGINT ``ip_from`` and ``ip_to`` (inclusive) with country, region, city, latitude
     and longitude; ``v6_ranges`` the same with both ends as 32 hex digits. A valid address outside
     every range is ``ok`` with empty fields. An IPv6 address that maps an IPv4 one is looked up as
-    either. Without ranges a valid address is not looked up.
+    either. Without ranges a valid address is not looked up. With ``nested`` ranges may lie in one another and the innermost
+    one counts.
     """
     checked = I.with_validity(ips.select("ip"), "ip", allow_private).select(
         F.coalesce("address", F.lit("")).alias("ip"),
@@ -114,9 +115,10 @@ def locate(ips, ranges=None, v6_ranges=None, allow_private=False, stamp=True):
     located = checked
     if ranges is not None:
         ends = [F.col(end).cast("bigint").alias(end) for end in ("ip_from", "ip_to")]
-        located = attach_ranges(located, ranges.select(*ends, *fields), F.col("number"), "v4")
+        located = attach_ranges(located, ranges.select(*ends, *fields), F.col("number"), "v4", nested)
     if v6_ranges is not None:
-        located = attach_ranges(located, v6_ranges.select("ip_from", "ip_to", *fields), F.col("digits"), "v6")
+        v6_ranges = v6_ranges.select("ip_from", "ip_to", *fields)
+        located = attach_ranges(located, v6_ranges, F.col("digits"), "v6", nested)
 
     sources = [name for name in ("v4", "v6") if name in located.columns]
 

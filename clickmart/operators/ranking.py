@@ -45,6 +45,33 @@ def running_rank(df, group, order, name):
     return ranked.select(*df.columns, rank.cast("bigint").alias(name))
 
 
+def running(df, group, order, value, how, name, line):
+    """Running sum (``how`` "sum") or last value that is not null ("last") within each group, of any size.
+
+    As in ``running_rank`` the rows are sorted over all tasks and stored, and each task goes on from what the group it
+    begins with had in the tasks before. ``line`` names a new column that numbers the sorted rows upwards, not closely.
+    """
+    part = "_part"
+    placed = df.withColumn("_value", value).orderBy(*group, *order).withColumn(line, F.monotonically_increasing_id())
+    rows = stored(placed, "running").withColumn(part, F.shiftright(line, 33))
+    if how == "sum":
+        total, gather = F.sum("_value"), F.sum
+    else:
+        total = F.max_by("_value", F.when(F.col("_value").isNotNull(), F.col(line)))
+        gather = lambda column: F.last(column, ignorenulls=True)
+    pieces = rows.groupBy(*group, part).agg(total.alias("_total"))
+    earlier = Window.partitionBy(*group).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    # No more rows than the sort had tasks: at most one group of a task began in an earlier one.
+    before = pieces.select(*group, part, gather("_total").over(earlier).alias("_before")).where("_before is not null")
+    here = Window.partitionBy(*group, part).orderBy(line).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = rows.withColumn("_here", gather("_value").over(here)).join(F.broadcast(before), [*group, part], "left")
+    if how == "sum":
+        result = F.col("_here") + F.coalesce("_before", F.lit(0))
+    else:
+        result = F.coalesce("_here", "_before")
+    return found.select(*df.columns, line, result.alias(name))
+
+
 _SPLITTERS = 32
 _SORTED_AT_ONCE = 100_000
 # Up to so many rows Spark's own limit on a sort is taken: every task keeps its first rows in a heap.

@@ -22,11 +22,12 @@ def run(
     table=None,
     counts_path=None,
     summary_path=None,
+    nested=False,
 ):
     """Writes one located row per distinct address, the counts, and returns the run summary.
 
     With ``target_ids`` only addresses of events of those products are taken. ``table`` also gets the
-    rows, one per address. Addresses are made distinct before any lookup.
+    rows, one per address. Addresses are made distinct before any lookup. ``nested`` as in ``locate``.
     """
     spark = prepare_session(events.sparkSession)
     started = time.monotonic()
@@ -39,7 +40,7 @@ def run(
     else:
         scope |= ip_ops.ip_record_count(events, ip_field).first().asDict()
         found = ip_ops.distinct_ips(events, order_key, ip_field, limit, discovery_mode)
-    located = ip_ops.locate(found, ranges, v6_ranges, allow_private)
+    located = ip_ops.locate(found, ranges, v6_ranges, allow_private, nested=nested)
     # Stored once; the outputs and the counts read this small result.
     located = stored(located, "locations")
     rows, written = counted(located, "ip_locations_written")

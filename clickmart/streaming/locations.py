@@ -12,7 +12,7 @@ def location_table(spark, output_path, **settings):
     return KeyedTable(spark, output_path, "ip", **settings)
 
 
-def location_stream(events, order_key, output_path, checkpoint_path, ranges=None, v6_ranges=None, **settings):
+def location_stream(events, order_key, output_path, checkpoint_path, ranges=None, v6_ranges=None, nested=False, **settings):
     """Locates the addresses of new events and merges them into a table; stops when all input is read.
 
     What a batch writes follows the batch and not the table, and a batch that is repeated after a loss changes nothing.
@@ -21,7 +21,7 @@ def location_stream(events, order_key, output_path, checkpoint_path, ranges=None
     def write(batch, batch_id):
         spark = prepare_session(batch.sparkSession)
         found = distinct_normalized_ips(batch, order_key).select("ip")
-        location_table(spark, output_path, **settings).merge(locate(found, ranges, v6_ranges), batch_id)
+        location_table(spark, output_path, **settings).merge(locate(found, ranges, v6_ranges, nested=nested), batch_id)
 
     return (
         events.writeStream.foreachBatch(write)

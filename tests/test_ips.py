@@ -190,6 +190,61 @@ def test_v6_ranges_equal_brute_force(spark):
         assert found[str(point)] == (wanted[0] if wanted else None)
 
 
+def nest(generator, low, high, depth):
+    """Ranges inside ``low`` to ``high``: some equal to the outer one, some that share an end with it, some side by side."""
+    if depth == 0 or high < low:
+        return []
+    cuts = sorted(generator.randint(low, high) for _ in range(6))
+    spans = [(low, cuts[0]), (cuts[1], cuts[2]), (cuts[2] + 1, cuts[3]), (cuts[4], high)]
+    spans = [s for s in spans if s[0] <= s[1]]
+    disjoint = [s for place, s in enumerate(spans) if not place or s[0] > spans[place - 1][1]]
+    return [(low, high)] * generator.choice([0, 1, 2]) + [x for s in disjoint for x in [s, *nest(generator, *s, depth - 1)]]
+
+
+@pytest.mark.parametrize(("kind", "bits"), [("BIGINT", 32), ("STRING", 128)])
+def test_nested_ranges_equal_brute_force(spark, kind, bits):
+    generator = random.Random(bits)
+    base = 0 if bits == 32 else 0x2A02 << 112
+    size = 2**32 if bits == 32 else 2**112
+    spans = nest(generator, base + size // 8, base + size - 2, 4)
+    code = (lambda n: n) if bits == 32 else (lambda n: f"{n:032x}")
+    rows = [(code(a), code(b), f"C{place:04d}", None) for place, (a, b) in enumerate(spans)]
+    rows += [(code(5 + base), code(1 + base), "empty", None), (None, code(base + size - 1), "open", None), (code(base), None, "open", None)]
+    ranges = spark.createDataFrame(rows, f"ip_from {kind}, ip_to {kind}, country STRING, city STRING").repartition(3)
+    points = [base + generator.randrange(size) for _ in range(500)] + [p for s in spans for end in s for p in (end - 1, end, end + 1)]
+    # A third of all rows is one point.
+    points += [spans[-1][0]] * (len(points) // 2)
+    frame = spark.createDataFrame([(place, code(p)) for place, p in enumerate(points)] + [(-1, None)], f"place INT, n {kind}")
+    found = {r.place: r.range and r.range.country for r in attach_ranges(frame, ranges, F.col("n"), nested=True).collect()}
+    assert len(spans) > 150 and found.pop(-1) is None
+    for place, point in enumerate(points):
+        over = [(b - a, -at) for at, (a, b) in enumerate(spans) if a <= point <= b]
+        assert found[place] == (f"C{-min(over)[1]:04d}" if over else None)
+
+
+def test_nested_lookup_of_nothing_and_of_crossing_ranges(spark):
+    schema = "ip_from BIGINT, ip_to BIGINT, country STRING"
+    points = spark.createDataFrame([(1,), (7,)], "n BIGINT")
+    none = attach_ranges(points, spark.createDataFrame([], schema), F.col("n"), nested=True)
+    assert [r.range for r in none.collect()] == [None, None]
+    flat = spark.createDataFrame([(1, 5, "A"), (6, 9, "B")], schema)
+    assert attach_ranges(points.limit(0), flat, F.col("n"), nested=True).count() == 0
+    for rows in ([(0, 10, "A"), (5, 15, "B")], [(0, 10, "A"), (10, 15, "B")], [(0, 10, "A"), (5, 15, "B"), (11, 15, "C")]):
+        with pytest.raises(Exception, match="ranges cross"):
+            attach_ranges(points, spark.createDataFrame(rows, schema), F.col("n"), nested=True).collect()
+
+
+def test_nested_ranges_with_tasks_that_hold_no_start(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ranges = spark.range(300).select(F.col("id").alias("ip_from"), (10_000 - F.col("id")).alias("ip_to"), "id")
+        points = spark.range(3000).select((F.col("id") * 4).alias("n")).repartition(4)
+        found = attach_ranges(points, ranges, F.col("n"), nested=True).select("n", "range.id").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert all(r.id == (None if r.n > 10_000 else min(r.n, 299, 10_000 - r.n)) for r in found) and len(found) == 3000
+
+
 def test_upsert(spark):
     schema = "ip STRING, status STRING"
     old = spark.createDataFrame([("1.1.1.1", "old"), ("2.2.2.2", "old"), ("", "old")], schema)
