@@ -97,8 +97,8 @@ def op2_licence_scan(spark, sf_dir):
 @query
 def op4_warc_archives(spark, sf_dir):
     folder = warc.new_folder(spark)
-    warc.write_archives(table(spark, sf_dir, "pages"), folder)
-    return warc.read_archives(spark, folder).drop("url")
+    archives = warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    return warc.read_archives(spark, folder, archives).drop("url")
 
 
 @query

@@ -111,7 +111,11 @@ def write_archives(pages, folder, min_bytes=MIN_BYTES, archive_bytes=ARCHIVE_BYT
     The payload is the html in UTF-8, null counts as empty. Of rows with equal payloads of at least ``min_bytes`` bytes
     that with the largest id is the response and the others are revisits of it; rows that share this id are all
     responses, and a null id is smaller than any other. Smaller payloads are all responses. An archive holds about
-    ``archive_bytes`` of records, so a task never holds more, whatever its share. Returns what was written, from storage.
+    ``archive_bytes`` of records, so a task never holds more, whatever its share; a payload stays whole, however long, and a
+    larger one fills an archive alone or last. Other columns of ``pages`` are left out. An empty table gives no archive.
+
+    A file's name carries the try of the task that wrote it. The returned rows, read from storage, are those of the tries
+    that were committed: what a lost or repeated task leaves in the folder is in none of them.
     """
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
     rows = rows.withColumn("sha1", F.sha1(F.col("html").cast("binary")))
@@ -128,11 +132,11 @@ def write_archives(pages, folder, min_bytes=MIN_BYTES, archive_bytes=ARCHIVE_BYT
 
         import pyarrow.fs  # noqa: F401
 
-        held, total, number, task = [], 0, 0, TaskContext.get().partitionId()
+        held, total, number, task = [], 0, 0, TaskContext.get()
         schema = pa.schema([("file", pa.string()), ("records", pa.int64())])
 
         def close():
-            name = f"{task:08d}-{number:06d}.warc.zst"
+            name = f"{task.partitionId():08d}-{number:06d}-{task.taskAttemptId()}.warc.zst"
             put_file(folder, name, archive(held))
             return to_batch([(name, len(held))], schema)
 
@@ -149,22 +153,22 @@ def write_archives(pages, folder, min_bytes=MIN_BYTES, archive_bytes=ARCHIVE_BYT
     return stored(rows.mapInArrow(write, "file string, records long"), "archives")
 
 
-def read_archives(spark, folder):
-    """One row per record of the archives in ``folder``.
+def read_archives(spark, folder, archives):
+    """One row per record of the files in ``folder`` that ``archives``, the rows of ``write_archives``, name.
 
     ``payload_bytes`` and ``payload_digest`` are those of the full payload: taken from the payload itself for responses,
     from the record's headers for revisits. Fails on a response whose payload does not have its digest.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder).select("content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder).select("path", "content")
     schema = pa.schema(
-        [("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()),
+        [("file", pa.string()), ("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()),
          ("refers_to", pa.int64()), ("url", pa.string())]
     )
 
     def read(batches):
         for batch in batches:
-            for data in batch.column(0):
-                rows = []
+            for path, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                name, rows = path.rsplit("/", 1)[-1], []
                 for found in read_archive(data.as_py()):
                     kind, digest = found["warc-type"], found["warc-payload-digest"].removeprefix("sha1:")
                     size, refers_to = int(found["http"]["content-length"]), None
@@ -174,11 +178,14 @@ def read_archives(spark, folder):
                             raise ValueError(f"{found['warc-record-id']}: the payload has the digest {own}, not {digest}")
                     else:
                         refers_to = page_of(found["warc-refers-to"])
-                    rows.append((page_of(found["warc-record-id"]), size, digest, kind, refers_to, found.get("warc-target-uri")))
+                    page, url = page_of(found["warc-record-id"]), found.get("warc-target-uri")
+                    rows.append((name, page, size, digest, kind, refers_to, url))
                 yield to_batch(rows, schema)
 
     columns = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string"
-    return files.mapInArrow(read, columns)
+    # Joined after the payloads are gone, so that no archive is shuffled, however many there are.
+    found = files.mapInArrow(read, f"file string, {columns}")
+    return found.join(archives.select("file"), "file", "left_semi").drop("file")
 
 
 def new_folder(spark):

@@ -6,6 +6,7 @@ block of 512. The matrix stores the ids stably parted by each bit in turn, so th
 """
 
 import json
+import uuid
 import zlib
 
 import numpy as np
@@ -164,7 +165,7 @@ def put_file(folder, name, data):
     """Writes a file into a shared folder of any kind; a repeated try replaces it whole."""
     filesystem, path = pa.fs.FileSystem.from_uri(folder)
     filesystem.create_dir(path, recursive=True)
-    trial = f"{path}/_{name}.{id(data)}"
+    trial = f"{path}/_{name}.{uuid.uuid4().hex}"
     with filesystem.open_output_stream(trial) as out:
         out.write(data)
     filesystem.move(trial, f"{path}/{name}")

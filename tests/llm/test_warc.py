@@ -36,12 +36,23 @@ def pages():
 def test_round_trip(spark, pages, min_bytes, archive_bytes):
     folder = warc.new_folder(spark)
     made = warc.write_archives(spark.createDataFrame(pages, SCHEMA).repartition(3), folder, min_bytes, archive_bytes)
-    rows = warc.read_archives(spark, folder).collect()
+    rows = warc.read_archives(spark, folder, made).collect()
     assert sorted([(str(r[0]), *r[1:5]) for r in rows], key=str) == brute(pages, min_bytes)
     assert sum(r.records for r in made.collect()) == len(pages)
     assert made.count() > 3 or archive_bytes > 10_000
 
 
+def test_files_of_tries_that_were_not_committed_are_not_read(spark, pages):
+    folder = warc.new_folder(spark)
+    frame = spark.createDataFrame(pages, SCHEMA).repartition(2)
+    warc.write_archives(frame, folder, archive_bytes=2_000)
+    made = warc.write_archives(frame, folder, archive_bytes=5_000)
+    rows = warc.read_archives(spark, folder, made).collect()
+    assert sorted([(str(r[0]), *r[1:5]) for r in rows], key=str) == brute(pages, 0)
+    names = [r.file for r in made.collect()]
+    assert len(set(names)) == len(names)
+
+
 def test_archive_is_one_frame_per_record_after_the_dictionary():
     records = [warc.record(n, f"http://a/{n}", digest(f"page {n}"), f"page {n}".encode()) for n in range(500)]
     data = warc.archive(records)
@@ -61,6 +72,7 @@ def test_archive_is_one_frame_per_record_after_the_dictionary():
 
 def test_no_pages_and_bad_files(spark):
     folder = warc.new_folder(spark)
-    assert warc.write_archives(spark.createDataFrame([], SCHEMA), folder).count() == 0
+    made = warc.write_archives(spark.createDataFrame([], SCHEMA), folder)
+    assert made.count() == 0
     with pytest.raises(ValueError, match="dictionary"):
         list(warc.read_archive(io.BytesIO(b"x" * 40).getvalue()))
