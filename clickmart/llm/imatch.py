@@ -16,7 +16,6 @@ from clickmart.llm.words import WordHashes, mixed, split_words, utf8
 from clickmart.session import stored
 
 LOW, HIGH = 0.0005, 0.2
-MAX_TERMS = 1_000_000
 RATES = (1.0, *(0.5**n for n in range(1, 9) for _ in range(2)))
 _CHUNK = 3 << 20
 _POWER = np.uint64(0x9E3779B97F4A7C15)
@@ -56,18 +55,15 @@ def document_frequencies(docs, text="text"):
     return docs.select(text).mapInArrow(send, X.REQUEST).groupBy("part").applyInArrow(add_up, "term long, df long")
 
 
-def lexicon(docs, text="text", low=LOW, high=HIGH, max_terms=MAX_TERMS):
-    """Sorted hashes of the terms in at least ``low`` and at most ``high`` of all documents.
+def lexicon(docs, text="text", low=LOW, high=HIGH):
+    """Sorted hashes of all terms in at least ``low`` and at most ``high`` of all documents, two documents at least.
 
-    No more than (mean distinct terms of a document) / ``low`` terms can be that frequent. Should they be more than
-    ``max_terms``, the band's lower edge rises until they are not, so what is sent to every worker is bounded.
+    Each of them counts for ``low`` of the documents or more, so there are no more than (mean distinct terms of a document)
+    / ``low``, however many documents there are: at 300 distinct terms a document 600,000 terms, 5 MB to every worker. Null
+    and empty texts count as documents without terms; an empty table gives an empty lexicon.
     """
     total = docs.count()
     band = stored(document_frequencies(docs, text).where(F.col("df").between(max(2, low * total), high * total)), "lexicon")
-    if band.count() > max_terms:
-        # As the least frequent terms go first, the k-th largest df is the new edge.
-        edge = band.select("df").orderBy(F.desc("df")).offset(max_terms).first()[0]
-        band = band.where(F.col("df") > edge)
     return np.sort(np.fromiter((row[0] for row in band.select("term").toLocalIterator()), np.int64).view(np.uint64))
 
 
@@ -147,8 +143,9 @@ def compare_edits(docs, terms, text="text"):
     """Fingerprints of all texts and of their edited texts, and how like they and the next document's are.
 
     The edited text: the last ``n_chars // 3`` code points replaced by as many first ones (or all) of the next document
-    in descending ``doc_id``, after the last one the first. Null texts are empty. A single row is its own next.
-    ``terms``: a lexicon of bounded size.
+    in descending ``doc_id``, after the last one the first. Null texts are empty. A single row is its own next, repeated
+    rows are separate rows, an empty table gives no row. Texts are taken whole, however long; other columns of ``docs``
+    are left out. ``terms``: a lexicon, which is bounded by the length of the mean document.
     """
     shared = docs.sparkSession.sparkContext.broadcast(terms)
     schema = pa.schema(
