@@ -44,7 +44,7 @@ def write_matrix(ids, doc_ids, lengths):
         blocks = np.bitwise_count(padded).reshape(-1, BLOCK // 8).sum(axis=1, dtype=np.int64)
         sections += [packed.tobytes(), np.cumsum(np.concatenate(([0], blocks)), dtype="<u4").tobytes()]
         ones.append(int(blocks.sum()))
-        level = np.concatenate([level[~plane], level[plane]])
+        level = np.concatenate([np.compress(~plane, level), np.compress(plane, level)])
     press = zstandard.ZstdCompressor(level=1)
     sections = [press.compress(x) for x in sections]
     header = json.dumps({"tokens": len(ids), "docs": len(doc_ids), "bits": bits, "ones": ones, "sizes": [len(x) for x in sections]})
@@ -155,8 +155,8 @@ class WaveletMatrix:
             plane = np.unpackbits(self._planes[level], count=self.tokens).view(bool)
             above = np.empty(self.tokens, kind)
             zeros = self._zeros[level]
-            above[~plane] = found[:zeros]
-            above[plane] = found[zeros:] | kind(1 << (self.bits - 1 - level))
+            above[np.flatnonzero(~plane)] = found[:zeros]
+            above[np.flatnonzero(plane)] = found[zeros:] | kind(1 << (self.bits - 1 - level))
             found = above
         return found.astype(np.uint32)
 
