@@ -59,6 +59,7 @@ EVENTS = T.StructType(
     DOCUMENTED_EVENT.fields + strings(*[name for name in ALIASES if name not in DOCUMENTED_EVENT.fieldNames()])
 )
 
+# Columns of product targets.
 TARGETS = T.StructType(
     strings("product_id", "candidate_url", "source_event_type", "url_source_field")
     + [T.StructField("event_count", T.LongType())]
@@ -66,6 +67,7 @@ TARGETS = T.StructType(
     + [T.StructField("url_rank", T.IntegerType())]
 )
 
+# Fields of an attempt.
 ATTEMPT = T.StructType(
     strings("url", "resolved_url", "strategy")
     + [
@@ -76,6 +78,7 @@ ATTEMPT = T.StructType(
     + strings("status", "error_message")
 )
 
+# Fields of a crawl log line.
 PRODUCT_INFO = T.StructType(
     strings(
         "requested_product_id", "product_id", "source_url", "original_url", "resolved_url",
@@ -94,6 +97,7 @@ PRODUCT_INFO = T.StructType(
     ]
 )
 
+# Columns of the warehouse table, of the archive, and of failed targets.
 WAREHOUSE_FIELDS = [
     field.name
     for field in PRODUCT_INFO
@@ -107,6 +111,7 @@ FAILED_TARGET_FIELDS = [
     "last_source_url", "last_resolved_url", "scraped_at",
 ]
 
+# Columns of located addresses.
 IP_LOCATIONS = T.StructType(
     strings("ip", "country", "region", "city")
     + [T.StructField("latitude", T.DoubleType()), T.StructField("longitude", T.DoubleType())]
