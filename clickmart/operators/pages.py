@@ -12,6 +12,7 @@ from clickmart.functions.urls import (
     url_choices,
     url_host,
 )
+from clickmart.metrics import counted, rows_of
 from clickmart.operators.ranking import best_per_group
 from clickmart.schemas import ATTEMPT, PRODUCT_INFO, shaped
 from clickmart.session import stored
@@ -22,6 +23,9 @@ NOT_FOUND = "not_found_in_configured_stores"
 CRAWL_FAILED = "crawl_failed"
 REQUEST_FAILED = "request_failed"
 
+# So many attempts at most may be sent to the pages whole; Spark takes the size of an exploded list for that of its arrays' default.
+SHORT_LIST = 100_000
+
 NOT_COLLECTED = "page not collected"
 BROKEN_URL = "Invalid IPv6 URL"
 
@@ -151,6 +155,20 @@ def exploded_attempts(targets, stores, strategy=None):
     return _exploded(target_attempts(targets, stores, strategy))
 
 
+def _stored_attempts(targets, stores, strategy):
+    """``target_attempts``, built once for both of its readers and stored, and the number of attempts."""
+    planned = target_attempts(targets, stores, strategy).withColumns(
+        {
+            "candidate_url": F.col("candidate_url").cast("string"),
+            "attempts": F.transform(
+                "attempts", lambda a: F.struct(*[a[name].cast("string").alias(name) for name in ("url", "strategy")])
+            ),
+        }
+    )
+    planned, written = counted(planned, "attempts", attempts=F.sum(F.size("attempts")))
+    return stored(planned, "attempts"), rows_of(written)["attempts"]
+
+
 def _step(**known):
     """An entry of the attempts column; fields that are not given are null."""
     return F.struct(
@@ -167,14 +185,24 @@ def resolve_products(targets, pages, stores, strategy=None, stamp=True, page_ord
     Of repeated targets the one with the first URL counts. Where the page table holds several copies of a URL,
     ``page_order`` names the column whose largest value counts; without it, and for equal values, a copy that can be the
     product goes first, then one with a payload, then the order of status code and addresses.
+    """
+    return resolve_from_features(targets, page_features(pages, page_order), stores, strategy, stamp)
+
+
+def resolve_from_features(targets, features, stores, strategy=None, stamp=True):
+    """``resolve_products`` for pages that were read by ``page_features``.
 
     Pages and attempts meet in an inner join, so that Spark may send a short list of attempts to the
     pages, or drop pages nobody asks for before they are shuffled. What was not met is known from
-    the attempt list itself. A URL that many targets share is a skewed key of that join, which the
-    adaptive skew join splits; per product there are never more rows than entries in the list.
+    the attempt list itself, which is stored and counted first: a longer one is never broadcast. A URL that many targets
+    share is a skewed key of that join, which the adaptive skew join splits; per product there are never more rows than
+    entries in the list.
     """
-    planned = target_attempts(targets, stores, strategy)
-    met = _exploded(planned).join(page_features(pages, page_order), "url")
+    planned, attempt_count = _stored_attempts(targets, stores, strategy)
+    attempts = _exploded(planned)
+    if attempt_count > SHORT_LIST:
+        attempts, features = attempts.hint("merge"), features.hint("merge")
+    met = attempts.join(features, "url")
     same, hit_no, final_url = F.col("same"), F.col("hit_no"), F.col("final_url")
     met = met.withColumns(
         {

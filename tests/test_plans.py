@@ -44,6 +44,23 @@ def test_html_is_not_shuffled(spark, sf_dir):
     assert all("html#" not in line for line in text.splitlines() if "Exchange" in line or "Sort " in line)
 
 
+def test_a_long_list_of_attempts_is_not_broadcast(spark):
+    """Spark takes the exploded list for a small one, whatever it holds; a short list may still be sent to the pages."""
+    collected = stored(
+        spark.range(300_000).selectExpr("concat('https://x/', id) AS url", "'' AS resolved_url", "200 AS status_code", "uuid() AS html"),
+        "pages",
+    )
+
+    def planned(count):
+        rows = spark.range(count).selectExpr("cast(id AS string) AS product_id", "concat('https://x/', id) AS candidate_url")
+        return pages.resolve_products(rows, collected, STORES)
+
+    assert "BroadcastHashJoin" in plan(planned(10))
+    found = planned(40_000)
+    assert "BroadcastHashJoin" not in plan(found) and "SortMergeJoin" in plan(found)
+    assert found.filter("attempts[0].status_code = 200").count() == 40_000
+
+
 def test_shared_url_is_split(spark):
     """With small thresholds the adaptive plan splits the partition of the shared URL."""
     settings = {
