@@ -1,12 +1,14 @@
 """Resumable crawl as a stream: target files come in, each product is resolved once."""
 
+from functools import cache
+
 from pyspark.sql import functions as F
 
 from clickmart.metrics import BatchCounts
-from clickmart.operators.pages import OK, resolve_products
+from clickmart.operators.pages import OK, page_features, resolve_from_features
 from clickmart.operators.targets import best_target_key, valid_targets
 from clickmart.schemas import PRODUCT_INFO, TARGETS, as_strings
-from clickmart.session import prepare_session
+from clickmart.session import prepare_session, stored
 from clickmart.sources.readers import CSV_OPTIONS
 from clickmart.sources.writers import write_jsonl
 
@@ -37,16 +39,21 @@ def crawl_stream(targets, pages, stores, output_path, checkpoint_path, strategy=
     """Resolves new targets and stops when all input is read. Run again to go on.
 
     Which products are done is keyed state in the checkpoint (on disk, by RocksDB), so a batch costs what it brings in,
-    whatever was crawled before, and no earlier output is read. The rows of a batch go to a folder of their own, which a
+    whatever was crawled before, and no earlier output is read. The pages are parsed once a run, by its first batch, and what
+    was read of them is stored for the others. The rows of a batch go to a folder of their own, which a
     repeated batch replaces: a restart after a loss neither loses nor doubles rows. With ``counts_path`` the rows of each batch
     and the products found are counted while they are written, and stored there (``metrics.BatchCounts``).
     """
     targets.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
 
+    @cache
+    def features():
+        return stored(page_features(pages, page_order), "features")
+
     def write(batch, batch_id):
         spark = prepare_session(batch.sparkSession)
         wanted = batch.filter("is_new").select("product_id", "candidate_url")
-        found = resolve_products(wanted, pages, stores, strategy, page_order=page_order)
+        found = resolve_from_features(wanted, features(), stores, strategy)
 
         def save(rows):
             write_jsonl(rows, f"{output_path}/batch_id={batch_id}")

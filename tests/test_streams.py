@@ -2,6 +2,8 @@ import pytest
 
 from clickmart.functions.urls import Stores
 from clickmart.metrics import BatchCounts
+from clickmart.operators import pages
+from clickmart.streaming import resume
 from clickmart.streaming.locations import current_locations, location_stream
 from clickmart.streaming.resume import crawl_stream, read_crawl_stream, read_target_stream
 
@@ -62,6 +64,25 @@ def test_crawl_stream_goes_on_after_a_loss(spark, tmp_path):
     assert go(out=str(tmp_path / "other")) == [("6", "u6")]
 
 
+def test_pages_are_parsed_once_a_run(spark, tmp_path, monkeypatch):
+    incoming, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
+    incoming.mkdir()
+    stores, parsed = Stores("shop", ("www.shop.com",), ("www.shop.com",)), []
+    collected = spark.createDataFrame(
+        [("https://www.shop.com/catalog/product/view/id/1", None, 200, 'react_data = {"product_id": 1, "sku": "K"}')],
+        "url STRING, resolved_url STRING, status_code INT, html STRING",
+    )
+    real = pages.page_features
+    monkeypatch.setattr(resume, "page_features", lambda *given: parsed.append(1) or real(*given), raising=False)
+    for number in (1, 2):
+        (incoming / f"{number}.csv").write_text(HEADER + f"{number},u{number},t,s,5,1,1,1\n")
+    targets = read_target_stream(spark, str(incoming), maxFilesPerTrigger="1")
+    crawl_stream(targets, collected, stores, out, state).awaitTermination()
+    found = read_crawl_stream(spark, out)
+    assert sorted((r.requested_product_id, r.status) for r in found.collect()) == [("1", "ok"), ("2", pages.NOT_FOUND)]
+    assert found.select("batch_id").distinct().count() == 2 and len(parsed) == 1
+
+
 def test_location_stream_upserts(spark, tmp_path):
     incoming, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
     schema = "n BIGINT, ip STRING"
