@@ -1,8 +1,13 @@
 import re
+import tracemalloc
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
+
 from pyspark.sql import functions as F
 
+from clickmart.llm import exchange as X
 from clickmart.llm.substring_dedup import repeated_spans
 
 
@@ -37,3 +42,17 @@ def test_other_columns_stay_and_clashing_ones_are_replaced(documents):
 
 def test_empty_table(no_documents):
     assert repeated_spans(no_documents).count() == 0
+
+
+def test_an_owner_holds_little_beyond_its_keys():
+    draw = np.random.default_rng(4)
+    sent = [np.unique(draw.integers(0, 10**6, 20_000, dtype=np.uint64)) for _ in range(20)]
+    table = pa.table({"batch": range(20), "keys": [X.packed_sorted(k) for k in sent], "counts": [b""] * 20})
+    tracemalloc.start()
+    found = X.Gathered(table)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    keys, times = np.unique(np.concatenate(sent), return_counts=True)
+    assert np.array_equal(found.keys, keys) and np.array_equal(found.senders(), times)
+    assert all(np.array_equal(keys[places], k) for (_, places), k in zip(found.answers(np.arange(len(keys))), sent, strict=True))
+    assert peak < 5 * 8 * sum(map(len, sent))
