@@ -31,6 +31,7 @@ SKETCH_LOAD = 24  # words for a bucket
 SLICES = 16
 MARK_BITS = 24
 BLOCK = 2_000
+BLOCK_SHINGLES = 4_000_000
 
 
 def _sets(table, text, words, runs, size):
@@ -258,12 +259,35 @@ def _marks(places):
     return found.reshape(-1)
 
 
+def _with_sets(wanted, batches, text, size):
+    """``wanted`` with the packed ``shingles`` of the documents at its ``batch, place``, made again from their texts.
+
+    The places are hashed into a bit table of fixed size, so that the other texts are not shuffled (when it fills up, more of
+    them are, and the join drops them). Shingles keep 48 bits.
+    """
+    shared = batches.sparkSession.sparkContext.broadcast(_marks(wanted))
+
+    def chosen(rows):
+        marks = np.unpackbits(shared.value).view(bool)
+        schema = pa.schema([("batch", pa.int64()), ("place", pa.int64()), ("shingles", pa.binary())])
+        words, runs = WordHashes(), RunHashes()
+        for record in rows:
+            for batch, data, mark in zip(record.column("batch").to_pylist(), record.column("rows"), record.column("marks").to_pylist(), strict=True):
+                places = np.flatnonzero(marks[mark])
+                if len(places):
+                    sets = _sets(X.bytes_table(data.as_py()).take(pa.array(places)), text, words, runs, size)
+                    found = [(batch, p, X.packed_sorted(x >> np.uint64(16))) for p, x in zip(places.tolist(), sets, strict=True)]
+                    yield X.to_batch(found, schema)
+
+    places = F.transform(F.sequence(F.lit(0), F.col("size") - 1), lambda p: F.pmod(F.xxhash64("batch", p.cast("long")), F.lit(1 << MARK_BITS)))
+    sets = batches.withColumn("marks", places).mapInArrow(chosen, "batch long, place long, shingles binary")
+    return wanted.join(sets, ["batch", "place"])
+
+
 def _verified(pairs, batches, one_of_each, text, size, share):
     """The pairs ``a, b`` that are links: bitmaps first, then exact intersection of the sorted sets.
 
-    Sets are made again from the texts, for the documents of pairs that pass the bitmaps only: their places are hashed
-    into a bit table of fixed size, so that the other texts are not shuffled (when it fills up, more of them are, and the
-    join drops them). Shuffled shingles keep 48 bits.
+    Sets are made again from the texts, for the documents of pairs that pass the bitmaps only.
     """
     one, two = (one_of_each.select(*[F.col(c).alias(f"{c}_{side}") for c in one_of_each.columns]) for side in "ab")
 
@@ -284,23 +308,7 @@ def _verified(pairs, batches, one_of_each, text, size, share):
         return passed.select("a", "b")
     sides = F.array(*[F.struct(F.col(f"batch_{x}").alias("batch"), F.col(f"place_{x}").alias("place")) for x in "ab"])
     wanted = passed.select("a", "b", F.explode(sides).alias("at")).select("a", "b", "at.*")
-    shared = batches.sparkSession.sparkContext.broadcast(_marks(wanted))
-
-    def chosen(rows):
-        marks = np.unpackbits(shared.value).view(bool)
-        schema = pa.schema([("batch", pa.int64()), ("place", pa.int64()), ("shingles", pa.binary())])
-        words, runs = WordHashes(), RunHashes()
-        for record in rows:
-            for batch, data, mark in zip(record.column("batch").to_pylist(), record.column("rows"), record.column("marks").to_pylist(), strict=True):
-                places = np.flatnonzero(marks[mark])
-                if len(places):
-                    sets = _sets(X.bytes_table(data.as_py()).take(pa.array(places)), text, words, runs, size)
-                    found = [(batch, p, X.packed_sorted(x >> np.uint64(16))) for p, x in zip(places.tolist(), sets, strict=True)]
-                    yield X.to_batch(found, schema)
-
-    places = F.transform(F.sequence(F.lit(0), F.col("size") - 1), lambda p: F.pmod(F.xxhash64("batch", p.cast("long")), F.lit(1 << MARK_BITS)))
-    sets = batches.withColumn("marks", places).mapInArrow(chosen, "batch long, place long, shingles binary")
-    sides = wanted.join(sets, ["batch", "place"]).select("a", "b", "shingles")
+    sides = _with_sets(wanted, batches, text, size).select("a", "b", "shingles")
 
     def check(records):
         held, a, b = None, [], []
@@ -328,7 +336,8 @@ def _apart(pairs, groups):
 
 
 def _between(tiles, one_of_each, groups, share, block, best):
-    """Pairs of different components inside tiles whose bitmaps leave a link possible; with ``best`` one per node and tile.
+    """Pairs ``a, b`` of different components inside tiles whose bitmaps leave a link possible: the best one of each node and
+    tile. Without ``best`` the nodes ``tile, node`` that are in any such pair, each once a block.
 
     A tile is cut by size bands: each band meets itself and the band below. Its own nodes are cut into blocks of
     ``block``, each of which meets the whole band and the one below in one task, row by row.
@@ -379,14 +388,14 @@ def _between(tiles, one_of_each, groups, share, block, best):
             yield _compared(held, share, best)
 
     dealt = rows.repartition("tile", "band", "block").sortWithinPartitions("tile", "band", "block")
-    return dealt.mapInArrow(compare, "a long, b long").distinct()
+    return dealt.mapInArrow(compare, "a long, b long" if best else "tile long, node long").distinct()
 
 
 def _compared(tile, share, best):
-    """Candidate pairs of one block of a tile; with ``best`` only that with the highest bound for each query."""
+    """Candidates of one block of a tile: the pair with the highest bound for each query, or the nodes that are in any pair."""
     node, n, component = (tile.column(c).to_numpy() for c in ("node", "n", "component"))
     query = tile.column("query").to_numpy(zero_copy_only=False)
-    found_a, found_b = [node[:0]], [node[:0]]
+    found_a, found_b, possible = [node[:0]], [node[:0]], np.zeros(len(node), bool)
     if query.any() and (component != component[0]).any():
         each = [np.frombuffer(x, np.uint64) for x in tile.column("bits").to_pylist()]
         width = min(map(len, each))
@@ -398,13 +407,97 @@ def _compared(tile, share, best):
                 other = other[(n[other] < n[at]) | ((n[other] == n[at]) & (node[other] < node[at]))]
             if len(other):
                 room = overlap_bounds(bits[at], n[at], bits[other], n[other]) - -(-share * (n[other] + n[at]) // (100 + share))
-                fits = other[[room.argmax()]] if best and room.max() >= 0 else other[room >= 0]
-                found_a.append(np.full(len(fits), node[at]))
-                found_b.append(node[fits])
+                fits = other[room >= 0]
+                if best and len(fits):
+                    found_a.append(node[[at]])
+                    found_b.append(node[[other[room.argmax()]]])
+                elif len(fits):
+                    possible[at] = possible[fits] = True
+    if not best:
+        return pa.RecordBatch.from_pydict({"tile": tile.column("tile").to_numpy()[possible], "node": node[possible]})
     a, b = np.concatenate(found_a), np.concatenate(found_b)
     return pa.RecordBatch.from_pydict({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
 
+def _links_left(tiles, batches, one_of_each, groups, text, size, share, block):
+    """Links ``a, b`` between different components inside tiles, verified in place, that join all that can be joined.
+
+    The nodes that have a possible partner are cut into blocks, of ``block`` nodes and ``BLOCK_SHINGLES`` shingles at most on
+    average. Every two blocks of a band, and of a band and the one below, meet in one task.
+    """
+    possible = stored(_between(tiles, one_of_each, groups, share, block, best=False), "possible")
+    if possible.isEmpty():
+        return possible.select(F.col("tile").alias("a"), F.col("node").alias("b"))
+    places = one_of_each.select("node", "n", "batch", "place")
+    band = F.floor(F.log(F.col("n").cast("double")) / band_width(share) + 1e-9).cast("int")
+    known = possible.join(places, "node").join(groups, "node", "left")
+    known = known.withColumn("component", F.coalesce("component", "node")).withColumn("band", band)
+    blocks = F.ceil(F.greatest(F.count("*") / block, F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    cut = known.groupBy("tile").agg(blocks.alias("blocks"), F.collect_set("band").alias("bands"))
+    rows = known.join(cut, "tile").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    band, mine, blocks = F.col("band"), F.col("mine"), F.col("blocks")
+
+    def cells(place, when=F.lit(True)):
+        none = F.array().cast("array<struct<band:int,low:int,high:int,side:int>>")
+        return F.when(when, F.transform(F.sequence(F.lit(0), blocks - 1), place)).otherwise(none)
+
+    def cell(of, low, high, side):
+        return F.struct(of.alias("band"), low.alias("low"), high.alias("high"), side.cast("int").alias("side"))
+
+    met = F.concat(
+        cells(lambda at: cell(band, F.least(mine, at), F.greatest(mine, at), at < mine)),
+        cells(lambda at: cell(band + 1, at, blocks + mine, F.lit(1)), F.array_contains("bands", band + 1)),
+        cells(lambda at: cell(band, mine, blocks + at, F.lit(0)), F.array_contains("bands", band - 1)),
+    )
+    nodes = rows.select("node", "batch", "place").distinct()
+    sets = _with_sets(nodes, batches, text, size).select("node", "shingles")
+    rows = rows.select("tile", "node", "n", "component", F.explode(met).alias("at")).join(sets, "node")
+    key = ["tile", "band", "low", "high"]
+
+    def compare(records):
+        held = None
+        for record in records:
+            table = pa.Table.from_batches([record])
+            table = pa.concat_tables([held, table]) if held is not None else table
+            place = [table.column(c).to_numpy() for c in key]
+            change = np.flatnonzero(np.any([x[1:] != x[:-1] for x in place], axis=0)) + 1
+            edges = [0, *change.tolist()]
+            for start, end in zip(edges, edges[1:], strict=False):
+                if end - start > 1:
+                    yield _linked(table.slice(start, end - start), share)
+            held = table.slice(edges[-1])
+        if held is not None and len(held) > 1:
+            yield _linked(held, share)
+
+    dealt = rows.select(*[F.col(f"at.{c}").alias(c) if c != "tile" else F.col(c) for c in key], "at.side", "node", "n", "component", "shingles")
+    dealt = dealt.repartition(*key).sortWithinPartitions(*key)
+    return stored(dealt.mapInArrow(compare, "a long, b long").distinct(), "left")
+
+
+def _linked(cell, share):
+    """Links between the components of one cell, as many as join them; exact on the sorted sets, bitmaps first."""
+    node, n, component, side, low, high = (cell.column(c).to_numpy() for c in ("node", "n", "component", "side", "low", "high"))
+    inside, component, found_a, found_b = low[0] == high[0], component.copy(), [], []
+    if (component != component[0]).any():
+        sets = [X.unpacked_sorted(x) for x in cell.column("shingles").to_pylist()]
+        each = [np.frombuffer(bitmap(x), np.uint64) for x in sets]
+        width = min(map(len, each))
+        bits = np.concatenate([_folded(x.reshape(1, -1), width) for x in each])
+        del each
+        for at in np.flatnonzero(side == 0).tolist():
+            fits = (component != component[at]) & (100 * np.minimum(n, n[at]) >= share * np.maximum(n, n[at]))
+            other = np.flatnonzero(fits & (np.arange(len(node)) > at if inside else side == 1))
+            room = overlap_bounds(bits[at], n[at], bits[other], n[other]) - -(-share * (n[other] + n[at]) // (100 + share))
+            for to in other[room >= 0].tolist():
+                if component[to] != component[at]:
+                    common = np.intersect1d(sets[at], sets[to], assume_unique=True)
+                    if len(common) >= needed_overlap(len(sets[at]), len(sets[to]), share):
+                        found_a.append(min(node[at], node[to]))
+                        found_b.append(max(node[at], node[to]))
+                        component[component == component[to]] = component[at]
+    return pa.RecordBatch.from_pydict({"a": pa.array(found_a, pa.int64()), "b": pa.array(found_b, pa.int64())})
+
+
 def _joined(docs, text, id_column, size, share, block):
     """(batches, documents): all rows in batches; ``batch, place, doc_id, n, group`` with a null group for empty sets."""
     batches = stored(X.document_batches(docs, text, BATCH_BYTES), "documents")
@@ -444,11 +537,11 @@ def _joined(docs, text, id_column, size, share, block):
     groups = stored(components(links), "groups")
     members = tiles.select("tile", "node", "n").distinct()
     for find in (
-        lambda: _apart(with_node("before"), groups),
-        lambda: _between(members, one_of_each, groups, share, block, best=True),
-        lambda: _between(members, one_of_each, groups, share, block, best=False),
+        lambda: verified(_apart(with_node("before"), groups)),
+        lambda: verified(_between(members, one_of_each, groups, share, block, best=True)),
+        lambda: _links_left(members, batches, one_of_each, groups, text, size, share, block),
     ):
-        more = verified(find())
+        more = find()
         if not more.isEmpty():
             links = links.unionAll(more)
             groups = stored(components(links), "groups")

@@ -2,10 +2,13 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pyspark.sql import functions as F
 
+from clickmart.llm import exchange as X
+from clickmart.llm import jaccard_join
 from clickmart.llm.components import components
 from clickmart.llm.jaccard_join import bitmap, first_of_each_class, near_duplicate_classes, needed_overlap, overlap_bounds, prefix_size
 
@@ -128,3 +131,35 @@ def test_other_shares_same_as_brute_force(spark, share):
     wanted = sorted((str(d), len(s), str(least[g])) for (d, _), g, s in zip(rows, group, sets, strict=True))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert result(near_duplicate_classes(docs, share=share)) == wanted
+
+
+def test_candidates_grow_with_the_nodes_of_a_tile():
+    """Forty sets that overlap in pairs, as far as bitmaps tell: one row a node, not one a pair, and fewer links than nodes."""
+    draw = np.random.default_rng(5)
+    sets = [np.sort(draw.choice(np.arange(1, 121, dtype=np.uint64), 100, replace=False)) for _ in range(40)]
+    node = np.arange(40)
+    columns = {"tile": np.zeros(40, np.int64), "node": node, "n": np.full(40, 100), "component": node}
+    full = pa.array([b"\xff" * 32] * 40, pa.binary())
+    found = jaccard_join._compared(pa.table({**columns, "query": np.ones(40, bool), "bits": full}), 70, False)
+    assert sorted(zip(*found.to_pydict().values(), strict=True)) == [(0, n) for n in range(40)]
+    packed = pa.array([X.packed_sorted(x) for x in sets], pa.binary())
+
+    def links(low, high, side):
+        cell = {**columns, "side": side, "low": np.full(40, low), "high": np.full(40, high), "shingles": packed}
+        return list(zip(*jaccard_join._linked(pa.table(cell), 70).to_pydict().values(), strict=True))
+
+    def groups(pairs):
+        group = list(range(40))
+        for a, b in pairs:
+            group = [group[a] if g == group[b] else g for g in group]
+        return [group.index(g) for g in group]
+
+    def linked(a, b):
+        both = len(np.intersect1d(sets[a], sets[b]))
+        return 100 * both >= 70 * (200 - both)
+
+    for low, high, side in ((0, 0, np.zeros(40, int)), (0, 1, node % 2)):
+        pairs = [(a, b) for a in range(40) for b in range(a) if linked(a, b) and (low == high or side[a] != side[b])]
+        found = links(low, high, side)
+        assert groups(found) == groups(pairs) and all(linked(*pair) for pair in found)
+        assert 0 < len(found) < 40 < len(pairs)
