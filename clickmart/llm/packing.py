@@ -13,7 +13,7 @@ from clickmart.llm.tokens import encoder_of
 from clickmart.session import stored
 
 LIMIT = 2048
-TEXT_BYTES = 12 << 20
+TEXT_BYTES = 4 << 20
 GROUP = 20_000
 NEAR_FULL = 4
 MOST_ROUNDS = 256  # numbered below the sequences of whole pieces
@@ -34,6 +34,7 @@ def pieces(docs, tokenizer, limit=LIMIT, text="text"):
         schema = pa.schema(
             [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
         )
+        pa.default_memory_pool().release_unused()  # what earlier tasks of this worker left
         for table in row_groups(batches, text, TEXT_BYTES):
             ids, lengths = encoder_of(tokenizer).encode(table.column(text), end=0)
             ids = ids.astype("<u4")

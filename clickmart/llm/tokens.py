@@ -9,6 +9,8 @@ import pyarrow.compute as pc
 KNOWN_BYTES = 80 << 20
 _TAIL = ".,;:!?"
 _RUN = 100
+_CALL = 50
+_BLOCK = 1 << 17
 
 
 def shared_tokenizer(spark, path, keeps_blanks):
@@ -36,9 +38,15 @@ def _numbers(column):
 
 
 def _gather(flat, starts, sizes):
-    """``sizes`` values of ``flat`` from each start, one after the other."""
-    places = np.concatenate(([0], np.cumsum(sizes)))
-    return flat[np.repeat(starts - places[:-1], sizes) + np.arange(places[-1])]
+    """``sizes`` values of ``flat`` from each start, one after the other; places are made for ``_BLOCK`` starts at a time."""
+    found, done = np.empty(sizes.sum(), flat.dtype), 0
+    for n in range(0, len(sizes), _BLOCK):
+        some = sizes[n : n + _BLOCK]
+        at = np.repeat(starts[n : n + _BLOCK] - (np.cumsum(some) - some), some)
+        at += np.arange(len(at))
+        found[done : done + len(at)] = flat[at]
+        done += len(at)
+    return found
 
 
 class PieceEncoder:
@@ -68,7 +76,10 @@ class PieceEncoder:
         self._flat, self._starts, self._sizes = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
 
     def _many(self, texts):
-        return [found.ids for found in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        """The ids of each text, ``_CALL`` texts to a call: what the library returns takes over a hundred bytes a token."""
+        for n in range(0, len(texts), _CALL):
+            for found in self._tokenizer.encode_batch_fast(texts[n : n + _CALL], add_special_tokens=False):
+                yield found.ids
 
     def _separate(self, pieces):
         """Arrays of ids, and the number of ids of each piece: many pieces to a call, with a NUL character between them."""
@@ -83,8 +94,8 @@ class PieceEncoder:
                 flat.append(np.delete(ids, marks))
                 sizes.append(np.diff(ends - len(self._mark), prepend=0, append=len(ids)) - len(self._mark) * (np.arange(len(run)) > 0))
             else:
-                rows = self._many(run)
-                flat += [np.array(row, np.uint32) for row in rows]
+                rows = [np.array(row, np.uint32) for row in self._many(run)]
+                flat += rows
                 sizes.append(np.fromiter(map(len, rows), np.int64, len(rows)))
         return flat, np.concatenate(sizes)
 
@@ -95,10 +106,15 @@ class PieceEncoder:
         return starts
 
     def _numbers_of(self, names):
-        """Places of distinct names among the known ones; learns the others."""
-        found = pc.index_in(names, value_set=self._names)
-        new = names.filter(pc.is_null(found))
-        places = _numbers(pc.fill_null(found, -1)).astype(np.int64)
+        """Places of distinct names among the known ones; learns the others.
+
+        The known ones are looked up among ``names``, so that the table made for it is as large as a batch needs.
+        """
+        found = _numbers(pc.fill_null(pc.index_in(self._names, value_set=names), -1))
+        known = np.flatnonzero(found >= 0)
+        places = np.full(len(names), -1, np.int64)
+        places[found[known]] = known
+        new = names.filter(pa.array(places < 0))
         if len(new):
             places[places < 0] = len(self._names) + np.arange(len(new))
             flat, sizes = self._separate([self._blank + name for name in new.to_pylist()])
@@ -109,7 +125,7 @@ class PieceEncoder:
 
     def _tail(self, tail):
         if tail not in self._tails:
-            ids = np.array(self._many([tail])[0], np.uint32)
+            ids = np.array(next(self._many([tail])), np.uint32)
             self._tails[tail] = self._keep([ids], np.array([len(ids)]))[0], len(ids)
         return self._tails[tail]
 
@@ -149,7 +165,7 @@ class PieceEncoder:
         if whole.any():
             rows = [flat[a:b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
             for row in np.flatnonzero(whole).tolist():
-                rows[row] = np.array(self._many([texts[places[row]].as_py()])[0], np.uint32)
+                rows[row] = np.array(next(self._many([texts[places[row]].as_py()])), np.uint32)
             flat, edges = np.concatenate(rows), np.cumsum([0, *map(len, rows)])
         lengths[places] = np.diff(edges)
         if end is None:
@@ -162,7 +178,7 @@ class PieceEncoder:
         edges = _numbers(parts.offsets).astype(np.int64)
         edges -= edges[0]
         pieces = parts.flatten().dictionary_encode()
-        codes = _numbers(pieces.indices).astype(np.int64)
+        codes = _numbers(pieces.indices).copy()
         # The first piece of a text has no blank before it and may begin with other white space.
         firsts = parts.flatten().take(pa.array(edges[:-1])).dictionary_encode()
         apart, flat, counts = self._entries(pieces.dictionary)

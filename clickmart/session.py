@@ -11,6 +11,8 @@ def prepare_session(spark):
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    # Of long texts 10,000 rows are tens of MB, which an executor holds beside its heap, and each of its workers once more.
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
     return spark
 
 

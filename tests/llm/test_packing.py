@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 import zlib
 from collections import defaultdict
 
@@ -6,7 +7,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from clickmart.llm import packing
+from clickmart.llm import packing, tokens
 from clickmart.llm.queries import tokenizer_path
 from clickmart.llm.tokens import PieceEncoder, shared_tokenizer
 
@@ -32,6 +33,44 @@ def test_ids_are_those_of_the_whole_text(name, keeps_blanks, corpus):
         assert encoder.encode(texts)[1].tolist() == (lengths - 1).tolist()
 
 
+def test_what_an_encoder_holds_beside_its_ids_is_bounded(monkeypatch):
+    path = tokenizer_path("word_bpe_49k.json")
+    whole = Tokenizer.from_file(path)
+    with open(path, encoding="utf-8") as file:
+        encoder = PieceEncoder(file.read(), False)
+    calls, tables = [], []
+
+    class Counted:
+        def __init__(self, tokenizer):
+            self.tokenizer = tokenizer
+
+        def encode_batch_fast(self, texts, **options):
+            calls.append(len(texts))
+            return self.tokenizer.encode_batch_fast(texts, **options)
+
+    keep = tokens.pc.index_in
+    monkeypatch.setattr(tokens.pc, "index_in", lambda values, value_set: tables.append(len(value_set)) or keep(values, value_set))
+    monkeypatch.setattr(encoder, "_tokenizer", Counted(encoder._tokenizer))
+    monkeypatch.setattr(tokens, "_BLOCK", 7, raising=False)
+    words = [f"w{n}x{n % 7}." for n in range(9_000)]
+    for texts in (words[:200], [" ".join(words)], ["some w5x5. other w8999x4. w5x5.", " ".join(words[::-1])], ["w5x5. new, w7x0. w7x0"]):
+        ids, lengths = encoder.encode(texts, end=0)
+        assert ids.tolist() == [x for t in texts for x in [*whole.encode(t, add_special_tokens=False).ids, 0]]
+        assert len(lengths) == len(texts)
+    # results of the library for few texts at a time, lookups in the names of a batch and not in all that are known
+    assert max(calls) <= 50 and tables[-1] <= 4
+
+
+def test_ids_are_gathered_without_a_place_for_each():
+    starts = np.arange(500_000)
+    tracemalloc.start()
+    found = tokens._gather(np.arange(500_004, dtype=np.uint32), starts, np.full(len(starts), 4))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found.tolist()[:9] == [0, 1, 2, 3, 1, 2, 3, 4, 2] and found[-1] == 500_002 and len(found) == 2_000_000
+    assert peak < 4 * found.nbytes
+
+
 def packed_right(rows, limit):
     bins = defaultdict(list)
     for row in rows:
